@@ -14,6 +14,7 @@ from .common import SPACE, table
 from .exact_dedup import exact_dedup
 from .hilbert_shards import hilbert_shards
 from .license_texts import LICENSES
+from .minhash import near_duplicates
 from .transport_stream import media_features, store
 
 #: Vocabulary file of the queries, a parameter of the operators.
@@ -26,6 +27,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -52,6 +57,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1_minhash,
     "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_transport_stream": op5_transport_stream,
