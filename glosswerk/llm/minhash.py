@@ -15,7 +15,8 @@ candidates, and a link counts only after the full sets confirm it.
    Each pair is compared in the first bucket that it shares.
 
 So every pair that shares a bucket is confirmed, refused or in one component
-by then, without a task that holds a whole bucket.  A pair at the threshold
+by then, without a task that holds a whole bucket.  The joins are merge joins at
+any size, whose large keys Spark can split.  A pair at the threshold
 shares no bucket with a probability below ``MISS``.
 
 Defined results: A-Z are lower-cased.  A text with fewer words than a shingle
@@ -185,8 +186,8 @@ def _linked(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Step 2: confirmed links (a, b) between members and hubs."""
     enough = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
     edges = buckets.where((F.col("node") != F.col("hub")) & enough).select("node", "hub").distinct()
-    left = edges.join(sets, "node").select(F.col("node").alias("a"), F.col("hub").alias("node"), F.col("set").alias("own"))
-    both = left.join(sets, "node").withColumn("common", F.size(F.array_intersect("own", "set")))
+    left = edges.join(sets.hint("merge"), "node").select(F.col("node").alias("a"), F.col("hub").alias("node"), F.col("set").alias("own"))
+    both = left.join(sets.hint("merge"), "node").withColumn("common", F.size(F.array_intersect("own", "set")))
     return both.where(100 * F.col("common") >= percent * (F.size("own") + F.size("set") - F.col("common"))).select("a", F.col("node").alias("b"))
 
 
@@ -201,10 +202,10 @@ def _rest(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, sets: DataFram
     once = written(once, "minhash-open")
     blocks = F.ceil(F.col("strays") / STRAYS).cast("int")
     chunks = F.ceil(F.col("size") / MEMBERS).cast("int")
-    rows = members.join(once, ["band", "key"]).withColumn("at", F.xxhash64("node", F.lit(7)))
+    rows = members.join(once.hint("merge"), ["band", "key"]).withColumn("at", F.xxhash64("node", F.lit(7)))
     stray = rows.where("comp <> main").select("band", "key", "node", "comp", F.lit(True).alias("stray"), F.pmod("at", blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"))
     rest = rows.select("band", "key", "node", "comp", F.lit(False).alias("stray"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.pmod("at", chunks).cast("int").alias("chunk"))
-    full = stray.unionByName(rest).join(nodes.select("node", "n", "bands"), "node").join(sets, "node")
+    full = stray.unionByName(rest).join(nodes.select("node", "n", "bands").hint("merge"), "node").join(sets.hint("merge"), "node")
     return full.groupBy("band", "key", "block", "chunk").applyInArrow(_finish(percent), "a long, b long")
 
 
@@ -217,9 +218,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     placed = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     hubs = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("hub")).where("size > 1")
     hubs = written(hubs.select("band", "key", "size", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "minhash-hubs")
-    buckets = written(placed.join(hubs, ["band", "key"]), "minhash-buckets")
+    buckets = written(placed.join(hubs.hint("merge"), ["band", "key"]), "minhash-buckets")
     wanted = buckets.select("node").distinct().join(nodes.select("node", "least_id"), "node").select("node", F.col("least_id").alias("id"))
-    sets = written(texts.join(wanted, "id").select("node", "text").mapInArrow(_full_sets(k), "node long, set array<long>"), "minhash-sets")
+    sets = written(texts.join(wanted.hint("merge"), "id").select("node", "text").mapInArrow(_full_sets(k), "node long, set array<long>"), "minhash-sets")
     first = written(connected_components(_linked(buckets, sets, percent)), "minhash-roots")
     more = written(connected_components(_rest(buckets, nodes, first, sets, percent)), "minhash-roots")
     # the second components are of roots of the first, and of nodes that were alone
@@ -228,7 +229,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     joined = written(joined, "minhash-labels")
     smallest = written(joined.groupBy("root").agg(F.min("least_id").alias("component_id")), "minhash-smallest")
     labels = written(joined.join(smallest, "root").select("node", "component_id"), "minhash-labels")
-    out = signed.select("id", "n", "node").join(labels, "node", "left")
+    out = signed.select("id", "n", "node").join(labels.hint("merge"), "node", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     component = F.when(F.col("id").isNotNull(), component)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
@@ -237,4 +238,4 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate group, that with the smallest id; all columns as they were."""
     gone = near_duplicates(docs, k, percent, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("id")).distinct().alias("b")
-    return docs.alias("a").join(gone, F.col(f"a.{id_col}") == F.col("b.id"), "left_anti")
+    return docs.alias("a").join(gone.hint("merge"), F.col(f"a.{id_col}") == F.col("b.id"), "left_anti")
