@@ -16,6 +16,7 @@ from .hilbert_shards import hilbert_shards
 from .license_texts import LICENSES
 from .minhash import near_duplicates
 from .mixing import mix_sources
+from .toxicity import toxicity
 from .transport_stream import media_features, store
 
 #: Vocabulary file of the queries, a parameter of the operators.
@@ -40,6 +41,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_features(store(table(spark, sf_dir, "documents")))
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_transport_stream": op5_transport_stream,
     "op6_hilbert_shards": op6_hilbert_shards,
     "op7_mixing": op7_mixing,
