@@ -14,6 +14,7 @@ from .common import SPACE, WORD, table
 from .exact_dedup import exact_dedup
 from .hilbert_shards import hilbert_shards
 from .license_texts import LICENSES
+from .maxent_lm import lm_scores
 from .minhash import near_duplicates
 from .mixing import mix_sources
 from .toxicity import toxicity
@@ -71,6 +72,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url.url_filter(table(spark, sf_dir, "pages"))
 
 
+def op9_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lic.license_scan(table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_hilbert_shards": op6_hilbert_shards,
     "op7_mixing": op7_mixing,
     "op8_url_filter": op8_url_filter,
+    "op9_maxent_lm": op9_maxent_lm,
     "op10_license_scan": op10_license_scan,
 }
 
