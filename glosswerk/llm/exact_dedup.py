@@ -6,7 +6,9 @@ that a few rounds reach the end of any text); groups of one row leave, groups
 whose bytes have ended are classes of equal documents.  Bytes decide, no
 digest does.  A group is named by its smallest id, so no round ships a group
 to one place: counts and names come from a partial aggregation, and rows find
-their group's name through a join whose large keys Spark can split.
+their group's name through a join whose large keys Spark can split.  The joins
+are merge joins at any size, so that a run's cost is in proportion to its
+input and nothing is broadcast that grows with it.
 
 Defined results: a null text is the empty text; equal texts are equal after
 each run of white space became one space.  A null id loses against any other
@@ -39,7 +41,7 @@ def radix_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     start = docs.select(F.col(id_col).alias("id"), body.alias("body")).select("id", "body", F.octet_length("body").alias("len"), F.substring("body", 1, FIRST_DIGIT).alias("digit"))
     shared = written(start.groupBy("len", "digit").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("grp")).where("n > 1"), "radix-digits")
     rows = written(
-        start.join(shared, ["len", "digit"]).select("id", "len", "grp", "n", F.sha2("body", 256).alias("sha"), F.expr(f"substring(body, {FIRST_DIGIT + 1})").alias("rest")),
+        start.join(shared.hint("merge"), ["len", "digit"]).select("id", "len", "grp", "n", F.sha2("body", 256).alias("sha"), F.expr(f"substring(body, {FIRST_DIGIT + 1})").alias("rest")),
         "radix-rows",
     )
     forget(shared)
@@ -74,7 +76,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256."""
     found = radix_classes(docs, id_col, text_col).alias("b")
     rows = docs.select(F.col(id_col).alias("id"), hex_sha256(normalised(F.col(text_col))).alias("text_sha256")).alias("a")
-    joined = rows.join(found, (F.col("a.text_sha256") == F.col("b.text_sha256")) & F.col("a.id").eqNullSafe(F.col("b.id")), "left")
+    joined = rows.join(found.hint("merge"), (F.col("a.text_sha256") == F.col("b.text_sha256")) & F.col("a.id").eqNullSafe(F.col("b.id")), "left")
     alone = F.col("b.group_size").isNull()
     keep = F.when(alone, F.col("a.id")).otherwise(F.col("b.keep_id"))
     return joined.select(
@@ -90,4 +92,4 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` without the rows whose text a row with a smaller id has; all columns as they were."""
     gone = radix_classes(docs, id_col, text_col).where(~F.col("id").eqNullSafe(F.col("keep_id"))).select("id", "text_sha256").alias("b")
     key = hex_sha256(normalised(F.col(f"a.{text_col}")))
-    return docs.alias("a").join(gone, (key == F.col("b.text_sha256")) & F.col(f"a.{id_col}").eqNullSafe(F.col("b.id")), "left_anti")
+    return docs.alias("a").join(gone.hint("merge"), (key == F.col("b.text_sha256")) & F.col(f"a.{id_col}").eqNullSafe(F.col("b.id")), "left_anti")
