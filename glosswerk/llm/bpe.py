@@ -268,7 +268,8 @@ def _digests(path: str):
                 counts.append(ids.count(" ") + 1 if ids else 0)
                 ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
                 text_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            made = [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made, *batch.columns[2:]], names=["id", "n_tokens", "ids_sha256", "decoded_sha256", *batch.schema.names[2:]])
 
     return run
 
@@ -285,7 +286,12 @@ def bpe_decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: s
     return rows.mapInArrow(_decode(path), "id long, text string").withColumnRenamed("id", id_col)
 
 
-def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of the decoded text, made in one pass."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_digests(path), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of the decoded text, made in one pass.
+
+    Columns of ``keep`` come along beside them.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(f"keep{i}") for i, c in enumerate(keep)))
+    kinds = "".join(f", keep{i} {dict(rows.dtypes)[f'keep{i}']}" for i in range(len(keep)))
+    made = rows.mapInArrow(_digests(path), f"id long, n_tokens long, ids_sha256 string, decoded_sha256 string{kinds}")
+    return made.select(F.col("id").alias(id_col), "n_tokens", "ids_sha256", "decoded_sha256", *(F.col(f"keep{i}").alias(c) for i, c in enumerate(keep)))

@@ -151,3 +151,13 @@ def mix_sources(
     taken = placed.withColumn("within", within).join(starts, [*leaf, "range"])
     partial = (F.col("before") + F.col("within") <= F.col("rest")) & (F.col("rest") > 0)
     return taken.select(F.col("id").alias(id_col), *leaf, "n_tokens", F.col("share").alias("leaf_share"), (F.col("full") + F.when(partial, 1).otherwise(0)).cast("int").alias("copies"))
+
+
+def drop_unmixed(docs: DataFrame, domain: Column, percent: int, weights: dict[tuple[str, ...], int] | None = None, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """``docs`` without the rows that a mix of one epoch leaves out; all columns as they were.
+
+    Rows that share an id are left out if any of them is.
+    """
+    mix = mix_sources(docs, domain, percent, 1, weights, seed, id_col, text_col, lang_col, source_col)
+    gone = mix.where("copies = 0").select(F.col(id_col).alias("id")).distinct().alias("b")
+    return docs.alias("a").join(gone.hint("merge"), F.col(f"a.{id_col}").eqNullSafe(F.col("b.id")), "left_anti")
