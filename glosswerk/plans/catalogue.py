@@ -1,10 +1,557 @@
-"""Queries over the driver's tables, and the SQL that checks them."""
+"""Queries over the driver's tables, one or more for each operator, and the SQL that checks them."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from ..functions import lexicons as L
+from ..functions import similarity as S
+from ..functions import text as X
+from ..operators import detect as D
+from ..operators import knowledge as K
+from ..operators import metrics as M
+from ..operators import profile as P
+from ..operators import retrieval as R
+from ..operators import spans as G
+from ..operators import submission as O
+from . import annotation as A
+from . import oracle as Q
+from . import setting as T
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query by its function's name, with its SQL."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.by_document(T.docs(spark, sf_dir))
+
+
+SETTINGS = A.Settings(rules=T.RULES, headings=T.HEADINGS, cues=T.CUES, medication_tail=T.TAIL, most_words=T.MOST_WORDS)
+
+
+def found_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.entities(dealt(spark, sf_dir), T.records(spark), SETTINGS)
+
+
+def linked_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.annotated(dealt(spark, sf_dir), T.records(spark), SETTINGS)
+
+
+# documents and texts
+
+
+@query(
+    Q.sql(
+        r"""SELECT count(*) AS documents, min(c)::INTEGER AS min_characters, max(c)::INTEGER AS max_characters, round(avg(c), 2) AS mean_characters, min(l)::INTEGER AS min_lines, max(l)::INTEGER AS max_lines, round(avg(l), 2) AS mean_lines
+FROM (SELECT length(raw_text) AS c, CASE WHEN raw_text = '' THEN 0 ELSE len(string_split(raw_text, chr(10))) - (CASE WHEN raw_text LIKE '%' || chr(10) THEN 1 ELSE 0 END) END AS l FROM docs)""",
+        "docs",
+    )
+)
+def doc_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.describe(T.docs(spark, sf_dir))
+
+
+@query(Q.sql("SELECT document_id, row_number() OVER (ORDER BY document_id::BIGINT, document_id)::INTEGER AS place FROM docs", "docs"))
+def natural_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = P.in_natural_order(T.docs(spark, sf_dir).select("document_id"))
+    # the order's place of each id, from the sorted partitions' sizes
+    at = ids.withColumn("m", F.monotonically_increasing_id()).withColumn("part", F.shiftright("m", 33)).withColumn("pos", F.col("m").bitwiseAND((1 << 33) - 1))
+    from pyspark.sql import Window as W
+
+    before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = at.groupBy("part").agg(F.count(F.lit(1)).alias("n")).withColumn("before", before)  # a row for each partition
+    return at.join(starts, "part").select("document_id", (F.col("before") + F.col("pos") + 1).cast("int").alias("place"))
+
+
+@query("SELECT user_id::VARCHAR AS document_id, count(*) AS n FROM events GROUP BY ALL HAVING count(*) > 1")
+def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.duplicate_ids(table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("document_id")))
+
+
+@query(f"SELECT 'part' AS source, p_partkey AS id, {Q.norm('p_name')} AS norm FROM part UNION ALL SELECT 'documents', doc_id, {Q.norm('text')} FROM documents")
+def alias_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part").select(F.lit("part").alias("source"), F.col("p_partkey").alias("id"), X.normalize_alias(F.col("p_name")).alias("norm"))
+    return parts.unionByName(table(spark, sf_dir, "documents").select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), X.normalize_alias(F.col("text")).alias("norm")))
+
+
+@query(Q.sql('SELECT document_id, i, text, start, "end" FROM tok', "tok"))
+def tokens_with_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.tokens(dealt(spark, sf_dir))
+
+
+@query(Q.sql("SELECT * FROM sent", "sent"))
+def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.sentences(dealt(spark, sf_dir))
+
+
+@query(Q.sql("SELECT * FROM sec", "sec"))
+def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.sections(dealt(spark, sf_dir), T.HEADINGS)
+
+
+@query(Q.sql("SELECT document_id, n, k::INTEGER AS \"window\", (k * 384)::INTEGER AS start, least(k * 384 + 512, n)::INTEGER AS \"end\" FROM (SELECT *, unnest(range(greatest(ceil((n - 512) / 384.0), 0)::BIGINT + 1)) AS k FROM (SELECT document_id, count(*) AS n FROM tok GROUP BY ALL))", "tok"))
+def token_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = G.tokens(dealt(spark, sf_dir)).groupBy("document_id").agg(F.count(F.lit(1)).alias("n"))
+    return G.token_windows(counts).join(counts, "document_id")
+
+
+# detection
+
+_ENTITY = 'document_id, start, "end", text, type, candidate_id, confidence, mention_head, evidence, ord'
+
+
+@query(Q.sql(f"SELECT {_ENTITY} FROM hits", "hits"))
+def dictionary_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.dictionary_hits(dealt(spark, sf_dir), D.phrases(T.records(spark), T.MOST_WORDS), T.MOST_WORDS, tail=T.TAIL)
+
+
+@query(Q.sql("SELECT phrase, n::INTEGER AS n, type, candidate_id, ord FROM phr", "phr"))
+def phrase_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.phrases(T.records(spark), T.MOST_WORDS).select("phrase", "n", "type", "candidate_id", "ord")
+
+
+@query(Q.sql(f"SELECT {_ENTITY} FROM rules", "rules"))
+def regex_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.rule_hits(dealt(spark, sf_dir), T.RULES)
+
+
+@query(Q.sql(f"SELECT {_ENTITY} FROM plain_hits", "plain_hits"))
+def anti_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(spark, sf_dir)
+    return D.without_symptoms(D.dictionary_hits(docs, D.phrases(T.records(spark), T.MOST_WORDS), T.MOST_WORDS, tail=T.TAIL), D.rule_hits(docs, T.RULES))
+
+
+@query(Q.sql(f"SELECT {_ENTITY} FROM resolved", "resolved"))
+def overlap_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.detect(dealt(spark, sf_dir), D.phrases(T.records(spark), T.MOST_WORDS), T.RULES, most_words=T.MOST_WORDS, tail=T.TAIL)
+
+
+@query(Q.sql(f"SELECT {_ENTITY} FROM ents", "ents"))
+def refined_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return found_entities(spark, sf_dir)
+
+
+@query(
+    Q.sql(
+        f"""SELECT document_id, start, "end", prefix, context, {Q.piece('raw_text', 'greatest(start - 160, 0)', 'start')} || '<ENT>' || text || '</ENT>' || {Q.piece('raw_text', '"end"', 'least("end" + 160, length(raw_text))')} AS marked FROM placed""",
+        "placed",
+    )
+)
+def context_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(spark, sf_dir)
+    rows = A.entities(docs, T.records(spark), SETTINGS).join(docs, "document_id")
+    text, start, end = F.col("raw_text"), F.col("start"), F.col("end")
+    return rows.select("document_id", "start", "end", X.prefix(text, start, 55).alias("prefix"), X.context(text, start, end, 120).alias("context"), X.marked(text, start, end, 160).alias("marked"))
+
+
+@query(Q.sql(f"SELECT {_ENTITY}, section_name, polarity, temporality, certainty, experiencer FROM axes", "axes"))
+def assertion_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(spark, sf_dir)
+    return D.annotate(A.entities(docs, T.records(spark), SETTINGS), docs, G.sections(docs, T.HEADINGS), T.CUES)
+
+
+@query(Q.sql("SELECT * FROM related", "related"))
+def relation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(spark, sf_dir)
+    return D.relations(A.entities(docs, T.records(spark), SETTINGS), G.sentences(docs), L.RELATIONS)
+
+
+@query(
+    """WITH t AS (SELECT doc_id, 'drug ' || (doc_id % 7) || CASE WHEN doc_id % 3 = 0 THEN '' ELSE ', ' || (doc_id % 90) || ' mg' END || CASE WHEN doc_id % 2 = 0 THEN ' po' ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN ' daily' ELSE '' END || CASE WHEN doc_id % 11 = 0 THEN ' tablet' ELSE '' END AS text FROM documents)
+SELECT doc_id, 'drug ' || (doc_id % 7) AS drug_name, CASE WHEN doc_id % 3 <> 0 THEN (doc_id % 90) || ' mg' END AS strength, CASE WHEN doc_id % 2 = 0 THEN 'po' END AS route, CASE WHEN doc_id % 5 = 0 THEN 'daily' END AS frequency, CASE WHEN doc_id % 11 = 0 THEN 'tablet' END AS dose_form FROM t"""
+)
+def medication_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    part = lambda on, text: F.when(on, text).otherwise(F.lit(""))
+    text = F.concat(
+        F.lit("drug "), (i % 7).cast("string"), part(i % 3 != 0, F.concat(F.lit(", "), (i % 90).cast("string"), F.lit(" mg"))),
+        part(i % 2 == 0, F.lit(" po")), part(i % 5 == 0, F.lit(" daily")), part(i % 11 == 0, F.lit(" tablet")),
+    )
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return D.medication(rows).select("doc_id", "attributes.*")
+
+
+# tokens and labels
+
+
+@query(
+    Q.sql(
+        """SELECT document_id, i, start, "end", CASE WHEN s IS NULL THEN 'O' WHEN lag(s) OVER w = s AND lag(e) OVER w = e AND lag(t) OVER w = t THEN 'I-' || t ELSE 'B-' || t END AS label
+FROM (SELECT k.document_id, k.i, k.start, k."end", x.start AS s, x."end" AS e, x.type AS t FROM tok k LEFT JOIN ents x ON x.document_id = k.document_id AND k.start < x."end" AND x.start < k."end"
+      QUALIFY row_number() OVER (PARTITION BY k.document_id, k.i ORDER BY x.start, x."end", x.type) = 1) WINDOW w AS (PARTITION BY document_id ORDER BY i)""",
+        "tok",
+        "ents",
+    )
+)
+def bio_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(spark, sf_dir)
+    return G.spans_to_bio(G.tokens(docs), A.entities(docs, T.records(spark), SETTINGS))
+
+
+@query(
+    Q.sql(
+        f"""SELECT document_id, start, "end", {Q.piece('raw_text', 'start', '"end"')} AS text, type, confidence, ord FROM (
+  SELECT document_id, run, type, min(start) AS start, max("end") AS "end", round(avg(confidence), 6) AS confidence, min(i)::INTEGER AS ord FROM (
+    SELECT *, sum(CASE WHEN b = 'B' OR type IS DISTINCT FROM before THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM (
+      SELECT *, lag(type) OVER (PARTITION BY document_id ORDER BY i) AS before FROM (
+        SELECT document_id, i, start, "end", CASE length(norm) % 4 WHEN 0 THEN 'B' WHEN 3 THEN 'O' ELSE 'I' END AS b, CASE length(norm) % 4 WHEN 0 THEN 'X' WHEN 1 THEN 'X' WHEN 2 THEN 'Y' END AS type, length(norm) / 100.0::DOUBLE AS confidence FROM tok)))
+  WHERE type IS NOT NULL GROUP BY ALL) JOIN docs USING (document_id)""",
+        "tok",
+        "docs",
+    )
+)
+def bio_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(spark, sf_dir)
+    n = F.length(X.normalize_alias(F.col("text")))
+    label = F.when(n % 4 == 0, "B-X").when(n % 4 == 1, "I-X").when(n % 4 == 2, "I-Y").otherwise("O")
+    rows = G.tokens(docs).withColumn("label", label).withColumn("confidence", n / 100.0)
+    return G.bio_to_spans(rows, docs).withColumn("confidence", F.round("confidence", 6))
+
+
+@query(Q.sql("SELECT 'O' AS label, 0 AS label_id UNION ALL SELECT p || '-' || type, (2 * row_number() OVER (PARTITION BY p ORDER BY type) - CASE p WHEN 'B' THEN 1 ELSE 0 END)::INTEGER FROM (SELECT DISTINCT type FROM detected) CROSS JOIN (VALUES ('B'), ('I')) AS x(p)", "detected"))
+def bio_label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(spark, sf_dir)
+    rows = D.dictionary_hits(docs, D.phrases(T.records(spark), T.MOST_WORDS), T.MOST_WORDS, tail=T.TAIL).select("type").unionByName(D.rule_hits(docs, T.RULES).select("type"))
+    return G.bio_label_map(rows)
+
+
+# knowledge bases
+
+
+@query(
+    """SELECT p_name AS candidate_id, min_by(p_name, p_partkey) AS canonical_name, count(*) AS n, list_distinct(list(p_brand))::VARCHAR[] IS NOT NULL AS has_brands,
+  array_to_string(list_transform(list_sort(list(DISTINCT {'o': f, 'v': p_brand})), lambda x: x.v), ',') AS brands, array_to_string(list_transform(list_sort(list(DISTINCT {'o': g, 'v': p_type})), lambda x: x.v), ',') AS types
+FROM (SELECT *, min(p_partkey) OVER (PARTITION BY p_name, p_brand) AS f, min(p_partkey) OVER (PARTITION BY p_name, p_type) AS g FROM part) GROUP BY p_name"""
+)
+def kb_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").groupBy(F.col("p_name").alias("candidate_id")).agg(
+        F.min_by("p_name", "p_partkey").alias("canonical_name"), F.count(F.lit(1)).alias("n"), F.lit(True).alias("has_brands"),
+        F.array_join(K.in_order(F.col("p_brand"), order), ",").alias("brands"), F.array_join(K.in_order(F.col("p_type"), order), ",").alias("types"),
+    )
+    return rows
+
+
+@query(
+    """SELECT p_name AS candidate_id, min_by(s, p_partkey) AS canonical_name, array_to_string(list_transform(list_sort(list(DISTINCT {'o': f, 'v': s})), lambda x: x.v), '|') AS aliases,
+  coalesce(array_to_string(list_transform(list_sort(list(DISTINCT {'o': f, 'v': s}) FILTER (p_type = 'ECONOMY')), lambda x: x.v), '|'), '') AS brand_names
+FROM (SELECT *, p_brand || ' ' || p_type AS s, min(p_partkey) OVER (PARTITION BY p_name, p_brand, p_type) AS f FROM part WHERE p_size < 25) GROUP BY p_name"""
+)
+def kb_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    rows = p.select(
+        F.col("p_partkey").alias("ord"), F.col("p_name").alias("RXCUI"), F.concat_ws(" ", "p_brand", "p_type").alias("STR"),
+        F.when(F.col("p_type") == "ECONOMY", "BN").otherwise("IN").alias("TTY"), F.lit("RXNORM").alias("SAB"), F.lit("ENG").alias("LAT"), F.when(F.col("p_size") < 25, "N").otherwise("Y").alias("SUPPRESS"),
+    )
+    out = K.concept_records(K.concept_rows(rows, ["ENG"], ["RXNORM"], ["IN", "BN"], ["N"]))
+    return out.select("candidate_id", "canonical_name", F.array_join("aliases", "|").alias("aliases"), F.array_join("brand_names", "|").alias("brand_names"))
+
+
+@query(
+    """SELECT c AS candidate_id, replace(c, '.', '') AS code_without_dot, max(CASE WHEN p_partkey = m THEN p_name END) AS name_vi, count(DISTINCT p_brand)::INTEGER AS names_en, sum(CASE WHEN p_size % 5 = 0 THEN 1 ELSE 0 END)::INTEGER AS marks
+FROM (SELECT *, min(p_partkey) OVER (PARTITION BY c) AS m FROM (SELECT *, 'A' || (p_size % 10) || '.' || (p_partkey % 10) AS c FROM part)) GROUP BY c"""
+)
+def kb_icd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.concat(F.lit("A"), (F.col("p_size") % 10).cast("string"), F.lit("."), (F.col("p_partkey") % 10).cast("string"))
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("ord"), F.concat(code, F.when(F.col("p_size") % 5 == 0, "†").otherwise("")).alias("display_code"),
+        F.replace(code, F.lit(".")).alias("code_without_dot"), F.col("p_brand").alias("name_en"), F.col("p_name").alias("name_vi"),
+    )
+    out = K.icd_records(rows)
+    names = F.array_except("detection_aliases", F.array())
+    return out.select("candidate_id", "code_without_dot", "name_vi", F.size(F.filter(names, lambda x: F.startswith(x, F.lit("Brand#")))).alias("names_en"), F.size("markers").alias("marks"))
+
+
+@query("SELECT l_orderkey::VARCHAR AS source_rxcui, l_returnflag AS relation, l_partkey::VARCHAR AS target_rxcui, l_linestatus AS sab FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_linestatus IN ('F') AND l_suppkey % 13 <> 0")
+def kb_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("RXCUI1"), F.col("l_returnflag").alias("RELA"), F.when(F.col("l_suppkey") % 13 != 0, F.col("l_partkey").cast("string")).alias("RXCUI2"), F.col("l_linestatus").alias("SAB")
+    )
+    return K.relation_rows(rows, ["A", "R"], ["F"])
+
+
+@query("SELECT l_returnflag AS relation, count(*) AS n FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_linestatus IN ('F') AND l_suppkey % 13 <> 0 GROUP BY ALL")
+def kb_edge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kb_edges(spark, sf_dir).groupBy("relation").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(Q.sql("SELECT count(DISTINCT candidate_id) AS candidates, 0::BIGINT AS unnamed, count(*) FILTER (norm <> '') AS aliases, count(DISTINCT norm) FILTER (norm <> '') AS distinct_aliases FROM kb", "kb"))
+def kb_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.record_figures(T.records(spark))
+
+
+@query(
+    Q.sql(
+        """SELECT k.candidate_id, k.vocabulary, coalesce(n, 0)::INTEGER AS n_added FROM (SELECT DISTINCT candidate_id, vocabulary FROM kb) k
+LEFT JOIN (SELECT g.candidate_id, count(DISTINCT g.text) AS n FROM (SELECT candidate_id, text FROM ents WHERE candidate_id IS NOT NULL) g WHERE NOT EXISTS (SELECT 1 FROM kb WHERE kb.candidate_id = g.candidate_id AND kb.alias = g.text) GROUP BY ALL) USING (candidate_id)""",
+        "kb",
+        "ents",
+    )
+)
+def kb_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = found_entities(spark, sf_dir).where("candidate_id IS NOT NULL").select("candidate_id", "text", F.struct("document_id", "start").alias("ord"))
+    return K.enrich(T.records(spark), gold).select("candidate_id", "vocabulary", "n_added")
+
+
+# retrieval and linking
+
+Q.define("bench", f"SELECT item_id AS query, {Q.norm('text')} AS norm FROM benchmark")
+Q.define("texts", f"SELECT doc_id AS doc, {Q.norm('text')} AS norm FROM documents")
+Q.bm25("best_words", "texts", "bench", 10)
+
+
+def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query"), X.normalize_alias(F.col("text")).alias("norm"))
+
+
+def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), X.normalize_alias(F.coalesce("text", F.lit(""))).alias("norm"))
+
+
+@query(Q.sql("SELECT query, doc, round(score, 6) AS score, rank FROM best_words", "best_words"))
+def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = R.bm25(document_texts(spark, sf_dir), benchmark_queries(spark, sf_dir), 10)
+    return out.withColumn("score", F.round("score", 6))
+
+
+Q.define("best_vectors", "SELECT q.vec_id AS query, v.vec_id, list_inner_product(v.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_inner_product(v.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) DESC, v.vec_id)::INTEGER AS rank FROM embeddings v JOIN (SELECT * FROM embeddings WHERE vec_id % 20 = 0) q ON true QUALIFY rank <= 10")
+
+
+@query(Q.sql("SELECT query, vec_id, round(score, 6) AS score, rank FROM best_vectors", "best_vectors"))
+def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    asked = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), "embedding")
+    return R.vectors(rows, asked, 10).withColumn("score", F.round("score", 6))
+
+
+@query(Q.sql("SELECT vocabulary, query AS norm, candidate_id, score, rank FROM cands", "cands"))
+def rrf_fuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = found_entities(spark, sf_dir)
+    mentions = found.select(R.vocabulary_of(F.col("type"), L.VOCABULARIES).alias("vocabulary"), X.normalize_alias(F.col("text")).alias("norm")).where("vocabulary IS NOT NULL AND norm <> ''").distinct()
+    return A.candidates(mentions, T.records(spark), SETTINGS)
+
+
+@query(
+    f"""WITH n AS (SELECT p_name, lead(p_name) OVER (ORDER BY p_name) AS other FROM (SELECT DISTINCT p_name FROM part))
+SELECT p_name, other, round({Q.set_jaccard("string_split(p_name, ' ')", "string_split(other, ' ')")}, 6) AS by_words, round({Q.set_jaccard(Q.grams('p_name', 2, 5), Q.grams('other', 2, 5))}, 6) AS by_ngrams FROM n WHERE other IS NOT NULL"""
+)
+def similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window as W
+
+    names = table(spark, sf_dir, "part").select("p_name").distinct().withColumn("other", F.lead("p_name").over(W.orderBy("p_name"))).where("other IS NOT NULL")  # distinct names are few
+    a, b = X.normalize_alias(F.col("p_name")), X.normalize_alias(F.col("other"))
+    return names.select("p_name", "other", F.round(S.token_jaccard(a, b), 6).alias("by_words"), F.round(S.ngram_jaccard(a, b), 6).alias("by_ngrams"))
+
+
+Q.define("part_names", f"SELECT DISTINCT p_name AS candidate_id, {Q.norm('p_name')} AS norm FROM part")
+Q.define("part_asked", "SELECT substring(norm, 1, length(norm) - 2) AS query, substring(norm, 1, length(norm) - 2) AS norm FROM part_names UNION SELECT substring(norm, 1, 4) || 'zz', substring(norm, 1, 4) || 'zz' FROM part_names", "part_names")
+Q.define(
+    "pool",
+    """
+  SELECT query, norm AS q_norm, candidate_id FROM (
+    SELECT DISTINCT q.query, q.norm, c.candidate_id FROM (SELECT query, norm, unnest(list_distinct(string_split(norm, ' '))) AS term FROM part_asked) q
+    JOIN (SELECT candidate_id, unnest(string_split(norm, ' ')) AS term FROM part_names) c USING (term) WHERE length(term) >= 3)
+  UNION ALL SELECT q.query, q.norm, c.candidate_id FROM part_asked q JOIN part_names c ON starts_with(c.norm, substring(q.norm, 1, 4))
+  WHERE NOT EXISTS (SELECT 1 FROM part_names c2 WHERE list_has_any(list_filter(string_split(q.norm, ' '), lambda t: length(t) >= 3), string_split(c2.norm, ' ')))""",
+    "part_asked",
+    "part_names",
+)
+
+
+def part_corpus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("candidate_id"), X.normalize_alias(F.col("p_name")).alias("norm")).distinct().withColumn("place", F.lit(0))
+    short = F.expr("substring(norm, 1, length(norm) - 2)")
+    head = F.concat(F.substring("norm", 1, 4), F.lit("zz"))
+    asked = names.select(short.alias("query"), short.alias("norm")).union(names.select(head, head)).distinct()
+    return names, asked
+
+
+@query(Q.sql("SELECT * FROM pool", "pool"))
+def lexical_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.lexical_pool(*part_corpus(spark, sf_dir))
+
+
+@query()
+def lexical_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.lexical(*part_corpus(spark, sf_dir), k=5)
+
+
+@query(Q.sql(f"SELECT {_ENTITY}, section_name, polarity, temporality, certainty, experiencer, vocabulary, array_to_string(candidates, ',') AS candidates FROM linked", "linked"))
+def route_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_entities(spark, sf_dir).withColumn("candidates", F.array_join("candidates", ","))
+
+
+# output
+
+
+@query(Q.sql("SELECT document_id, text, type, position[1] AS start, position[2] AS \"end\", array_to_string(assertions, ',') AS assertions, array_to_string(candidates, ',') AS candidates FROM submitted", "submitted"))
+def submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = O.submission(linked_entities(spark, sf_dir))
+    return rows.select("document_id", "text", "type", F.col("position")[0].alias("start"), F.col("position")[1].alias("end"), F.array_join("assertions", ",").alias("assertions"), F.array_join("candidates", ",").alias("candidates"))
+
+
+@query(Q.sql("SELECT document_id, count(text) AS n FROM docs LEFT JOIN submitted USING (document_id) GROUP BY ALL", "docs", "submitted"))
+def submission_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(spark, sf_dir)
+    files = O.as_documents(O.submission(A.annotated(docs, T.records(spark), SETTINGS)), docs)
+    return files.select("document_id", F.json_array_length("payload").cast("long").alias("n"))
+
+
+@query(Q.sql("SELECT document_id, i, CASE (document_id::BIGINT + i) % 3 WHEN 1 THEN 'offset mismatch' ELSE 'unsupported type' END AS error FROM (SELECT document_id, unnest(range(2))::INTEGER AS i FROM docs WHERE length(raw_text) > 12) WHERE (document_id::BIGINT + i) % 3 <> 0", "docs"))
+def validate_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = T.docs(spark, sf_dir).where(F.length("raw_text") > 12)
+    kind = (F.col("document_id").cast("long") + F.col("i")) % 3
+    item = F.struct(
+        F.concat(F.substring("raw_text", 1, 5), F.when(kind == 1, "\x00").otherwise("")).alias("text"), F.when(kind == 2, "other").otherwise(L.OFFICIAL_TYPES["SYMPTOM"]).alias("type"),
+        F.array(F.lit(0), F.lit(5)).alias("position"), F.array(F.lit("isNegated")).alias("assertions"),
+    )
+    rows = docs.withColumn("i", F.explode(F.array(F.lit(0), F.lit(1)))).groupBy("document_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("i", item.alias("x")))), lambda x: x["x"])).alias("payload"))
+    return O.validate(rows, docs)
+
+
+@query(Q.sql("SELECT (SELECT count(*) FROM docs) AS documents, count(*) AS entities, count(*) FILTER (len(candidates) > 0) AS linked, count(*) FILTER (type <> 'PATIENT_INFO') AS submitted, count(*) FILTER (type = 'PATIENT_INFO') AS unmapped, 0::BIGINT AS offset_errors, (SELECT count(*) FROM related) AS relations FROM linked", "docs", "linked", "related"))
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(spark, sf_dir)
+    found = A.annotated(docs, T.records(spark), SETTINGS)
+    return O.summary(found, docs, D.relations(found, G.sentences(docs), L.RELATIONS))
+
+
+@query(Q.sql("SELECT type, count(*) AS n FROM ents WHERE type = 'PATIENT_INFO' GROUP BY ALL", "ents"))
+def dropped_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return O.dropped(found_entities(spark, sf_dir))
+
+
+@query(Q.sql("SELECT type, count(*) AS n FROM ents GROUP BY ALL", "ents"))
+def relabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    official = found_entities(spark, sf_dir).withColumn("type", F.coalesce(X.official_type(F.col("type")), F.col("type")))
+    return O.relabel(official).groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+
+
+# quality
+
+Q.define("gold", "SELECT * FROM ents", "ents")
+Q.define("predicted", 'SELECT * REPLACE (start + CASE WHEN ord % 3 = 1 AND start < "end" - 1 THEN 1 ELSE 0 END AS start) FROM ents WHERE (document_id::BIGINT + start) % 5 <> 0', "ents")
+
+
+def gold_and_predicted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Found entities as gold; as predictions most of them, some with other bounds."""
+    gold = found_entities(spark, sf_dir).withColumn("candidates", F.array_compact(F.array("candidate_id"))).withColumn("assertions", F.array().cast("array<string>"))
+    gold = gold.withColumn("ord", F.col("start"))
+    moved = F.when((F.col("kb_ord") % 3 == 1) & (F.col("start") < F.col("end") - 1), 1).otherwise(0)
+    rows = found_entities(spark, sf_dir).withColumn("candidates", F.array_compact(F.array("candidate_id"))).withColumn("assertions", F.array().cast("array<string>")).withColumnRenamed("ord", "kb_ord").withColumn("ord", F.col("start"))
+    predicted = rows.where((F.col("document_id").cast("long") + F.col("start")) % 5 != 0).withColumn("text", F.expr("text")).withColumn("start", F.col("start") + moved)
+    return gold, predicted
+
+
+@query(Q.sql(f"SELECT tp AS true_positive, p - tp AS false_positive, g - tp AS false_negative, {Q.prf('tp', '(p - tp)', '(g - tp)')} FROM (SELECT (SELECT count(*) FROM gold JOIN predicted USING (document_id, start, \"end\", type)) AS tp, (SELECT count(*) FROM predicted) AS p, (SELECT count(*) FROM gold) AS g)", "gold", "predicted"))
+def exact_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.exact_metrics(*gold_and_predicted(spark, sf_dir))
+
+
+@query(Q.sql(f"SELECT type, coalesce(tp, 0) AS true_positive, p - coalesce(tp, 0) AS false_positive, g - coalesce(tp, 0) AS false_negative, {Q.prf('coalesce(tp, 0)', '(p - coalesce(tp, 0))', '(g - coalesce(tp, 0))')} FROM (SELECT type, count(*) AS g FROM gold GROUP BY ALL) LEFT JOIN (SELECT type, count(*) AS p FROM predicted GROUP BY ALL) USING (type) LEFT JOIN (SELECT type, count(*) AS tp FROM gold JOIN predicted USING (document_id, start, \"end\", type) GROUP BY ALL) USING (type)", "gold", "predicted"))
+def metrics_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.by_type(*gold_and_predicted(spark, sf_dir))
+
+
+@query(Q.sql(f"SELECT p AS true_positive, 0::BIGINT AS false_positive, g - p AS false_negative, {Q.prf('p', '0', '(g - p)')} FROM (SELECT (SELECT count(*) FROM predicted) AS p, (SELECT count(*) FROM gold) AS g)", "gold", "predicted"))
+def relaxed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.relaxed_metrics(*gold_and_predicted(spark, sf_dir))
+
+
+@query(
+    Q.sql(
+        """SELECT count(*) AS gold_entities, (SELECT count(*) FROM predicted) AS predicted_entities, count(p) AS matched_entities, round(count(p)::DOUBLE / count(*), 6) AS text_score, round(count(p)::DOUBLE / count(*), 6) AS assertions_score,
+  round(count(p)::DOUBLE / count(*), 6) AS candidates_score, round(count(p)::DOUBLE / count(*), 6) AS final_score FROM gold LEFT JOIN (SELECT document_id, start, "end", type, 1 AS p FROM predicted) USING (document_id, start, "end", type)""",
+        "gold",
+        "predicted",
+    )
+)
+def competition_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.competition_score(*gold_and_predicted(spark, sf_dir))
+
+
+@query()
+def competition_score_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.competition_score(*gold_and_predicted(spark, sf_dir), approximate=True)
+
+
+@query(Q.sql("SELECT error, count(*) AS n FROM (SELECT CASE WHEN (document_id::BIGINT + start) % 5 = 0 THEN 'missed' ELSE 'wrong bounds' END AS error FROM gold WHERE (document_id::BIGINT + start) % 5 = 0 OR (ord % 3 = 1 AND start < \"end\" - 1) UNION ALL SELECT 'spurious' FROM gold WHERE (document_id::BIGINT + start) % 5 <> 0 AND ord % 3 = 1 AND start < \"end\" - 1) GROUP BY ALL", "gold"))
+def error_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.errors(*gold_and_predicted(spark, sf_dir)).groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(Q.sql("SELECT count(*) AS queries, round(count(*) FILTER (best <= 5)::DOUBLE / count(*), 6) AS hit_at_5, round(count(*) FILTER (best <= 10)::DOUBLE / count(*), 6) AS hit_at_10, round(count(*) FILTER (best = 1)::DOUBLE / count(*), 6) AS linking_accuracy FROM (SELECT q.vec_id, (SELECT min(rank) FROM best_vectors b JOIN embeddings e ON e.vec_id = b.vec_id WHERE b.query = q.vec_id AND e.label = q.label) AS best FROM embeddings q WHERE vec_id % 20 = 0)", "best_vectors"))
+def hit_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    asked = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), "embedding", F.col("label").alias("candidate_id"))
+    ranked = R.vectors(rows, asked, 10).join(rows.select("vec_id", F.col("label").alias("candidate_id")), "vec_id")
+    return M.hits_at(ranked, asked.select("query", "candidate_id"))
+
+
+@query(f"SELECT tp AS true_positive, fp AS false_positive, fn AS false_negative, round(accuracy, 6) AS accuracy, {Q.prf('tp', 'fp', 'fn')} FROM (SELECT count(*) FILTER (quality = p AND quality <> 0) AS tp, count(*) FILTER (p <> 0 AND quality <> p) AS fp, count(*) FILTER (quality <> 0 AND quality <> p) AS fn, avg(CASE WHEN quality = p THEN 1.0 ELSE 0.0 END) AS accuracy FROM (SELECT l.quality, CASE WHEN d.n_chars >= 400 THEN 1 ELSE 0 END AS p FROM labels l JOIN documents d USING (doc_id)))")
+def token_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("n_chars") >= 400, 1).otherwise(0).alias("predicted")), "doc_id")
+    return M.token_metrics(rows, "quality")
+
+
+@query()
+def wer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window as W
+
+    rows = table(spark, sf_dir, "conversations").select(F.concat_ws("/", "conv_id", "turn").alias("document_id"), F.coalesce("text", F.lit("")).alias("raw_text"))
+    said = G.sentences(G.by_document(rows))
+    pairs = said.withColumn("before", F.lag("text").over(W.partitionBy("document_id").orderBy("sentence_id"))).where("before IS NOT NULL")
+    return pairs.select("document_id", "sentence_id", F.round(S.word_error_rate(F.col("before"), F.col("text")), 6).alias("wer"))
+
+
+# document sets
+
+
+@query(
+    Q.sql(
+        """SELECT (SELECT count(*) FROM docs) AS documents, count(*) AS entities, count(*) FILTER (start < before) AS overlaps, (count(*) - count(DISTINCT (document_id, start, "end", type, coalesce(candidate_id, ''))))::BIGINT AS duplicates, 0::BIGINT AS offset_errors, count(DISTINCT candidate_id) AS candidates
+FROM (SELECT *, lag("end") OVER (PARTITION BY document_id ORDER BY start, "end", ord) AS before FROM detected)""",
+        "docs",
+        "detected",
+    )
+)
+def dataset_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(spark, sf_dir)
+    both = D.without_symptoms(D.dictionary_hits(docs, D.phrases(T.records(spark), T.MOST_WORDS), T.MOST_WORDS, tail=T.TAIL), by_rule := D.rule_hits(docs, T.RULES)).unionByName(by_rule)
+    rows = both.withColumn("candidates", F.array_compact(F.array("candidate_id"))).withColumn("assertions", F.array().cast("array<string>"))
+    return P.validate(docs, rows)
+
+
+@query(Q.sql("SELECT document_id, CASE WHEN ('0x' || substring(md5('42:' || document_id), 1, 8))::BIGINT % 100 < 20 THEN 'validation' ELSE 'train' END AS part FROM docs", "docs"))
+def split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.split(T.docs(spark, sf_dir).select("document_id"))
+
+
+@query(Q.sql("SELECT sha256(string_agg(d, '' ORDER BY g)) AS fingerprint FROM (SELECT substring(x, 1, 2) AS g, sha256(string_agg(x, '' ORDER BY x)) AS d FROM (SELECT sha256(document_id || chr(0) || raw_text || chr(0)) AS x FROM docs) GROUP BY ALL)", "docs"))
+def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.fingerprint(T.docs(spark, sf_dir))
+
+
+@query("SELECT user_id % 7 AS value, count(*) AS n FROM events GROUP BY ALL")
+def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.value_counts(table(spark, sf_dir, "events").select((F.col("user_id") % 7).alias("t")), "t")
