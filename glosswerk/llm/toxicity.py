@@ -35,7 +35,7 @@ from .common import crc32_mod, slices, string_buffers
 from .textscan import LOWER, words
 
 #: Training rows: most of class 1 and of class 0, and the bytes of the longest text among them.
-MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 1_000, 3_000, 16_384
+MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 800, 2_400, 16_384
 #: Words of a window, and from one window's start to the next one's.
 WINDOW, STRIDE = 32, 16
 VOCABULARY, LEAST_TEXTS, LEAST_SHARE = 8_192, 3, 0.005
@@ -99,6 +99,17 @@ class Texts:
         out.at = np.cumsum(out.size) - out.size
         return out
 
+    def between(self, lo: int, hi: int) -> Texts:
+        """The windows from ``lo`` to ``hi``, whose words are one run, as views."""
+        out = object.__new__(Texts)
+        first, last = int(self.at[lo]), int((self.at[lo:hi] + self.size[lo:hi]).max())
+        start = int(self.starts[first]) if first < last else 0
+        out.bytes = self.bytes[start : int(self.ends[last - 1])] if first < last else self.bytes[:0]
+        out.starts, out.ends = self.starts[first:last] - start, self.ends[first:last] - start
+        out.hashes, out.of, out.size = self.hashes[first:last], self.of[lo:hi], self.size[lo:hi]
+        out.at = self.at[lo:hi] - first
+        return out
+
     def numbers(self, known: np.ndarray) -> np.ndarray:
         """Place of each word in the sorted hashes ``known``; 0, which is none of them, if it isn't there."""
         if not len(known):
@@ -236,12 +247,12 @@ class Network:
             np.add.at(g["char"], texts.bytes, np.repeat(into[:, WORD_DIM:] / length[:, None].astype(_F), length, axis=0))
         return g
 
-    def windows(self, texts: Texts, most: int = 8192) -> np.ndarray:
-        """Logit of every window."""
-        gates = self._gates(*self._inputs(texts))
+    def windows(self, texts: Texts, most: int = 4096) -> np.ndarray:
+        """Logit of every window, so many at a time."""
         out = np.empty(len(texts.at), _F)
         for lo in range(0, len(out), most):
-            out[lo : lo + most] = self.logits(gates, texts.at[lo : lo + most], texts.size[lo : lo + most])
+            part = texts.between(lo, min(lo + most, len(out)))
+            out[lo : lo + most] = self.logits(self._gates(*self._inputs(part)), part.at, part.size)
         return out
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -273,9 +284,10 @@ def train(texts: list[str], toxic: list[int], seed: int = 5) -> Network | Consta
     # texts of each class that have a word
     doc = np.repeat(np.arange(len(raw)), np.diff(np.searchsorted(seen.starts, np.cumsum([0, *map(len, raw)]))))
     every, number = np.unique(seen.hashes, return_inverse=True)
-    pairs = np.unique(np.stack([number, doc]), axis=1)
-    bad = np.bincount(pairs[0], weights=target[pairs[1]], minlength=len(every))
-    both = np.bincount(pairs[0], minlength=len(every))
+    pairs = np.unique(number * len(raw) + doc)
+    word, doc = pairs // len(raw), pairs % len(raw)
+    bad = np.bincount(word, weights=target[doc], minlength=len(every))
+    both = np.bincount(word, minlength=len(every))
     order = np.lexsort((every, -both))[:VOCABULARY]
     chosen = np.sort(order[both[order] >= max(LEAST_TEXTS, LEAST_SHARE * len(raw))])
     # words of a few copied texts say little: what smooths the odds grows with the sample
