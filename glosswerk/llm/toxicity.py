@@ -40,7 +40,7 @@ MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 800, 2_400, 16_384
 WINDOW, STRIDE = 32, 16
 VOCABULARY, LEAST_TEXTS, LEAST_SHARE = 8_192, 3, 0.005
 WORD_DIM, CHAR_DIM, STATE, ATTEND = 12, 6, 8, 8
-EPOCHS, BATCH, RATE = 6, 96, 0.01
+LEAST_EPOCHS, LEAST_UPDATES, BATCH, RATE = 6, 300, 96, 0.01
 BATCH_BYTES = 1 << 20
 
 #: Lower case; whatever is neither a letter, a digit nor part of a longer character separates words.
@@ -304,7 +304,9 @@ def train(texts: list[str], toxic: list[int], seed: int = 5) -> Network | Consta
     logit = np.where(place < seen.size[:, None], bad_word[np.minimum(seen.at[:, None] + place, len(bad_word) - 1)], -9).max(axis=1)
     step = 0
     last = np.append(seen.first[1:], len(seen.of)) - 1
-    for _ in range(EPOCHS):
+    epoch = 0
+    while epoch < LEAST_EPOCHS or step < LEAST_UPDATES:  # a small sample takes more epochs
+        epoch += 1
         rank = np.lexsort((logit, seen.of))
         worst = rank[last]
         # of clean texts also the next worst window, and one by chance
