@@ -95,8 +95,13 @@ def linked(found: DataFrame, records: DataFrame, s: Settings = Settings(), seman
 
 
 def annotated(docs: DataFrame, records: DataFrame, s: Settings = Settings(), semantic=ngram_ranks) -> DataFrame:
-    """Entities with candidates, sections and axes."""
-    found = linked(entities(docs, records, s), records, s, semantic)
+    """Entities with candidates, sections and axes.
+
+    Detected entities are kept (in memory, or on executors' disks), since both
+    the mentions to look up and the rows to link come from them; Spark computes
+    lost parts again.
+    """
+    found = linked(entities(docs, records, s).persist(), records, s, semantic)
     return D.annotate(found, docs, P.sections(docs, s.headings), s.cues, s.prefix, s.width)
 
 
