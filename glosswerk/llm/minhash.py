@@ -8,10 +8,12 @@ candidates, and a link counts only after the full sets confirm it.
 
 1. Rows with equal sets become one node, so copies never meet each other.
 2. In each bucket one member is the hub, and every other member is compared
-   with it: as many comparisons as rows.  Links give components.
+   with it: as many comparisons as rows.  Links give components.  In ``ROUNDS``
+   more rounds the strays, the members outside a bucket's largest component, are
+   compared with a member of it by chance, another one in each band.
 3. A bucket whose members are still in several components is finished
-   exactly: all members outside its largest component (the strays) are
-   compared with all members of other components, in blocks of bounded size.
+   exactly: all strays are compared with all members of other components, in
+   blocks of bounded size.
    Each pair is compared in the first bucket that it shares.
 
 So every pair that shares a bucket is confirmed, refused or in one component
@@ -45,8 +47,9 @@ from .textscan import LOWER, mix, shingles, words
 #: Chance that a pair at the threshold shares no bucket, and values of a signature in each band.
 MISS, BAND_VALUES = 1e-5, 4
 BATCH_BYTES = 2 << 20
-#: Strays and members of a block of step 3.
-STRAYS, MEMBERS = 64, 512
+#: Rounds with another hub, and strays and members of a block of step 3.
+ROUNDS = 1
+STRAYS, MEMBERS = 256, 512
 _U = np.uint64
 
 
@@ -182,24 +185,36 @@ def _finish(percent: int):
     return run
 
 
-def _linked(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Step 2: confirmed links (a, b) between members and hubs."""
+def _linked(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets are similar enough."""
+    left = edges.join(sets.select(F.col("node").alias("a"), F.col("set").alias("own")).hint("merge"), "a")
+    both = left.join(sets.select(F.col("node").alias("b"), "set").hint("merge"), "b").withColumn("common", F.size(F.array_intersect("own", "set")))
+    return both.where(100 * F.col("common") >= percent * (F.size("own") + F.size("set") - F.col("common"))).select("a", "b")
+
+
+def _pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of rows (node, n, hub, hub_n) whose sizes allow a link, in either order once."""
     enough = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
-    edges = buckets.where((F.col("node") != F.col("hub")) & enough).select("node", "hub").distinct()
-    left = edges.join(sets.hint("merge"), "node").select(F.col("node").alias("a"), F.col("hub").alias("node"), F.col("set").alias("own"))
-    both = left.join(sets.hint("merge"), "node").withColumn("common", F.size(F.array_intersect("own", "set")))
-    return both.where(100 * F.col("common") >= percent * (F.size("own") + F.size("set") - F.col("common"))).select("a", F.col("node").alias("b"))
+    return rows.where((F.col("node") != F.col("hub")) & enough).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _rest(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Step 3: links (a, b) between components of buckets that have several."""
-    members = buckets.where("size > 2").join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("comp"))
-    members = written(members, "minhash-members")
-    parts = members.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("least"))
-    open_ = parts.groupBy("band", "key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("size"), (F.sum("c") - F.max("c")).alias("strays"), F.bit_xor("x").alias("x"), F.min("least").alias("least")).where("strays > 0")
+def _strays(buckets: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (band, key, node, n, comp) of buckets of more than two, and the buckets whose members have several components.
+
+    Of these: the largest component, a member of it by chance as the next hub, and the number of strays.
+    """
+    members = written(buckets.where("size > 2").join(roots, "node", "left").select("band", "key", "node", "n", F.coalesce("root", "node").alias("comp")), "minhash-members")
+    chance = F.min_by(F.struct("node", "n"), F.xxhash64("node", "band"))
+    parts = members.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("least"), chance.alias("hub"))
+    open_ = parts.groupBy("band", "key").agg(F.max_by(F.struct("comp", "hub"), F.struct("c", "comp")).alias("main"), F.sum("c").alias("size"), (F.sum("c") - F.max("c")).alias("strays"), F.bit_xor("x").alias("x"), F.min("least").alias("least")).where("strays > 0")
     # buckets of several bands may have the same members: the first band's is enough
-    once = open_.groupBy("size", "x", "least").agg(F.min(F.struct("band", "key", "main", "strays")).alias("s")).select("s.*", "size")
-    once = written(once, "minhash-open")
+    once = open_.groupBy("size", "x", "least").agg(F.min(F.struct("band", "key", "main", "strays")).alias("s"))
+    once = once.select("s.band", "s.key", "s.strays", F.col("s.main.comp").alias("main"), F.col("s.main.hub.node").alias("hub"), F.col("s.main.hub.n").alias("hub_n"), "size")
+    return members, written(once, "minhash-open")
+
+
+def _rest(members: DataFrame, once: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Step 3: links (a, b) between components of buckets that have several."""
     blocks = F.ceil(F.col("strays") / STRAYS).cast("int")
     chunks = F.ceil(F.col("size") / MEMBERS).cast("int")
     rows = members.join(once.hint("merge"), ["band", "key"]).withColumn("at", F.xxhash64("node", F.lit(7)))
@@ -221,8 +236,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     buckets = written(placed.join(hubs.hint("merge"), ["band", "key"]), "minhash-buckets")
     wanted = buckets.select("node").distinct().join(nodes.select("node", "least_id"), "node").select("node", F.col("least_id").alias("id"))
     sets = written(texts.join(wanted.hint("merge"), "id").select("node", "text").mapInArrow(_full_sets(k), "node long, set array<long>"), "minhash-sets")
-    first = written(connected_components(_linked(buckets, sets, percent)), "minhash-roots")
-    more = written(connected_components(_rest(buckets, nodes, first, sets, percent)), "minhash-roots")
+    links = written(_linked(_pairs(buckets, percent), sets, percent), "minhash-links")
+    first = written(connected_components(links), "minhash-roots")
+    for _ in range(ROUNDS):
+        members, once = _strays(buckets, first)
+        rows = members.join(once.hint("merge"), ["band", "key"]).where("comp <> main")
+        links = links.unionByName(written(_linked(_pairs(rows, percent), sets, percent), "minhash-links"))
+        first = written(connected_components(links), "minhash-roots")
+    more = written(connected_components(_rest(*_strays(buckets, first), nodes, sets, percent)), "minhash-roots")
     # the second components are of roots of the first, and of nodes that were alone
     joined = nodes.select("node", "least_id").join(first, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
     joined = joined.join(more.select(F.col("node").alias("part"), "root"), "part", "left").select("node", "least_id", F.coalesce("root", "part").alias("root"))
