@@ -1,9 +1,10 @@
 """Detection of entities: dictionary phrases, rules, and both together.
 
 A dictionary's phrases are far fewer than a corpus has tokens.  Tokens meet
-phrases by the phrase's first word, in a join that Spark broadcasts while the
-dictionary is small and that shuffles by word beyond that; only tokens that
-begin some phrase go on, with as many following words as the longest phrase has.
+phrases by the phrase's first word; only tokens that begin some phrase go on,
+with as many following words as the longest phrase has.  A dictionary of up to
+``MOST_BROADCAST`` phrases, which is counted, goes to all executors, so tokens
+stay where their document is; a larger one meets them in a shuffle by word.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from ..functions import text as X
 from ..functions.similarity import overlaps
 from .spans import find_all, resolve_overlaps, tokens, within_document
 
+#: Phrases that every executor can hold.
+MOST_BROADCAST = 1_000_000
 #: Columns of a detected entity.
 ENTITY = ("document_id", "start", "end", "text", "type", "candidate_id", "confidence", "mention_head", "evidence", "ord")
 
@@ -40,11 +43,16 @@ def dictionary_hits(docs: DataFrame, dictionary: DataFrame, most_words: int = 10
     Types of ``extend`` take in the medication attributes that follow.
     """
     rows = tokens(docs).withColumn("norm", X.normalize_alias(F.col("text")))
-    ahead = within_document().orderBy("i").rowsBetween(W.currentRow, most_words - 1)
-    rows = rows.withColumn("next", F.collect_list(F.struct("norm", "end")).over(ahead))
-    met = rows.join(dictionary, rows["norm"] == dictionary["first"]).where(F.transform(F.slice("next", 1, F.col("n")), lambda t: t["norm"]) == F.col("words"))
+    order = within_document().orderBy("i")
+    rows = rows.select("document_id", "i", "start", "norm", F.col("end").alias("end0"), *(F.lead(c, k).over(order).alias(f"{c}{k}") for k in range(1, most_words) for c in ("norm", "end")))
+    if dictionary.count() <= MOST_BROADCAST:
+        dictionary = F.broadcast(dictionary)
+    met = rows.join(dictionary, rows["norm"] == dictionary["first"])
+    # only tokens that begin a phrase come here, so only they have their next words compared
+    following = F.array("norm", *(f"norm{k}" for k in range(1, most_words)))
+    met = met.where(F.slice(following, 1, F.col("n")) == F.col("words")).withColumn("until", F.array(*(f"end{k}" for k in range(most_words)))[F.col("n") - 1])
     longest = F.max("n").over(W.partitionBy("document_id", "i"))
-    met = met.withColumn("longest", longest).where("n = longest").withColumn("until", F.col("next")[F.col("n") - 1]["end"])
+    met = met.withColumn("longest", longest).where("n = longest")
     hits = met.select("document_id", "start", "until", "type", "candidate_id", "ord")
     whole = hits.join(docs.select("document_id", "raw_text"), "document_id")
     kwargs = {} if tail is None else {"tail": tail}
