@@ -7,6 +7,10 @@ a query's words meet the postings in an equi-join, and a top-k is a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -53,15 +57,49 @@ def bm25(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc", k1: fl
     return top_k(scored.groupBy("query", key).agg(F.sum(one).alias("score")), ["query"], k, key)
 
 
+#: Queries that go to all executors at once, and corpus vectors that are multiplied with them at once.
+QUERY_BLOCK, ROW_BLOCK = 4_096, 512
+
+
+def _best_of_batches(asked: pa.Table, key: str, k: int):
+    """Candidates of each batch for the k best of each query: all scores (to six places) that the k-th best doesn't beat."""
+    names = asked.column("query").to_numpy()
+    matrix = np.stack(asked.column("embedding").to_numpy()).astype(np.float64).T
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, len(batch), ROW_BLOCK):
+                part = batch.slice(lo, ROW_BLOCK)
+                ids = part.column(0).to_numpy()
+                score = np.stack(part.column(1).to_numpy(zero_copy_only=False)).astype(np.float64) @ matrix
+                rounded = np.round(score, 6)
+                least = np.partition(rounded, -k, axis=0)[-k] if len(ids) > k else np.full(len(names), -np.inf)
+                row, query = np.nonzero(rounded >= least)
+                yield pa.RecordBatch.from_arrays([pa.array(names[query]), pa.array(ids[row]), pa.array(score[row, query])], names=["query", key, "score"])
+
+    return run
+
+
 def vectors(corpus: DataFrame, queries: DataFrame, k: int, key: str = "vec_id") -> DataFrame:
     """(query, key, score, rank) of the largest inner products of vectors (key, embedding) with queries (query, embedding).
 
-    Each query is compared with each vector, as the flat index does: the stated
-    queries go to all executors in one block, the vectors stay where they are.
+    Each query is compared with each vector, as a flat index does: blocks of at
+    most about ``QUERY_BLOCK`` queries go to all executors one after the other, the
+    vectors stay where they are, and a batch gives back its best k for each query.
     """
-    asked = F.broadcast(queries.select("query", F.col("embedding").alias("q_")))
-    scored = corpus.crossJoin(asked).select("query", key, S.inner_product(F.col("embedding"), F.col("q_")).alias("score"))
-    return top_k(scored, ["query"], k, key)
+    rows = corpus.where(F.col("embedding").isNotNull()).select(F.col(key).cast("long").alias(key), "embedding")
+    asked = queries.where(F.col("embedding").isNotNull()).select(F.col("query").cast("long").alias("query"), "embedding")
+    blocks = -(-asked.count() // QUERY_BLOCK)
+    out = None
+    for block in range(blocks):
+        own = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == block)
+        sent = own.toArrow()
+        if len(sent):
+            best = rows.mapInArrow(_best_of_batches(sent, key, k), f"query long, {key} long, score double")
+            out = best if out is None else out.unionByName(best)
+    if out is None:
+        out = rows.select(F.lit(None).cast("long").alias("query"), key, F.lit(0.0).alias("score")).limit(0)
+    return top_k(out, ["query"], k, key)
 
 
 def rrf(lexical: DataFrame, semantic: DataFrame, k: int, key: str = "candidate_id", k_rrf: int = 60, w_lexical: float = 0.6, w_semantic: float = 0.4) -> DataFrame:
