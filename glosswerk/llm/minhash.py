@@ -7,13 +7,12 @@ to their similarity.  Values are banded; texts that share a band's bucket are
 candidates, and a link counts only after the full sets confirm it.
 
 1. Rows with equal sets become one node, so copies never meet each other.
-2. In each bucket one member is the hub, and every other member is compared
-   with it: as many comparisons as rows.  Links give components.  In ``ROUNDS``
-   more rounds the strays, the members outside a bucket's largest component, are
-   compared with a member of it by chance, another one in each band.
+2. Each bucket has two hubs, one by a hash of the text and one by a hash of the
+   text and the band; every other member is compared with both: two comparisons a
+   row.  Links give components.
 3. A bucket whose members are still in several components is finished
-   exactly: all strays are compared with all members of other components, in
-   blocks of bounded size.
+   exactly: all members outside its largest component (the strays) are
+   compared with all members of other components, in blocks of bounded size.
    Each pair is compared in the first bucket that it shares.
 
 So every pair that shares a bucket is confirmed, refused or in one component
@@ -47,8 +46,7 @@ from .textscan import LOWER, mix, shingles, words
 #: Chance that a pair at the threshold shares no bucket, and values of a signature in each band.
 MISS, BAND_VALUES = 1e-5, 4
 BATCH_BYTES = 2 << 20
-#: Rounds with another hub, and strays and members of a block of step 3.
-ROUNDS = 1
+#: Strays and members of a block of step 3.
 STRAYS, MEMBERS = 256, 512
 _U = np.uint64
 
@@ -192,24 +190,23 @@ def _linked(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("common") >= percent * (F.size("own") + F.size("set") - F.col("common"))).select("a", "b")
 
 
-def _pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of rows (node, n, hub, hub_n) whose sizes allow a link, in either order once."""
-    enough = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
-    return rows.where((F.col("node") != F.col("hub")) & enough).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+def _pairs(buckets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of members and their buckets' hubs whose sizes allow a link."""
+    rows = buckets.select("node", "n", F.explode(F.array("hub", "other")).alias("h"))
+    enough = 100 * F.least("n", "h.n") >= percent * F.greatest("n", "h.n")
+    return rows.where((F.col("node") != F.col("h.node")) & enough).select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct()
 
 
 def _strays(buckets: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (band, key, node, n, comp) of buckets of more than two, and the buckets whose members have several components.
+    """Members (band, key, node, comp) of buckets of more than two, and the buckets whose members have several components.
 
-    Of these: the largest component, a member of it by chance as the next hub, and the number of strays.
+    Of these: the largest component and the number of strays, the members outside it.
     """
-    members = written(buckets.where("size > 2").join(roots, "node", "left").select("band", "key", "node", "n", F.coalesce("root", "node").alias("comp")), "minhash-members")
-    chance = F.min_by(F.struct("node", "n"), F.xxhash64("node", "band"))
-    parts = members.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("least"), chance.alias("hub"))
-    open_ = parts.groupBy("band", "key").agg(F.max_by(F.struct("comp", "hub"), F.struct("c", "comp")).alias("main"), F.sum("c").alias("size"), (F.sum("c") - F.max("c")).alias("strays"), F.bit_xor("x").alias("x"), F.min("least").alias("least")).where("strays > 0")
+    members = written(buckets.where("size > 2").join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("comp")), "minhash-members")
+    parts = members.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("least"))
+    open_ = parts.groupBy("band", "key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("size"), (F.sum("c") - F.max("c")).alias("strays"), F.bit_xor("x").alias("x"), F.min("least").alias("least")).where("strays > 0")
     # buckets of several bands may have the same members: the first band's is enough
-    once = open_.groupBy("size", "x", "least").agg(F.min(F.struct("band", "key", "main", "strays")).alias("s"))
-    once = once.select("s.band", "s.key", "s.strays", F.col("s.main.comp").alias("main"), F.col("s.main.hub.node").alias("hub"), F.col("s.main.hub.n").alias("hub_n"), "size")
+    once = open_.groupBy("size", "x", "least").agg(F.min(F.struct("band", "key", "main", "strays")).alias("s")).select("s.*", "size")
     return members, written(once, "minhash-open")
 
 
@@ -231,25 +228,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     signed = written(texts.mapInArrow(_sign(k, bands), "id long, n long, node long, check long, bands array<long>"), "minhash-signed")
     nodes = written(signed.where("n > 0 AND id IS NOT NULL").groupBy("node", "check", "n").agg(F.min("id").alias("least_id"), F.first("bands").alias("bands")), "minhash-nodes")
     placed = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
-    hubs = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("hub")).where("size > 1")
-    hubs = written(hubs.select("band", "key", "size", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "minhash-hubs")
+    # one hub for all buckets of a text, as far as it goes, and one by chance in each band
+    first_hub, other_hub = (F.min_by(F.struct("node", "n"), h) for h in (F.xxhash64("node"), F.xxhash64("node", "band")))
+    hubs = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), first_hub.alias("hub"), other_hub.alias("other")).where("size > 1")
+    hubs = written(hubs, "minhash-hubs")
     buckets = written(placed.join(hubs.hint("merge"), ["band", "key"]), "minhash-buckets")
     wanted = buckets.select("node").distinct().join(nodes.select("node", "least_id"), "node").select("node", F.col("least_id").alias("id"))
     sets = written(texts.join(wanted.hint("merge"), "id").select("node", "text").mapInArrow(_full_sets(k), "node long, set array<long>"), "minhash-sets")
-    links = written(_linked(_pairs(buckets, percent), sets, percent), "minhash-links")
-    first = written(connected_components(links), "minhash-roots")
-    for _ in range(ROUNDS):
-        members, once = _strays(buckets, first)
-        rows = members.join(once.hint("merge"), ["band", "key"]).where("comp <> main")
-        links = links.unionByName(written(_linked(_pairs(rows, percent), sets, percent), "minhash-links"))
-        first = written(connected_components(links), "minhash-roots")
+    first = written(connected_components(_linked(_pairs(buckets, percent), sets, percent)), "minhash-roots")
     more = written(connected_components(_rest(*_strays(buckets, first), nodes, sets, percent)), "minhash-roots")
     # the second components are of roots of the first, and of nodes that were alone
     joined = nodes.select("node", "least_id").join(first, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
     joined = joined.join(more.select(F.col("node").alias("part"), "root"), "part", "left").select("node", "least_id", F.coalesce("root", "part").alias("root"))
     joined = written(joined, "minhash-labels")
     smallest = written(joined.groupBy("root").agg(F.min("least_id").alias("component_id")), "minhash-smallest")
-    labels = written(joined.join(smallest, "root").select("node", "component_id"), "minhash-labels")
+    labels = joined.join(smallest, "root").select("node", "component_id")
     out = signed.select("id", "n", "node").join(labels.hint("merge"), "node", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     component = F.when(F.col("id").isNotNull(), component)
