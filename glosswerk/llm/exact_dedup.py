@@ -61,7 +61,7 @@ def radix_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         )
         forget(shared)
         depth += width
-        width *= DIGIT_GROWTH
+        width = min(width * DIGIT_GROWTH, 1 << 30)
         ended.append(more.where(F.col("len") <= depth))
         rows = more
         if longest <= depth:
