@@ -1,22 +1,42 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
 A token's probability is that of its class in its context times that of the
-token in its class.  The most frequent words are in classes of ``CLASS_WORDS``;
-all others are in classes by the hash of their last two bytes.  The class is a
-softmax over features of the context: the word before (2-gram), the one before
-that and the one before that (skips), and both words before, hashed (3-gram).
-In a class of frequent words the word is a softmax over the word before and
-the one before that; in the others it is its count plus one, in proportion.
-All of it sums to 1 over the known words and one unknown word a class.
-
-1. Counts: words of all training texts, as hashes, by partial aggregation.
-2. Training: each task makes gradient updates over all its texts in batches;
-   the updates are averaged row by row, weighted by how often each shard
-   saw the row's feature.  The number of shards follows the cluster's cores.
-3. Scoring, in numpy batches: words that make up at least one millionth of the
-   training tokens (so a million at most) have their counts at hand; a text's
-   other words leave as rows, meet their counts in a join, and come back as
-   one sum for each text.  No row of that join has a frequent key.
+token in its class.  All known words are in classes.  The most frequent words
+are in classes by their rank; the others are in a group by the hash of their
+last two bytes, in it in a bucket by their own hash, and each bucket's words
+are in classes by their rank in the bucket.  Group, bucket, class and word are
+softmaxes over features of the context, at every level:
+
+* the group (or class of frequent words): the word before (2-gram), the one
+  before that and the one before that (skips), both words before, hashed (3-gram);
+* the frequent word or bucket: the word before and the one before that;
+* class in the bucket and word in the class: the same two, as words themselves,
+  with a row for each pair of a class and a context word that training has.
+
+On the first two levels a context word is a frequent word or a group.  All of
+it sums to 1 over the known words and one unknown word a bucket.
+
+Sizes follow the counts (``sizes_for``).  The two upper levels' tables are
+held by every task and grow with roots of the distinct words and word pairs.
+The buckets' tables have as many rows as there are distinct n-grams in them;
+they are dealt to shards of ``EVENTS`` tokens, so their number grows in
+proportion to the training tokens.
+
+1. Counts: words of all training texts, as hashes, by partial aggregation, with
+   a sample of the hashes of word pairs.
+2. Training of the upper levels: each task makes gradient updates over all its
+   texts in batches; the updates are averaged row by row, weighted by how often
+   each shard saw the row's feature.  The number of shards follows the
+   cluster's cores.  Biases begin at the logs of the counts.
+3. Scoring of the upper levels, in numpy batches: words that make up at least
+   one millionth of the training tokens (so a million at most) have their
+   counts at hand; a text's other words leave as rows, meet their counts in a
+   join, and come back as one sum for each text.
+4. Buckets: tokens that aren't frequent words leave for their bucket's shard
+   with their two words before; the shard trains on those of training texts,
+   scores all, and gives back one sum for each text.  Their order is by their
+   content, so these scores don't depend on cores.  Rows are numbered twice;
+   if the input doesn't come in the same order again, the query fails.
 
 Words are runs without white space, A-Z lower-cased; each text has an end
 token.  Words are told apart by 64-bit hashes.
@@ -27,12 +47,14 @@ are equally likely.  A null id counts as the empty text in the fold's crc32.
 Repeated rows are scored, and counted, one by one; an empty table gives an
 empty table.  Only the id and text columns are read, so other columns may have
 any name.  Memory: an Arrow batch, a few arrays over ``BATCH_BYTES`` of text or
-the longest text, and the model's fixed tables.
+the longest text, the upper levels' tables, and a shard of the buckets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,15 +64,13 @@ from pyspark.sql import functions as F
 from .common import crc32_mod, slices, string_buffers, written
 from .textscan import LOWER, mix, words
 
+#: Sizes of a small corpus, and the least of a large one.
 CLASS_WORDS, FREQUENT_CLASSES, RARE_CLASSES = 32, 16, 24
 FREQUENT = CLASS_WORDS * FREQUENT_CLASSES
-CLASSES = FREQUENT_CLASSES + RARE_CLASSES
 #: Symbols of a context: frequent words, rare classes, and the start of the text.
 SYMBOLS = FREQUENT + RARE_CLASSES + 1
 START = SYMBOLS - 1
 HASHED = 1 << 14
-CLASS_ROWS = 1 + 3 * SYMBOLS + HASHED
-WORD_ROWS = FREQUENT_CLASSES + 2 * SYMBOLS * FREQUENT_CLASSES
 #: Words at hand in scoring make up this share of the training tokens, or more.
 HEAD_SHARE = 1_000_000
 BATCH_BYTES = 2 << 20
@@ -59,10 +79,54 @@ UPDATE, RATE = 8192, 0.1
 #: Tokens that are counted before their counts leave a task.
 COUNTED = 4 << 20
 CHUNKS = 64
+#: Of the word pairs' hashes one in so many is counted.
+PAIR_SAMPLE = 1024
+#: Tokens of a shard of buckets, tokens of a gradient update in a bucket, its step, and passes over a bucket.
+EVENTS = 1 << 20
+BUCKET_UPDATE, BUCKET_RATE, BUCKET_EPOCHS = 512, 0.5, 1
+#: Marks the documents that are only scored.
+HELD = np.uint32(1 << 31)
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
 _U, _F = np.uint64, np.float32
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """Sizes of the upper levels: words of a class (and buckets of a group), classes of frequent words, hashed rows."""
+
+    class_words: int = CLASS_WORDS
+    frequent_classes: int = FREQUENT_CLASSES
+    hashed: int = HASHED
+
+    @property
+    def frequent(self) -> int:
+        return self.class_words * self.frequent_classes
+
+    @property
+    def classes(self) -> int:
+        return self.frequent_classes + RARE_CLASSES
+
+    @property
+    def symbols(self) -> int:
+        return self.frequent + RARE_CLASSES + 1
+
+    @property
+    def class_rows(self) -> int:
+        return 1 + 3 * self.symbols + self.hashed
+
+    @property
+    def word_rows(self) -> int:
+        return self.classes * (1 + 2 * self.symbols)
+
+
+def sizes_for(distinct: int, pairs: int) -> Sizes:
+    """Frequent words in proportion to the root of the distinct words, in twice as wide as many classes; hashed rows by the root of the word pairs."""
+    width = max(CLASS_WORDS, math.ceil(distinct**0.25))
+    classes = max(FREQUENT_CLASSES, math.ceil(width / 2))
+    hashed = max(HASHED, 1 << math.ceil(math.log2(16 * max(pairs, 1) ** 0.5)))
+    return Sizes(width, classes, hashed)
+
+
 class Tokens:
     """Hashes, rare classes and bounds of the tokens of texts, end tokens included."""
 
@@ -94,16 +158,18 @@ class Tokens:
 class Head:
     """Words with at least the head's share of the training tokens; sums over all words; the frequent words."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, distinct: int, rare_tokens: np.ndarray, rare_words: np.ndarray):
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, distinct: int, rare_tokens: np.ndarray, rare_words: np.ndarray, sizes: Sizes = Sizes()):
+        self.sizes = sizes
         order = np.argsort(hashes)
         self.hash, self.count = hashes[order], counts[order]
         self.tokens, self.distinct = tokens, distinct
         # tokens and distinct words of each rare class, the frequent words not among them
         self.rare_tokens, self.rare_words = rare_tokens, rare_words
-        top = np.lexsort((self.hash, -self.count))[:FREQUENT]
+        top = np.lexsort((self.hash, -self.count))[: sizes.frequent]
         self.frequent = np.full(len(self.hash), -1, np.int64)
         self.frequent[top] = np.arange(len(top))
-        self.absent = np.arange(FREQUENT) >= len(top)
+        self.absent = np.arange(sizes.frequent) >= len(top)
+        self.top = np.where(self.absent, 0, np.pad(self.count[top], (0, sizes.frequent - len(top))))
 
 
 class Context:
@@ -113,23 +179,33 @@ class Context:
         self.at, self.in_head = tokens.known(head)
         frequent = np.where(self.in_head, head.frequent[self.at], -1) if len(head.hash) else np.full(len(tokens.hash), -1)
         self.is_frequent = frequent >= 0
-        symbol = np.where(self.is_frequent, frequent, FREQUENT + tokens.rare)
-        self.cls = np.where(self.is_frequent, frequent // CLASS_WORDS, FREQUENT_CLASSES + tokens.rare)
-        self.word = frequent % CLASS_WORDS
+        z = head.sizes
+        symbol = np.where(self.is_frequent, frequent, z.frequent + tokens.rare)
+        self.cls = np.where(self.is_frequent, frequent // z.class_words, z.frequent_classes + tokens.rare)
+        # the frequent word in its class, or the bucket in the group
+        self.word = np.where(self.is_frequent, frequent % z.class_words, bucket(tokens.hash, z.class_words))
 
         def back(k: int) -> np.ndarray:
-            out = np.full(len(symbol), START, np.int64)
+            out = np.full(len(symbol), z.symbols - 1, np.int64)
             out[k:] = symbol[: len(symbol) - k]
             out[tokens.place < k] = START
             return out
 
         s1, s2, s3 = back(1), back(2), back(3)
-        pair = (mix((s1 * SYMBOLS + s2).astype(_U)) >> _U(50)).astype(np.int64)
-        base = 1 + 3 * SYMBOLS
-        self.class_rows = np.stack([np.zeros_like(s1), 1 + s1, 1 + SYMBOLS + s2, 1 + 2 * SYMBOLS + s3, base + pair]).astype(np.uint16)
-        own = np.where(self.is_frequent, self.cls, 0)
-        skip = FREQUENT_CLASSES + SYMBOLS * FREQUENT_CLASSES
-        self.word_rows = np.stack([own, FREQUENT_CLASSES + s1 * FREQUENT_CLASSES + own, skip + s2 * FREQUENT_CLASSES + own]).astype(np.uint16)
+        pair = (mix((s1 * z.symbols + s2).astype(_U)) >> _U(65 - z.hashed.bit_length())).astype(np.int64)
+        base = 1 + 3 * z.symbols
+        self.class_rows = np.stack([np.zeros_like(s1), 1 + s1, 1 + z.symbols + s2, 1 + 2 * z.symbols + s3, base + pair]).astype(_rows_type(z.class_rows))
+        skip = z.classes * (1 + z.symbols)
+        self.word_rows = np.stack([self.cls, z.classes + s1 * z.classes + self.cls, skip + s2 * z.classes + self.cls]).astype(_rows_type(z.word_rows))
+
+
+def _rows_type(rows: int) -> type:
+    """Short numbers of rows are sorted faster."""
+    return np.uint16 if rows <= 1 << 16 else np.int32
+
+
+def bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashes >> _U(24)) % _U(buckets)).astype(np.int64)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -142,19 +218,17 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 class Model:
     """Feature tables of the two softmaxes."""
 
-    def __init__(self, absent: np.ndarray):
-        self.tables = [np.zeros((CLASS_ROWS, CLASSES), _F), np.zeros((WORD_ROWS, CLASS_WORDS), _F)]
+    def __init__(self, absent: np.ndarray, sizes: Sizes = Sizes(), prior: tuple[np.ndarray, np.ndarray] | None = None):
+        self.sizes = sizes
+        self.tables = [np.zeros((sizes.class_rows, sizes.classes), _F), np.zeros((sizes.word_rows, sizes.class_words), _F)]
+        if prior is not None:
+            self.tables[0][0], self.tables[1][: sizes.classes] = prior
         # words that a class of frequent words hasn't, in a small corpus, and classes without any
-        self.bar(absent)
-
-    def bar(self, absent: np.ndarray) -> None:
-        self.absent = absent.reshape(FREQUENT_CLASSES, CLASS_WORDS)
-        self.no_word = np.where(self.absent, _F(-1e9), _F(0))
-        self.no_class = np.zeros(CLASSES, _F)
-        self.no_class[:FREQUENT_CLASSES][self.absent.all(axis=1)] = -1e9
-        if self.absent.all():
-            return
-        self.no_word[self.absent.all(axis=1)] = 0
+        absent = absent.reshape(sizes.frequent_classes, sizes.class_words)
+        self.no_word = np.zeros((sizes.classes, sizes.class_words), _F)
+        self.no_word[: sizes.frequent_classes][absent & ~absent.all(axis=1, keepdims=True)] = -1e9
+        self.no_class = np.zeros(sizes.classes, _F)
+        self.no_class[: sizes.frequent_classes][absent.all(axis=1)] = -1e9
 
     def classes(self, rows: np.ndarray) -> np.ndarray:
         x = self.tables[0][rows[0]]
@@ -169,53 +243,119 @@ class Model:
         return _softmax(x + self.no_word[rows[0]])
 
     def log_probability(self, c: Context) -> np.ndarray:
-        """Natural log of each token's class probability, times the word's in its class where that is a softmax."""
+        """Natural log of each token's class probability times that of the frequent word or the bucket in it."""
         out = np.empty(len(c.cls))
         for lo in range(0, len(out), UPDATE):
             part = slice(lo, min(lo + UPDATE, len(out)))
-            p = self.classes(c.class_rows[:, part])
-            got = np.log(np.maximum(p[np.arange(len(p)), c.cls[part]], 1e-30))
-            own = np.flatnonzero(c.is_frequent[part])
-            if len(own):
-                q = self.words(c.word_rows[:, part][:, own])
-                got[own] += np.log(np.maximum(q[np.arange(len(own)), c.word[part][own]], 1e-30))
-            out[part] = got
+            p, q = self.classes(c.class_rows[:, part]), self.words(c.word_rows[:, part])
+            at = np.arange(len(p))
+            out[part] = np.log(np.maximum(p[at, c.cls[part]], 1e-30)) + np.log(np.maximum(q[at, c.word[part]], 1e-30))
         return out
 
 
 class Trainer(Model):
     """A shard's model, its gradient updates and how often each row was seen."""
 
-    def __init__(self, absent: np.ndarray):
-        super().__init__(absent)
+    def __init__(self, absent: np.ndarray, sizes: Sizes = Sizes(), prior: tuple[np.ndarray, np.ndarray] | None = None):
+        super().__init__(absent, sizes, prior)
         self.squares = [np.ones(len(t), _F) for t in self.tables]
         self.seen = [np.zeros(len(t)) for t in self.tables]
 
     def _push(self, which: int, rows: np.ndarray, error: np.ndarray) -> None:
-        table, squares, seen = self.tables[which], self.squares[which], self.seen[which]
         for r in rows:
-            order = np.argsort(r, kind="stable")
-            r = r[order]
-            starts = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-            g = np.add.reduceat(error[order], starts, axis=0)
-            at = r[starts]
-            squares[at] += (g * g).mean(axis=1)
-            table[at] -= _F(RATE) * g / np.sqrt(squares[at])[:, None]
-            seen[at] += np.diff(np.append(starts, len(r)))
+            at, times = step(self.tables[which], self.squares[which], r, error, RATE)
+            self.seen[which][at] += times
 
     def update(self, c: Context) -> None:
         for lo in range(0, len(c.cls), UPDATE):
             part = slice(lo, min(lo + UPDATE, len(c.cls)))
-            rows = c.class_rows[:, part]
-            error = self.classes(rows)
-            error[np.arange(len(error)), c.cls[part]] -= 1
-            self._push(0, rows, error)
-            own = np.flatnonzero(c.is_frequent[part])
-            if len(own):
-                rows = c.word_rows[:, part][:, own]
-                error = self.words(rows)
-                error[np.arange(len(own)), c.word[part][own]] -= 1
-                self._push(1, rows, error)
+            for which, softmax, rows, target in ((0, self.classes, c.class_rows, c.cls), (1, self.words, c.word_rows, c.word)):
+                error = softmax(rows[:, part])
+                error[np.arange(len(error)), target[part]] -= 1
+                self._push(which, rows[:, part], error)
+
+
+def step(table: np.ndarray, squares: np.ndarray, r: np.ndarray, error: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """A gradient step of the rows ``r``; the distinct rows and how often each is in ``r``."""
+    order = np.argsort(r, kind="stable")
+    r = r[order]
+    starts = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+    g = np.add.reduceat(error[order], starts, axis=0)
+    at = r[starts]
+    squares[at] += (g * g).mean(axis=1)
+    table[at] -= _F(rate) * g / np.sqrt(squares[at])[:, None]
+    return at, np.diff(np.append(starts, len(r)))
+
+
+class Level:
+    """A softmax at each node of one level of a bucket: class in the bucket, or word in the class.
+
+    A node's bias is the log of the counts plus one; each pair of a node and a
+    context word of the training tokens has a row of its own.
+    """
+
+    def __init__(self, node: np.ndarray, digit: np.ndarray, contexts: list[np.ndarray], bias: np.ndarray):
+        self.node, self.digit, self.bias = node, digit, bias
+        self.rows, self.tables = [], []
+        for c in contexts:
+            key = (node.astype(_U) << _U(32)) | c.astype(_U)
+            # rows of contexts that training hasn't are never pushed, so they stay 0
+            known, rows = np.unique(key, return_inverse=True)
+            self.rows.append(rows)
+            self.tables.append(np.zeros((len(known), bias.shape[1]), _F))
+        self.squares = [np.full(len(t), 0.1, _F) for t in self.tables]
+
+    def softmax(self, part: np.ndarray) -> np.ndarray:
+        x = self.bias[self.node[part]]
+        for rows, table in zip(self.rows, self.tables, strict=True):
+            x += table[rows[part]]
+        return _softmax(x)
+
+    def learn(self, order: np.ndarray) -> None:
+        for lo in range(0, len(order), BUCKET_UPDATE):
+            part = order[lo : lo + BUCKET_UPDATE]
+            error = self.softmax(part)
+            error[np.arange(len(part)), self.digit[part]] -= 1
+            for rows, table, squares in zip(self.rows, self.tables, self.squares, strict=True):
+                step(table, squares, rows[part], error, BUCKET_RATE)
+
+    def log_probability(self) -> np.ndarray:
+        out = np.empty(len(self.node))
+        for lo in range(0, len(out), UPDATE):
+            part = np.arange(lo, min(lo + UPDATE, len(out)))
+            out[part] = np.log(np.maximum(self.softmax(part)[np.arange(len(part)), self.digit[part]], 1e-30))
+        return out
+
+
+def bucket_scores(word: np.ndarray, one: np.ndarray, two: np.ndarray, learn: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each token in its bucket, learnt from those of training texts.
+
+    ``one`` and ``two`` are the words before; a word that training hasn't is the bucket's unknown word.
+    """
+    known, count = np.unique(word[learn], return_counts=True)
+    rank = np.empty(len(known), np.int64)
+    rank[np.lexsort((known, -count))] = np.arange(len(known))
+    at = np.searchsorted(known, word)
+    at[at == len(known)] = 0
+    place = np.where(known[at] == word, rank[at], len(known)) if len(known) else np.zeros(len(word), np.int64)
+    width = math.ceil(math.sqrt(len(known) + 1))
+    mass = np.zeros(width * width)
+    mass[rank] = count + 1
+    mass[len(known)] = 1
+    mass = mass.reshape(width, width)
+    with np.errstate(divide="ignore"):
+        outer = np.maximum(np.log(mass.sum(axis=1))[None, :], -1e9).astype(_F)
+        inner = np.maximum(np.log(mass), -1e9).astype(_F)
+    order = np.flatnonzero(learn)
+    # an order that depends on the content only
+    order = order[np.argsort(mix(mix((word[order].astype(_U) << _U(32)) | one[order]) + two[order]), kind="stable")]
+    out = np.zeros(len(word))
+    for node, digit, bias in ((np.zeros(len(word), np.int64), place // width, outer), (place // width, place % width, inner)):
+        level = Level(node, digit, [one, two], bias)
+        for _ in range(BUCKET_EPOCHS):
+            level.learn(order)
+        out += level.log_probability()
+    return out
 
 
 def _each(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, int, Tokens]]:
@@ -227,27 +367,34 @@ def _each(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.R
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, np.ndarray]] = []
+    pairs: list[np.ndarray] = []
     size = 0
 
     def out() -> pa.RecordBatch:
         hashes = np.concatenate([h for h, _ in held])
         distinct, at, counts = np.unique(hashes, return_index=True, return_counts=True)
         rare = np.concatenate([r for _, r in held])[at]
+        # word pairs of the sample have no rare class
+        pair = np.unique(np.concatenate(pairs))
+        distinct, counts = np.concatenate([distinct, pair]), np.concatenate([counts, np.ones(len(pair), np.int64)])
+        rare = np.concatenate([rare, np.full(len(pair), -1)])
         return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(rare), pa.array(counts.astype(np.int64))], names=["hash", "rare", "n"])
 
     for _, _, _, tokens in _each(batches, 0):
         held.append((tokens.hash, tokens.rare))
+        pair = mix(tokens.hash[1:] * _U(0xD6E8FEB86659FD93) + tokens.hash[:-1])[tokens.place[1:] > 0]
+        pairs.append(pair[pair % _U(PAIR_SAMPLE) == 0])
         size += len(tokens.hash)
         if size >= COUNTED:
             yield out()
-            held, size = [], 0
+            held, pairs, size = [], [], 0
     if held:
         yield out()
 
 
-def _train(head: Head):
+def _train(head: Head, prior: tuple[np.ndarray, np.ndarray] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, size = Trainer(head.absent), 0
+        trainer, size = Trainer(head.absent, head.sizes, prior), 0
         for _, _, _, tokens in _each(batches, 0):
             trainer.update(Context(tokens, head))
             size += len(tokens.hash)
@@ -272,32 +419,29 @@ def _add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 _PART = "which int, chunk int, sums binary, seen binary"
 
 
-def train(texts: DataFrame, head: Head) -> Model:
+def train(texts: DataFrame, head: Head, prior: tuple[np.ndarray, np.ndarray] | None = None) -> Model:
     """Model averaged from gradient updates over all rows of ``texts`` (text)."""
-    model = Model(head.absent)
+    model = Model(head.absent, head.sizes, prior)
     shards = max(1, 2 * texts.sparkSession.sparkContext.defaultParallelism)
-    parts = texts.coalesce(shards).mapInArrow(_train(head), _PART)
-    # in two steps, so that no task holds a chunk of all shards
-    parts = parts.withColumn("some", F.pmod(F.xxhash64("seen"), F.lit(16)).cast("int")).groupBy("which", "chunk", "some").applyInArrow(_add, _PART)
-    for row in parts.groupBy("which", "chunk").applyInArrow(_add, _PART).collect():  # the model's tables, of fixed size
+    parts = texts.coalesce(shards).mapInArrow(_train(head, prior), _PART)
+    if shards > 4 * CHUNKS:  # in two steps, so that no task holds a chunk of all shards
+        parts = parts.withColumn("some", F.pmod(F.xxhash64("seen"), F.lit(16)).cast("int")).groupBy("which", "chunk", "some").applyInArrow(_add, _PART)
+    for row in parts.groupBy("which", "chunk").applyInArrow(_add, _PART).toLocalIterator():  # the upper levels' tables, a chunk at a time
         table = model.tables[row["which"]]
         rows = np.array_split(np.arange(len(table)), CHUNKS)[row["chunk"]]
         sums = np.frombuffer(row["sums"], _F).reshape(len(rows), -1)
-        table[rows] = sums / np.maximum(np.frombuffer(row["seen"], np.float64), 1)[:, None]
+        seen = np.frombuffer(row["seen"], np.float64)
+        table[rows[seen > 0]] = sums[seen > 0] / seen[seen > 0, None]
     return model
 
 
 def _score(head: Head, model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # of a rare class: the log of its tokens, words and one unknown word
-        size = np.log(head.rare_tokens + head.rare_words + 1.0)
         head_log = np.log(head.count + 1.0)
         for batch, lo, hi, tokens in _each(batches, 2):
             c = Context(tokens, head)
             counted = np.where(c.in_head, head_log[c.at] if len(head_log) else 0.0, 0.0)
             own = model.log_probability(c)
-            rare = ~c.is_frequent
-            own[rare] += counted[rare] - size[tokens.rare[rare]]
             starts = tokens.first[:-1]
             n = np.diff(tokens.first)
             tail = np.flatnonzero(~c.in_head)
@@ -309,14 +453,100 @@ def _score(head: Head, model: Model):
                     pa.array(np.add.reduceat(c.in_head.astype(np.int64), starts)),
                     pa.array(np.add.reduceat(counted, starts)),
                     pa.array(np.add.reduceat(own, starts)),
+                    pa.array(np.add.reduceat((~c.is_frequent).astype(np.int64), starts)),
                     pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens.hash[tail].view(np.int64))),
                 ],
-                names=["row", "id", "n_tokens", "n_head", "counted", "own", "tail"],
+                names=["row", "id", "n_tokens", "n_head", "counted", "own", "n_rare", "tail"],
+            )
+
+    return run
+
+
+def _events(frequent: np.ndarray, buckets: int, shards: int):
+    """Tokens that aren't frequent words, packed by shard: (shard, base, n, data), documents counted from row ``base``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, lo, hi, tokens in _each(batches, 2):
+            at = np.searchsorted(frequent, tokens.hash)
+            at[at == len(frequent)] = 0
+            out = np.flatnonzero(frequent[at] != tokens.hash) if len(frequent) else np.arange(len(tokens.hash))
+            if not len(out):
+                continue
+            before = []
+            for k in (1, 2):
+                c = np.zeros(len(tokens.hash), np.uint32)
+                c[k:] = (tokens.hash[:-k] >> _U(32)).astype(np.uint32)
+                c[tokens.place < k] = 0
+                before.append(c[out])
+            doc = (np.searchsorted(tokens.first, out, side="right") - 1).astype(np.uint32)
+            learn = batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(bool)
+            doc[~learn[doc]] |= HELD
+            group = tokens.rare[out] * buckets + bucket(tokens.hash[out], buckets)
+            shard = (mix(group.astype(_U)) % _U(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            fields = [group.astype(np.uint32), (tokens.hash[out] >> _U(32)).astype(np.uint32), *before, doc]
+            # halves of words one after the other, so that those that hardly differ are compressed
+            fields = [f[order] for f in fields]
+            shard = shard[order]
+            starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+            ends = np.append(starts[1:], len(shard))
+            data = [b"".join((f[a:b] >> s).astype(np.uint16).tobytes() for f in fields for s in (np.uint32(0), np.uint32(16))) for a, b in zip(starts, ends, strict=True)]
+            base = batch.column(0)[lo].as_py()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard[starts].astype(np.int32)), pa.array(np.full(len(starts), base, np.int64)), pa.array((ends - starts).astype(np.int32)), pa.array(data, pa.binary())],
+                names=["shard", "base", "n", "data"],
             )
 
     return run
 
 
+def _score_buckets(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """(base, n, data) of each part of a shard: documents, sums of natural logs, numbers of tokens."""
+    table = table.sort_by("base")
+    sizes = table.column("n").to_numpy().astype(np.int64)
+    fields = np.empty((5, sizes.sum()), np.uint32)
+    at = 0
+    for n, data in zip(sizes.tolist(), table.column("data"), strict=True):
+        halves = np.frombuffer(data.as_buffer(), np.uint16).reshape(5, 2, n).astype(np.uint32)
+        fields[:, at : at + n] = halves[:, 0] | (halves[:, 1] << np.uint32(16))
+        at += n
+    group, word, one, two, doc = fields
+    learn = doc < HELD
+    order = np.argsort(group, kind="stable")
+    bounds = np.append(np.flatnonzero(np.diff(group[order], prepend=-1)), len(order))
+    logs = np.empty(len(order))
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        own = order[a:b]
+        logs[own] = bucket_scores(word[own], one[own], two[own], learn[own])
+    doc &= ~HELD
+    data, counts, at = [], [], 0
+    for n in sizes.tolist():
+        own, back, times = np.unique(doc[at : at + n], return_inverse=True, return_counts=True)
+        sums = np.bincount(back, logs[at : at + n])
+        data.append(own.tobytes() + sums.astype(_F).tobytes() + times.astype(np.uint32).tobytes())
+        counts.append(len(own))
+        at += n
+    return pa.table({"base": table.column("base"), "n": pa.array(counts, pa.int32()), "data": pa.array(data, pa.binary())})
+
+
+def _gather(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Row, sum of natural logs and number of tokens in buckets, from all shards' parts of the rows from ``base`` on."""
+    doc, logs, times = [], [], []
+    for n, data in zip(table.column("n").to_pylist(), table.column("data"), strict=True):
+        buffer = data.as_buffer()
+        doc.append(np.frombuffer(buffer, np.uint32, n))
+        logs.append(np.frombuffer(buffer, _F, n, 4 * n))
+        times.append(np.frombuffer(buffer, np.uint32, n, 8 * n))
+    own, back = np.unique(np.concatenate(doc), return_inverse=True)
+    return pa.table(
+        {
+            "row": pa.array(own.astype(np.int64) + key[0].as_py()),
+            "logs": pa.array(np.bincount(back, np.concatenate(logs))),
+            "n_rare": pa.array(np.bincount(back, np.concatenate(times)).astype(np.int64)),
+        }
+    )
+
+
 def lm_scores(docs: DataFrame, train_row: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -327,26 +557,44 @@ def lm_scores(docs: DataFrame, train_row: Column | None = None, id_col: str = "d
     train_row = crc32_mod("id", 7) != 2 if train_row is None else train_row
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     learned = rows.where(train_row).select("text")
-    counts = written(learned.mapInArrow(_count, "hash long, rare long, n long").groupBy("hash").agg(F.min("rare").alias("rare"), F.sum("n").alias("n")), "lm-counts")
-    by_class = counts.groupBy("rare").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()  # a row for each rare class
-    total, distinct = sum(r["n"] for r in by_class), sum(r["words"] for r in by_class)
+    counted = written(learned.mapInArrow(_count, "hash long, rare long, n long").groupBy("hash").agg(F.min("rare").alias("rare"), F.sum("n").alias("n")), "lm-counts")
+    counts = counted.where("rare >= 0")
+    total, distinct, pairs = counted.select(
+        F.coalesce(F.sum(F.when(F.col("rare") >= 0, F.col("n"))), F.lit(0)), F.count_if(F.col("rare") >= 0), F.count_if(F.col("rare") < 0) * PAIR_SAMPLE
+    ).first()
+    sizes = sizes_for(distinct, pairs)
+    buckets = sizes.class_words
     top = counts.where(F.col("n") * HEAD_SHARE >= total).toArrow()  # at most HEAD_SHARE rows
     hashes, rare, n = (top.column(c).to_numpy() for c in ("hash", "rare", "n"))
-    rare_tokens, rare_words = np.zeros(RARE_CLASSES), np.zeros(RARE_CLASSES)
-    for r in by_class:
-        rare_tokens[r["rare"]], rare_words[r["rare"]] = r["n"], r["words"]
-    head = Head(hashes.view(_U), n, total, distinct, rare_tokens, rare_words)
-    frequent = np.isin(hashes.view(_U), head.hash[head.frequent >= 0])
-    np.subtract.at(head.rare_tokens, rare[frequent], n[frequent])
-    np.subtract.at(head.rare_words, rare[frequent], 1)
-    model = train(learned, head)
+    hashes = hashes.view(_U)
+    # tokens and words of each bucket, a row for each bucket
+    tokens, words_in = np.zeros((RARE_CLASSES, buckets)), np.zeros((RARE_CLASSES, buckets))
+    own = F.pmod(F.shiftrightunsigned("hash", 24), F.lit(buckets)).alias("bucket")
+    for r in counts.groupBy("rare", own).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
+        tokens[r["rare"], r["bucket"]], words_in[r["rare"], r["bucket"]] = r["n"], r["words"]
+    head = Head(hashes, n, total, distinct, tokens.sum(axis=1), words_in.sum(axis=1), sizes)
+    is_frequent = np.isin(hashes, head.hash[head.frequent >= 0])
+    at = rare[is_frequent], bucket(hashes[is_frequent], buckets)
+    np.subtract.at(tokens, at, n[is_frequent])
+    np.subtract.at(words_in, at, 1)
+    mass = np.concatenate([head.top.reshape(-1, buckets) + 1.0, tokens + words_in + 1.0])
+    prior = np.log(mass.sum(axis=1)).astype(_F), np.log(mass).astype(_F)
+    model = train(learned, head, prior)
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", "text")
-    schema = "row long, id long, n_tokens long, n_head long, counted double, own double, tail array<long>"
+    schema = "row long, id long, n_tokens long, n_head long, counted double, own double, n_rare long, tail array<long>"
     scored = written(numbered.mapInArrow(_score(head, model), schema), "lm-scored")
+    shards = max(1, math.ceil(tokens.sum() / EVENTS))
+    events = numbered.select("row", F.coalesce(train_row, F.lit(False)).alias("learn"), "text").mapInArrow(_events(head.hash[head.frequent >= 0], buckets, shards), "shard int, base long, n int, data binary")
+    parts = events.groupBy("shard").applyInArrow(_score_buckets, "base long, n int, data binary")
+    in_buckets = parts.groupBy("base").applyInArrow(_gather, "row long, logs double, n_rare long")
     tail = scored.select("row", F.explode("tail").alias("hash")).join(counts.select("hash", "n").hint("merge"), "hash")
-    tail = tail.groupBy("row").agg(F.count(F.lit(1)).alias("n_tail"), F.sum(F.log(F.col("n") + 1.0)).alias("rest"))
-    out = scored.drop("tail").join(tail.hint("merge"), "row", "left")
+    none, nought = F.lit(0).cast("long"), F.lit(0.0)
+    tail = tail.select("row", F.lit(1).cast("long").alias("n_tail"), F.log(F.col("n") + 1.0).alias("rest"), nought.alias("logs"), none.alias("n_rare"))
+    tail = tail.unionByName(in_buckets.select("row", none.alias("n_tail"), nought.alias("rest"), "logs", "n_rare"))
+    tail = tail.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("n_tail", "rest", "logs", "n_rare")))
+    out = scored.drop("tail").withColumnRenamed("n_rare", "rare").join(tail.hint("merge"), "row", "left")
     rest = F.coalesce("rest", F.lit(0.0))
+    logs = F.when(F.coalesce("n_rare", F.lit(0)) == F.col("rare"), F.coalesce("logs", F.lit(0.0))).otherwise(F.raise_error(F.lit("lm_scores: the rows came in another order the second time; checkpoint them")).cast("double"))
     ln10 = float(np.log(10.0))
     return out.select(
         F.col("id").alias(id_col),
@@ -355,5 +603,5 @@ def lm_scores(docs: DataFrame, train_row: Column | None = None, id_col: str = "d
         (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         ((F.col("counted") + rest) / ln10 - F.col("n_tokens") * float(np.log10(total + distinct + 1.0))).alias("base_score"),
-        ((F.col("own") + rest) / ln10).alias("score"),
+        ((F.col("own") + logs) / ln10).alias("score"),
     )

@@ -254,6 +254,35 @@ def test_context_is_the_words_before():
     assert [rows[2][i] == 1 + L.SYMBOLS + L.START for i in range(8)] == [True, True, False, False, False, True, True, True]
 
 
+def test_rare_words_have_contexts(spark):
+    rng = random.Random(3)
+    pairs = [(f"a{i}xx", f"b{i}xx") for i in range(1500)]
+    filler = [f"f{i}" for i in range(600)]
+    rows = [(i, " ".join(w for _ in range(25) for w in (*rng.choice(pairs), *rng.choices(filler, k=4)))) for i in range(900)]
+    some = rng.sample(pairs, 200)
+    # the same words, all of them rare and with the same last bytes, after their own and after other words
+    rows += [(1000, " ".join(w for p in some for w in p)), (1001, " ".join(w for p, q in zip(some, some[1:] + some[:1], strict=True) for w in (p[0], q[1])))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in L.lm_scores(docs.repartition(2, "doc_id"), train_row=F.col("id") < 1000).where("doc_id >= 1000").collect()}
+    assert got[1000] > got[1001] + 20
+
+
+def test_sizes_follow_the_counts():
+    assert L.sizes_for(0, 0) == L.sizes_for(1000, 1000) == L.Sizes()
+    small, large = L.sizes_for(2_000_000, 20_000_000), L.sizes_for(200_000_000, 2_000_000_000)
+    assert large.frequent > 5 * small.frequent > 5 * L.FREQUENT and large.hashed > 5 * small.hashed > 5 * L.HASHED
+
+
+def test_bucket_probabilities_sum_to_one():
+    rng = np.random.default_rng(1)
+    word, one, two = (rng.integers(1, 9, 400).astype(np.uint32) for _ in range(3))
+    # each known word and an unknown one after the same two words
+    asked = np.arange(1, 10, dtype=np.uint32)
+    same = np.full(9, 3, np.uint32)
+    logs = L.bucket_scores(np.append(word, asked), np.append(one, same), np.append(two, same), np.arange(409) < 400)
+    assert np.exp(logs[400:]).sum() == pytest.approx(1, abs=1e-4)
+
+
 # licenses
 
 
