@@ -3,8 +3,10 @@
 A whole text is brought to a canonical form (case, punctuation, copyright
 lines, equivalent spellings), and the SHA-256 of that form is looked up in a
 table of digests of known license texts by a hash join.  The table has one row
-for each license of the list, so it is broadcast; a longer list of the
-caller's own is left to the planner.
+for each text of this library's list, so it is broadcast; a longer list of the
+caller's own is left to the planner.  The list has each license with and
+without its usual title lines.  A license or notice inside a longer text isn't
+found: only the whole text is looked up.
 
 Defined results: a null text is the empty text, and no license; a text with
 nothing but copyright lines and punctuation has an empty canonical form and no
@@ -19,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .license_library import more_texts
 from .license_texts import LICENSES
 
 #: Spellings that count as equal, as (spelling, canonical spelling) of whole words.
@@ -77,7 +80,7 @@ def spaced(words: str) -> str:
 def known_digests(spark: SparkSession, texts: DataFrame | None = None) -> DataFrame:
     """(canonical_sha256, license_id) of ``texts`` (license_id, text), by default of the list of this library."""
     if texts is None:
-        texts = spark.createDataFrame(sorted(LICENSES.items()), "license_id string, text string")
+        texts = spark.createDataFrame(sorted([*LICENSES.items(), *more_texts()]), "license_id string, text string")
     form = canonical(F.col("text"))
     return texts.select("license_id", form.alias("form")).where("form <> ''").groupBy(F.sha2(F.col("form").cast("binary"), 256).alias("canonical_sha256")).agg(F.min("license_id").alias("license_id"))
 
@@ -86,6 +89,6 @@ def license_scan(docs: DataFrame, texts: DataFrame | None = None, id_col: str =
     """One row per row of ``docs``: id, n_canonical, canonical_sha256, license_id (null: none known)."""
     known = known_digests(docs.sparkSession, texts)
     if texts is None:
-        known = F.broadcast(known)  # a row for each license of this library's list
+        known = F.broadcast(known)  # a row for each text of this library's list
     forms = docs.select(F.col(id_col).alias("id"), canonical(F.col(text_col)).alias("form")).select("id", F.length("form").cast("long").alias("n_canonical"), F.sha2(F.col("form").cast("binary"), 256).alias("canonical_sha256"))
     return forms.join(known, "canonical_sha256", "left").select(F.col("id").alias(id_col), "n_canonical", "canonical_sha256", "license_id")

@@ -303,6 +303,23 @@ def test_licenses(spark):
     assert C.license_scan(docs.limit(0)).collect() == []
 
 
+def test_whole_licenses_and_titles(spark):
+    folder = Path(C.__file__).parent / "licenses"
+    whole = {p.stem: p.read_text() for p in folder.glob("*.txt")}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= set(whole)
+    asked = [*whole.items()]
+    asked += [(i, whole[i].upper().replace("\n", "\r\n")) for i in ("GPL-3.0", "MPL-2.0")]
+    asked += [("Apache-2.0", whole["Apache-2.0"].split("APPENDIX")[0]), ("Apache-2.0", whole["Apache-2.0"].split("licenses/", 1)[1])]
+    asked += [("GPL-2.0", re.sub("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301", "59 Temple Place, Suite 330, Boston, MA  02111-1307", whole["GPL-2.0"]))]
+    mine = "\n\nCopyright (c) 2024 Someone\n\n"
+    titles = {"0BSD": "BSD Zero Clause License", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "The 3-Clause BSD License", "ISC": "ISC License (ISC)", "Unlicense": "The Unlicense", "Zlib": "zlib License"}
+    asked += [(i, t + mine + LICENSES[i]) for i, t in titles.items()]
+    asked += [("MIT (with its name)", "The MIT License (MIT)" + mine + LICENSES["MIT"]), (None, "Their License" + mine + LICENSES["MIT"]), (None, whole["GPL-2.0"][:9000])]
+    docs = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(asked)], "doc_id long, text string")
+    got = {r["doc_id"]: r["license_id"] for r in C.license_scan(docs).collect()}
+    assert [got[n] for n in range(len(asked))] == [i for i, _ in asked]
+
+
 # pipeline
 
 
