@@ -331,14 +331,17 @@ def sample(docs: DataFrame, labels: DataFrame, train_row: Column, most_toxic: in
     """Texts and labels to train on, of bounded number and size."""
     known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("id IS NOT NULL AND toxic IN (0, 1)")
     known = known.groupBy("id").agg(F.max("toxic").alias("toxic")).where(train_row)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).where(F.octet_length("text") <= MOST_BYTES)
+    # only ids that have such a text count towards the limits
+    known = known.join(rows.select("id").hint("merge"), "id", "left_semi")
     order = [F.md5(F.col("id").cast("string").cast("binary")), F.col("id")]
     chosen = known.where("toxic = 1").orderBy(*order).limit(most_toxic).unionByName(known.where("toxic = 0").orderBy(*order).limit(most_clean))
     ids = [tuple(r) for r in chosen.collect()]  # at most most_toxic + most_clean
     if not ids:
         return [], []
     chosen = docs.sparkSession.createDataFrame(ids, "id long, toxic int")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).join(F.broadcast(chosen), "id").where(F.octet_length("text") <= MOST_BYTES)
+    rows = rows.join(F.broadcast(chosen), "id")
     rows = rows.groupBy("id", "toxic").agg(F.min("text").alias("text")).collect()  # as many texts at most, of at most MOST_BYTES
     rows.sort(key=lambda r: r["id"])
     return [r["text"] for r in rows], [r["toxic"] for r in rows]

@@ -195,6 +195,14 @@ def test_mixing_other_cases(spark):
         X.budgets(docs, F.lit(1), 1, {("a",): -1})
 
 
+def test_sample_fills_up(spark):
+    long = "x" * (T.MOST_BYTES + 1)
+    docs = spark.createDataFrame([(i, long if i < 40 else f"text {i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    texts, toxic = T.sample(docs, labels, F.lit(True), 8, 9, "doc_id", "text")
+    assert (sum(toxic), len(toxic)) == (8, 17) and long not in texts
+
+
 # language model
 
 
