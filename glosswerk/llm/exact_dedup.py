@@ -4,18 +4,24 @@ Documents are strings of bytes with their length in front.  A round splits
 every open group by its next run of bytes (a radix digit of many bytes, so
 that a few rounds reach the end of any text); groups of one row leave, groups
 whose bytes have ended are classes of equal documents.  Bytes decide, no
-digest does.  A group is named by its smallest id, so no round ships a group
-to one place: counts and names come from a partial aggregation, and rows find
-their group's name through a join whose large keys Spark can split.  The joins
+digest does, neither in the groups nor in finding the rows again: a row carries
+its group from round to round.
+
+A group is named by a number that is given when the round's groups are
+written, so it is unique whatever the ids are.  No round ships a group to one
+place: counts and the smallest id come from a partial aggregation, and rows
+find their group through a join whose large keys Spark can split.  The joins
 are merge joins at any size, so that a run's cost is in proportion to its
 input and nothing is broadcast that grows with it.
 
 Defined results: a null text is the empty text; equal texts are equal after
-each run of white space became one space.  A null id loses against any other
-id; a class whose ids are all null has a null ``keep_id``, and its rows have
-``kept`` true.  Repeated rows (same id and text) count one by one in
-``group_size`` and share ``kept``.  An empty table gives an empty table.
-Only the id and text columns are read, so other columns may have any name.
+each run of white space became one space.  Ids decide nothing but which row
+stays: rows with one id and different texts are judged one by one.  A null id
+loses against any other id; a class whose ids are all null has a null
+``keep_id``, and its rows have ``kept`` true.  Repeated rows (same id and text)
+count one by one in ``group_size`` and share ``kept``.  An empty table gives an
+empty table.  Only the id and text columns are read, so other columns may have
+any name.
 """
 
 from __future__ import annotations
@@ -35,61 +41,52 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), rf"[\x09-\x0D][{SPACE}]*| [{SPACE}]+", " ")
 
 
-def radix_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows that have an equal: (id, text_sha256, keep_id, group_size), one for each id and text."""
-    body = normalised(F.col(text_col)).cast("binary")
-    start = docs.select(F.col(id_col).alias("id"), body.alias("body")).select("id", "body", F.octet_length("body").alias("len"), F.substring("body", 1, FIRST_DIGIT).alias("digit"))
-    shared = written(start.groupBy("len", "digit").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("grp")).where("n > 1"), "radix-digits")
-    rows = written(
-        start.join(shared.hint("merge"), ["len", "digit"]).select("id", "len", "grp", "n", F.sha2("body", 256).alias("sha"), F.expr(f"substring(body, {FIRST_DIGIT + 1})").alias("rest")),
-        "radix-rows",
-    )
-    forget(shared)
-    ended = [rows.where(F.col("len") <= FIRST_DIGIT)]
-    depth, width = FIRST_DIGIT, FIRST_DIGIT * DIGIT_GROWTH
+def radix_classes(rows: DataFrame, body: Column) -> DataFrame:
+    """``rows`` (id, row, and perhaps body) with ``n``, the size of each row's class, and ``keep``, its smallest id.
+
+    ``body`` says of a row the bytes that decide.  A column of that name is kept
+    as long as its row is in an open group.
+    """
+    own = ["id", "row"] + [c for c in rows.columns if c == "body"]
+    now = rows.select(*own, F.lit(0).cast("long").alias("grp"), F.octet_length(body).alias("len"))
+    depth, width = 0, FIRST_DIGIT
+    parts: list[DataFrame] = []
     while True:
-        # `rest` is what follows `depth`; a group is open while its bytes haven't ended
-        still = rows.where(F.col("len") > depth).withColumn("digit", F.expr(f"substring(rest, 1, {width})"))
-        longest = still.agg(F.max("len")).first()[0]
-        if longest is None:
-            break
-        shared = written(still.groupBy("len", "grp", "digit").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("next")).where("n > 1"), "radix-digits")
-        same = (F.col("a.len") == F.col("b.len")) & F.col("a.grp").eqNullSafe(F.col("b.grp")) & (F.col("a.digit") == F.col("b.digit"))
-        more = written(
-            still.alias("a").join(shared.alias("b"), same).select("a.id", "a.len", F.col("b.next").alias("grp"), "b.n", "a.sha", F.expr(f"substring(a.rest, {width + 1})").alias("rest")),
-            "radix-rows",
-        )
-        forget(shared)
+        # a group is open while its bytes haven't ended; nothing is known of them before the first round
+        still = now.where(F.col("len") > depth) if depth else now
+        still = still.withColumn("digit", F.substring(body, depth + 1, width))
+        key = ["grp", "len", "digit"]
+        shared = still.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("keep")).where("n > 1")
+        # the number is of the committed file's rows, so it is unique however often a task ran
+        shared = written(shared.withColumn("next", F.monotonically_increasing_id()), "radix-groups")
         depth += width
+        met = still.join(shared.hint("merge"), key, "left")
+        open_ = F.col("next").isNotNull() & (F.col("len") > depth)
+        columns = ["id", "row", *(F.when(open_, F.col(c)).alias(c) for c in own[2:])]
+        rows = written(met.select(*columns, "len", F.col("next").alias("grp"), "n", "keep"), "radix-rows")
+        forget(shared)
+        # rows that are alone or have ended leave here, the others come again in the next round's rows
+        parts.append(rows.where((F.col("len") <= depth) | F.col("grp").isNull()))
+        now = rows.where("grp IS NOT NULL").drop("n", "keep")
         width = min(width * DIGIT_GROWTH, 1 << 30)
-        ended.append(more.where(F.col("len") <= depth))
-        rows = more
-        if longest <= depth:
+        if now.where(F.col("len") > depth).isEmpty():
             break
-    classes = ended[0]
-    for part in ended[1:]:
-        classes = classes.unionByName(part)
-    return classes.select("id", F.col("sha").alias("text_sha256"), F.col("grp").alias("keep_id"), F.col("n").alias("group_size")).dropDuplicates(["id", "text_sha256"])
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    alone = F.col("grp").isNull()
+    return out.select("id", "row", F.when(alone, 1).otherwise(F.col("n")).cast("long").alias("n"), F.when(alone, F.col("id")).otherwise(F.col("keep")).alias("keep"))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256."""
-    found = radix_classes(docs, id_col, text_col).alias("b")
-    rows = docs.select(F.col(id_col).alias("id"), hex_sha256(normalised(F.col(text_col))).alias("text_sha256")).alias("a")
-    joined = rows.join(found.hint("merge"), (F.col("a.text_sha256") == F.col("b.text_sha256")) & F.col("a.id").eqNullSafe(F.col("b.id")), "left")
-    alone = F.col("b.group_size").isNull()
-    keep = F.when(alone, F.col("a.id")).otherwise(F.col("b.keep_id"))
-    return joined.select(
-        F.col("a.id").alias(id_col),
-        keep.alias("keep_id"),
-        F.coalesce(F.col("b.group_size"), F.lit(1)).cast("long").alias("group_size"),
-        F.col("a.id").eqNullSafe(keep).alias("kept"),
-        F.col("a.text_sha256"),
-    )
+    """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256 (of the normalised text, for output only)."""
+    bodies = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).cast("binary").alias("body"))
+    found = radix_classes(bodies.select("id", hex_sha256(F.col("body")).alias("row"), "body"), F.col("body"))
+    return found.select(F.col("id").alias(id_col), F.col("keep").alias("keep_id"), F.col("n").alias("group_size"), F.col("id").eqNullSafe(F.col("keep")).alias("kept"), F.col("row").alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text a row with a smaller id has; all columns as they were."""
-    gone = radix_classes(docs, id_col, text_col).where(~F.col("id").eqNullSafe(F.col("keep_id"))).select("id", "text_sha256").alias("b")
-    key = hex_sha256(normalised(F.col(f"a.{text_col}")))
-    return docs.alias("a").join(gone.hint("merge"), (key == F.col("b.text_sha256")) & F.col(f"a.{id_col}").eqNullSafe(F.col("b.id")), "left_anti")
+    rows = docs.select(F.col(id_col).alias("id"), F.struct(*(F.col(c) for c in docs.columns)).alias("row"))
+    found = radix_classes(rows, normalised(F.col("row")[text_col]).cast("binary"))
+    return found.where(F.col("id").eqNullSafe(F.col("keep"))).select(*(F.col("row")[c].alias(c) for c in docs.columns))

@@ -61,6 +61,35 @@ def test_exact_dedup_is_brute_force(spark):
     assert sorted([tuple(r) for r in got], key=str) == exact(rows)
 
 
+def test_unequal_texts_of_shared_and_null_ids_stay(spark):
+    a, b, x, y = "a" * 64, "b" * 64, "x" * 100, "y" * 100
+    rows = [(1, a + x), (2, a + y), (1, b + y), (3, b + x)]
+    assert sorted([tuple(r) for r in E.exact_dedup(frame(spark, rows)).collect()], key=str) == exact(rows)
+    assert E.drop_copies(frame(spark, rows)).count() == 4
+    rows = [(None, h + t) for h in (a, b) for t in (x, y)]
+    assert {r["group_size"] for r in E.exact_dedup(frame(spark, rows)).collect()} == {1} and E.drop_copies(frame(spark, rows)).count() == 4
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_exact_dedup_of_heads_and_tails(spark, seed):
+    """Texts of equal length from a few heads, middles and tails, which part in every round, under few ids."""
+    rng = random.Random(seed)
+    heads = ["".join(rng.choice("ab") for _ in range(64)) for _ in range(3)]
+    middles = ["".join(rng.choice("cd") for _ in range(64 * 64)) for _ in range(2)]
+    tails = ["".join(rng.choice("ef") for _ in range(n)) for n in (1, 36, 36)] + [""]
+    rows = []
+    for _ in range(160):
+        text = rng.choice(heads) + rng.choice(["", *middles, *(m + rng.choice(tails) for m in middles)]) + rng.choice(tails)
+        rows.append((rng.choice([None, 1, 2, 3, 4]), text))
+    assert sorted([tuple(r) for r in E.exact_dedup(frame(spark, rows)).collect()], key=str) == exact(rows)
+    body = {}
+    for i, t in rows:
+        if i is not None:
+            body[t] = min(i, body.get(t, i))
+    kept = sorted(((i, t) for i, t in rows if i == body.get(t)), key=str)
+    assert sorted(map(tuple, E.drop_copies(frame(spark, rows)).collect()), key=str) == kept
+
+
 def test_exact_dedup_other_cases(spark):
     assert E.exact_dedup(frame(spark, [])).collect() == []
     rows = [(2, "a"), (1, "a"), (3, None)]
