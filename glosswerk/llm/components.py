@@ -35,7 +35,7 @@ def _star(edges: DataFrame, both_ways: bool) -> DataFrame:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node with an edge; ``edges`` has two long columns, a and b.
+    """(node, root) of every node with an edge, as a written table; ``edges`` has two long columns, a and b.
 
     The root is the smallest node of the component.  Nulls aren't nodes;
     edges from a node to itself and repeated edges don't matter; no edges give an
@@ -48,4 +48,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         now = _star(large, both_ways=False)
         forget(large)
     # at the fixed point each node has one edge, to its component's smallest node
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    out = written(now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()), "component-roots")
+    forget(now)
+    return out

@@ -6,7 +6,8 @@ for each hash evaluation; both agree between two sets with a probability equal
 to their similarity.  Values are banded; texts that share a band's bucket are
 candidates, and a link counts only after the full sets confirm it.
 
-1. Rows with equal sets become one node, so copies never meet each other.
+1. Rows with equal sets (two 64-bit digests and the size) become one node, so
+   copies never meet each other.  Nodes are numbered when they are written.
 2. Each bucket has two hubs, one by a hash of the text and one by a hash of the
    text and the band; every other member is compared with both: two comparisons a
    row.  Links give components.
@@ -24,9 +25,11 @@ Defined results: A-Z are lower-cased.  A text with fewer words than a shingle
 has its whole sequence as one shingle; one without words, or a null text, has
 an empty set and no links.  A row with a null id has no links, a null
 ``component_id``, and is kept.  Rows with one id but different texts belong to
-the groups of each of them.  Repeated rows share a result.  An empty table
-gives an empty table.  Only the id and text columns are read, so other columns
-may have any name.
+the groups of each of them, and ``drop_near_duplicates`` judges each row by its
+own text: of a group those rows stay that have its smallest id and, of the sets
+with that id, the same one.  Repeated rows (same id and set) share a result, so
+all of them stay or go.  An empty table gives an empty table.  Only the id and
+text columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -36,18 +39,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, string_buffers, written
+from .common import forget, slices, string_buffers, written
 from .components import connected_components
 from .textscan import LOWER, mix, shingles, words
 
 #: Chance that a pair at the threshold shares no bucket, and values of a signature in each band.
 MISS, BAND_VALUES = 1e-5, 4
 BATCH_BYTES = 2 << 20
-#: Strays and members of a block of step 3.
-STRAYS, MEMBERS = 256, 512
+#: Strays and members of a block of step 3, and shingles that either are expected to have (or those of one text).
+STRAYS, MEMBERS, BLOCK_SHINGLES = 256, 512, 1 << 20
 _U = np.uint64
 
 
@@ -118,10 +121,11 @@ def _sign(k: int, bands: int):
         for batch in batches:
             for lo, hi, sets, bounds in _sets(batch, 1, k):
                 keys = band_keys(signatures(sets, bounds, bands), bands)
-                node, check = _digests(sets, bounds)
+                first, second = _digests(sets, bounds)
+                own = [batch.column(i).slice(lo, hi - lo) for i in (0, 2, 3)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(bounds)), pa.array(node.view(np.int64)), pa.array(check.view(np.int64)), _lists(keys.ravel(), np.arange(hi - lo + 1) * bands)],
-                    names=["id", "n", "node", "check", "bands"],
+                    [*own, pa.array(np.diff(bounds)), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), _lists(keys.ravel(), np.arange(hi - lo + 1) * bands)],
+                    names=["id", "hash", "other", "n", "d1", "d2", "bands"],
                 )
 
     return run
@@ -129,13 +133,20 @@ def _sign(k: int, bands: int):
 
 def _full_sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.int64)  # of repeated rows a task gives the set once
         for batch in batches:
-            wanted = batch.column(0).to_numpy()
+            wanted = [batch.column(i).to_numpy() for i in (2, 3)]
             for lo, hi, sets, bounds in _sets(batch, 1, k):
-                node = _digests(sets, bounds)[0].view(np.int64)
                 # an id may stand for several texts: only the node's own text counts
-                own = pa.array(node == wanted[lo:hi])
-                yield pa.RecordBatch.from_arrays([pa.array(node), _lists(sets, bounds)], names=["node", "set"]).filter(own)
+                own = np.logical_and.reduce([d.view(np.int64) == w[lo:hi] for d, w in zip(_digests(sets, bounds), wanted, strict=True)])
+                node = batch.column(0).slice(lo, hi - lo)
+                number = node.to_numpy()
+                at = np.flatnonzero(own & ~np.isin(number, seen))
+                at = at[np.unique(number[at], return_index=True)[1]]
+                own = np.zeros(hi - lo, bool)
+                own[at] = True
+                seen = np.union1d(seen, number[at])
+                yield pa.RecordBatch.from_arrays([node, _lists(sets, bounds)], names=["node", "set"]).filter(pa.array(own))
 
     return run
 
@@ -202,18 +213,20 @@ def _strays(buckets: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]
 
     Of these: the largest component and the number of strays, the members outside it.
     """
-    members = written(buckets.where("size > 2").join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("comp")), "minhash-members")
-    parts = members.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("least"))
-    open_ = parts.groupBy("band", "key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("size"), (F.sum("c") - F.max("c")).alias("strays"), F.bit_xor("x").alias("x"), F.min("least").alias("least")).where("strays > 0")
+    members = written(buckets.where("size > 2").join(roots, "node", "left").select("band", "key", "node", "n", F.coalesce("root", "node").alias("comp")), "minhash-members")
+    parts = members.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("least"))
+    largest = F.max(F.struct("c", "comp", "w"))
+    open_ = parts.groupBy("band", "key").agg(largest.alias("main"), F.sum("c").alias("size"), F.sum("w").alias("wide"), F.bit_xor("x").alias("x"), F.min("least").alias("least")).where("size > main.c")
     # buckets of several bands may have the same members: the first band's is enough
-    once = open_.groupBy("size", "x", "least").agg(F.min(F.struct("band", "key", "main", "strays")).alias("s")).select("s.*", "size")
+    once = open_.groupBy("size", "x", "least").agg(F.min(F.struct("band", "key", "main", "wide")).alias("s"))
+    once = once.select("s.band", "s.key", F.col("s.main.comp").alias("main"), "size", "s.wide", (F.col("size") - F.col("s.main.c")).alias("strays"), (F.col("s.wide") - F.col("s.main.w")).alias("strays_wide"))
     return members, written(once, "minhash-open")
 
 
 def _rest(members: DataFrame, once: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Step 3: links (a, b) between components of buckets that have several."""
-    blocks = F.ceil(F.col("strays") / STRAYS).cast("int")
-    chunks = F.ceil(F.col("size") / MEMBERS).cast("int")
+    blocks = F.ceil(F.greatest(F.col("strays") / STRAYS, F.col("strays_wide") / BLOCK_SHINGLES)).cast("int")
+    chunks = F.ceil(F.greatest(F.col("size") / MEMBERS, F.col("wide") / BLOCK_SHINGLES)).cast("int")
     rows = members.join(once.hint("merge"), ["band", "key"]).withColumn("at", F.xxhash64("node", F.lit(7)))
     stray = rows.where("comp <> main").select("band", "key", "node", "comp", F.lit(True).alias("stray"), F.pmod("at", blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"))
     rest = rows.select("band", "key", "node", "comp", F.lit(False).alias("stray"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.pmod("at", chunks).cast("int").alias("chunk"))
@@ -221,35 +234,56 @@ def _rest(members: DataFrame, once: DataFrame, nodes: DataFrame, sets: DataFrame
     return full.groupBy("band", "key", "block", "chunk").applyInArrow(_finish(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id (smallest id of its group), kept."""
+def _groups(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Rows (id, hash, other, n, component_id, stays): hashes of the text, its set's size, and whether it stands for its group."""
     bands = bands_for(percent)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(texts.mapInArrow(_sign(k, bands), "id long, n long, node long, check long, bands array<long>"), "minhash-signed")
-    nodes = written(signed.where("n > 0 AND id IS NOT NULL").groupBy("node", "check", "n").agg(F.min("id").alias("least_id"), F.first("bands").alias("bands")), "minhash-nodes")
+    hashed = texts.select("id", "text", *_text_hashes(F.col("text")))
+    signed = written(hashed.mapInArrow(_sign(k, bands), "id long, hash long, other long, n long, d1 long, d2 long, bands array<long>"), "minhash-signed")
+    nodes = signed.where("n > 0 AND id IS NOT NULL").groupBy("d1", "d2", "n").agg(F.min("id").alias("least_id"), F.first("bands").alias("bands"))
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "minhash-nodes")
     placed = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     # one hub for all buckets of a text, as far as it goes, and one by chance in each band
     first_hub, other_hub = (F.min_by(F.struct("node", "n"), h) for h in (F.xxhash64("node"), F.xxhash64("node", "band")))
     hubs = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), first_hub.alias("hub"), other_hub.alias("other")).where("size > 1")
     hubs = written(hubs, "minhash-hubs")
     buckets = written(placed.join(hubs.hint("merge"), ["band", "key"]), "minhash-buckets")
-    wanted = buckets.select("node").distinct().join(nodes.select("node", "least_id"), "node").select("node", F.col("least_id").alias("id"))
-    sets = written(texts.join(wanted.hint("merge"), "id").select("node", "text").mapInArrow(_full_sets(k), "node long, set array<long>"), "minhash-sets")
-    first = written(connected_components(_linked(_pairs(buckets, percent), sets, percent)), "minhash-roots")
-    more = written(connected_components(_rest(*_strays(buckets, first), nodes, sets, percent)), "minhash-roots")
+    forget(hubs)
+    wanted = buckets.select("node").distinct().join(nodes.select("node", "d1", "d2", F.col("least_id").alias("id")), "node")
+    sets = written(texts.join(wanted.hint("merge"), "id").select("node", "text", "d1", "d2").mapInArrow(_full_sets(k), "node long, set array<long>"), "minhash-sets")
+    first = connected_components(_linked(_pairs(buckets, percent), sets, percent))
+    members, once = _strays(buckets, first)
+    more = connected_components(_rest(members, once, nodes, sets, percent))
+    forget(buckets, sets, members, once)
     # the second components are of roots of the first, and of nodes that were alone
-    joined = nodes.select("node", "least_id").join(first, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
-    joined = joined.join(more.select(F.col("node").alias("part"), "root"), "part", "left").select("node", "least_id", F.coalesce("root", "part").alias("root"))
+    joined = nodes.select("node", "d1", "d2", "n", "least_id").join(first, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
+    joined = joined.join(more.select(F.col("node").alias("part"), "root"), "part", "left").select("node", "d1", "d2", "n", "least_id", F.coalesce("root", "part").alias("root"))
     joined = written(joined, "minhash-labels")
-    smallest = written(joined.groupBy("root").agg(F.min("least_id").alias("component_id")), "minhash-smallest")
-    labels = joined.join(smallest, "root").select("node", "component_id")
-    out = signed.select("id", "n", "node").join(labels.hint("merge"), "node", "left")
+    forget(first, more, nodes)
+    # of several sets with the group's smallest id one stands for it, whatever the numbers of the nodes
+    smallest = written(joined.groupBy("root").agg(F.min(F.struct("least_id", "d1", "d2", "n")).alias("best")), "minhash-smallest")
+    labels = joined.join(smallest, "root").select("d1", "d2", "n", F.col("best.least_id").alias("component_id"), (F.struct("d1", "d2", "n") == F.struct("best.d1", "best.d2", "best.n")).alias("own"))
+    out = signed.drop("bands").join(labels.hint("merge"), ["d1", "d2", "n"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     component = F.when(F.col("id").isNotNull(), component)
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    stays = F.col("id").eqNullSafe(component) & (F.col("id").isNull() | (F.col("n") == 0) | F.col("own"))
+    return out.select("id", "hash", "other", "n", component.alias("component_id"), stays.alias("stays"))
+
+
+def _text_hashes(text: Column) -> tuple[Column, Column]:
+    """Two hashes that tell apart the texts of rows with one id."""
+    return F.xxhash64(text).alias("hash"), F.xxhash64(F.lit(1), text).alias("other")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, component_id (smallest id of its group), kept."""
+    out = _groups(docs, k, percent, id_col, text_col)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate group, that with the smallest id; all columns as they were."""
-    gone = near_duplicates(docs, k, percent, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("id")).distinct().alias("b")
-    return docs.alias("a").join(gone.hint("merge"), F.col(f"a.{id_col}") == F.col("b.id"), "left_anti")
+    """``docs`` without the rows of a near-duplicate group but the one with the smallest id; all columns as they were."""
+    gone = _groups(docs, k, percent, id_col, text_col).where(~F.col("stays")).select("id", "hash", "other").distinct().alias("b")
+    hash_, other = _text_hashes(F.col(f"a.{text_col}").cast("string"))
+    same = (F.col(f"a.{id_col}").cast("long") == F.col("b.id")) & (hash_ == F.col("b.hash")) & (other == F.col("b.other"))
+    return docs.alias("a").join(gone.hint("merge"), same, "left_anti")

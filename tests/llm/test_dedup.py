@@ -172,6 +172,16 @@ def test_near_duplicates_other_cases(spark):
     assert kept.columns == clashing(spark, rows).columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 2, 5]
 
 
+def test_rows_are_judged_by_their_own_text(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    near = a + " more"
+    kept = lambda rows: sorted(map(tuple, M.drop_near_duplicates(frame(spark, rows)).collect()), key=str)
+    assert kept([(1, a), (5, a), (5, b)]) == [(1, a), (5, b)]
+    assert len(kept([(5, a), (5, near), (6, b), (6, b), (None, a), (None, b), (7, ""), (7, "")])) == 7
+    long = " ".join(f"c{i}" for i in range(3000))
+    assert kept([(2, long), (3, long + " x"), (2, b)]) == sorted([(2, b), (2, long)], key=str)
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(4)
     a = rng.integers(0, 2**63, 2000).astype(np.uint64)
