@@ -1,45 +1,47 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-A token's probability is that of its class in its context times that of the
-token in its class.  All known words are in classes.  The most frequent words
-are in classes by their rank; the others are in a group by the hash of their
-last two bytes, in it in a bucket by their own hash, and each bucket's words
-are in classes by their rank in the bucket.  Group, bucket, class and word are
-softmaxes over features of the context, at every level:
+A token's probability is a product of softmaxes down a tree of classes that has
+all known words as its leaves.  The most frequent words are in classes by their
+rank.  Every other word is in a group by the hash of its last two bytes, in it
+in a bucket and in the bucket in a part by its own hash, and the words of a part
+are in classes by their rank.  Each softmax has the logs of the counts as its
+biases and features of the context, which are learned by gradient updates:
 
 * the group (or class of frequent words): the word before (2-gram), the one
   before that and the one before that (skips), both words before, hashed (3-gram);
 * the frequent word or bucket: the word before and the one before that;
-* class in the bucket and word in the class: the same two, as words themselves,
-  with a row for each pair of a class and a context word that training has.
+* class in the part and word in the class: the same two, as words themselves,
+  hashed; a pair of a class and a context word is a feature if the training texts
+  have it ``LEAST_SEEN`` times.
 
-On the first two levels a context word is a frequent word or a group.  All of
-it sums to 1 over the known words and one unknown word a bucket.
+On the first two levels a context word is a frequent word or a group.  Which
+part of a bucket is by counts alone.  All of it sums to 1 over the known words
+and one unknown word a part.
 
-Sizes follow the counts (``sizes_for``).  The two upper levels' tables are
-held by every task and grow with roots of the distinct words and word pairs.
-The buckets' tables have as many rows as there are distinct n-grams in them;
-they are dealt to shards of ``EVENTS`` tokens, so their number grows in
-proportion to the training tokens.
+Sizes follow the counts (``sizes_for``).  The two upper levels' tables are held
+by every task and grow with roots of the distinct words and word pairs.  The
+features below are as many as the corpus has; they are learned where their words
+are: the tokens of a part meet in one shard, and the numbers of parts and of
+shards grow in proportion to the words and tokens.
 
 1. Counts: words of all training texts, as hashes, by partial aggregation, with
-   a sample of the hashes of word pairs.
-2. Training of the upper levels: each task makes gradient updates over all its
-   texts in batches; the updates are averaged row by row, weighted by how often
-   each shard saw the row's feature.  The number of shards follows the
-   cluster's cores.  Biases begin at the logs of the counts.
-3. Scoring of the upper levels, in numpy batches: words that make up at least
-   one millionth of the training tokens (so a million at most) have their
-   counts at hand; a text's other words leave as rows, meet their counts in a
-   join, and come back as one sum for each text.
-4. Buckets: tokens that aren't frequent words leave for their bucket's shard
-   with their two words before; the shard trains on those of training texts,
-   scores all, and gives back one sum for each text.  Their order is by their
-   content, so these scores don't depend on cores.  Rows are numbered twice;
-   if the input doesn't come in the same order again, the query fails.
+   a sample of the hashes of word pairs.  The driver gets the frequent words and
+   the sums of each bucket.
+2. Training of the upper levels: texts are dealt to shards of ``TRAIN_TOKENS`` by
+   a digest of id and text and put in its order; each shard makes gradient
+   updates over its texts, and the tables are averaged row by row, weighted by
+   how often a shard saw the row's feature, shard after shard.
+3. One pass over all texts scores the upper levels in numpy batches; tokens that
+   aren't frequent words leave, packed, for their part's shard with their two
+   words before.  The shard counts its words, learns from the tokens of training
+   texts, and scores all of them; each batch of texts then gets its sums back.
+
+Nothing depends on the number of cores or partitions: shards are cut by digests
+and their sizes, and sums are made in a fixed order.
 
 Words are runs without white space, A-Z lower-cased; each text has an end
-token.  Words are told apart by 64-bit hashes.
+token.  Words are told apart by 64-bit hashes on the driver and by 48 bits and
+their group in a shard.
 
 Defined results: a null text is the empty text, with its end token only.
 Without training texts all counts are 0, ``base_score`` is 0 and all classes
@@ -47,7 +49,8 @@ are equally likely.  A null id counts as the empty text in the fold's crc32.
 Repeated rows are scored, and counted, one by one; an empty table gives an
 empty table.  Only the id and text columns are read, so other columns may have
 any name.  Memory: an Arrow batch, a few arrays over ``BATCH_BYTES`` of text or
-the longest text, the upper levels' tables, and a shard of the buckets.
+the longest text, the upper levels' tables, and a shard: its texts in step 2, its
+tokens and their features in step 3.
 """
 
 from __future__ import annotations
@@ -58,10 +61,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, slices, string_buffers, written
+from .common import crc32_mod, forget, slices, string_buffers, written
 from .textscan import LOWER, mix, words
 
 #: Sizes of a small corpus, and the least of a large one.
@@ -69,21 +73,21 @@ CLASS_WORDS, FREQUENT_CLASSES, RARE_CLASSES = 32, 16, 24
 FREQUENT = CLASS_WORDS * FREQUENT_CLASSES
 #: Symbols of a context: frequent words, rare classes, and the start of the text.
 SYMBOLS = FREQUENT + RARE_CLASSES + 1
-START = SYMBOLS - 1
 HASHED = 1 << 14
-#: Words at hand in scoring make up this share of the training tokens, or more.
-HEAD_SHARE = 1_000_000
 BATCH_BYTES = 2 << 20
-#: Tokens of a gradient update, and the step's size.
+#: Tokens of a training shard (or the longest text's), of a gradient update, and the step's size.
+TRAIN_TOKENS = 8 << 20
 UPDATE, RATE = 8192, 0.1
+#: Tables are added up in pieces, so many to a table, from so many shards in one task.
+CHUNKS, FAN = 64, 64
 #: Tokens that are counted before their counts leave a task.
 COUNTED = 4 << 20
-CHUNKS = 64
 #: Of the word pairs' hashes one in so many is counted.
 PAIR_SAMPLE = 1024
-#: Tokens of a shard of buckets, tokens of a gradient update in a bucket, its step, and passes over a bucket.
-EVENTS = 1 << 20
-BUCKET_UPDATE, BUCKET_RATE, BUCKET_EPOCHS = 512, 0.5, 1
+#: Expected training tokens of a shard of parts, words of a part, and times that training texts have a feature of it.
+EVENTS, PART_WORDS, LEAST_SEEN = 1 << 20, 1024, 1
+#: Tokens of a gradient update in a shard of parts, its step, and passes over the shard.
+PART_UPDATE, PART_RATE, PART_EPOCHS = 512, 0.7, 1
 #: Marks the documents that are only scored.
 HELD = np.uint32(1 << 31)
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
@@ -120,10 +124,14 @@ class Sizes:
 
 
 def sizes_for(distinct: int, pairs: int) -> Sizes:
-    """Frequent words in proportion to the root of the distinct words, in twice as wide as many classes; hashed rows by the root of the word pairs."""
-    width = max(CLASS_WORDS, math.ceil(distinct**0.25))
+    """Frequent words by the fourth root of the distinct words, in classes twice as wide as many; hashed rows by the cube root of the word pairs.
+
+    The words' table is the largest: it grows with the square root of the
+    distinct words, to some 150 MB at a milliard of them.
+    """
+    width = max(CLASS_WORDS, math.ceil(CLASS_WORDS * (distinct / (1 << 19)) ** 0.125))
     classes = max(FREQUENT_CLASSES, math.ceil(width / 2))
-    hashed = max(HASHED, 1 << math.ceil(math.log2(16 * max(pairs, 1) ** 0.5)))
+    hashed = max(HASHED, 1 << math.ceil(math.log2(64 * max(pairs, 1) ** (1 / 3))))
     return Sizes(width, classes, hashed)
 
 
@@ -146,49 +154,49 @@ class Tokens:
         self.rare[at] = (last * 769 + before * 12289 >> 3) % RARE_CLASSES
         self.place = np.arange(len(self.hash)) - np.repeat(self.first[:-1], counts + 1)
 
-    def known(self, head: Head) -> tuple[np.ndarray, np.ndarray]:
-        """Place in the head of each token, and whether it is there."""
-        if not len(head.hash):
-            return np.zeros(len(self.hash), np.int64), np.zeros(len(self.hash), bool)
-        at = np.searchsorted(head.hash, self.hash)
-        at[at == len(head.hash)] = 0
-        return at, head.hash[at] == self.hash
-
 
 class Head:
-    """Words with at least the head's share of the training tokens; sums over all words; the frequent words."""
+    """The frequent words in order of rank, sums over all words, and the weight of each bucket."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, distinct: int, rare_tokens: np.ndarray, rare_words: np.ndarray, sizes: Sizes = Sizes()):
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, distinct: int, in_bucket: np.ndarray, words_in: np.ndarray, sizes: Sizes = Sizes()):
         self.sizes = sizes
-        order = np.argsort(hashes)
-        self.hash, self.count = hashes[order], counts[order]
+        self.rank = np.argsort(hashes)
+        self.hash, self.count = hashes[self.rank], counts[self.rank]
         self.tokens, self.distinct = tokens, distinct
-        # tokens and distinct words of each rare class, the frequent words not among them
-        self.rare_tokens, self.rare_words = rare_tokens, rare_words
-        top = np.lexsort((self.hash, -self.count))[: sizes.frequent]
-        self.frequent = np.full(len(self.hash), -1, np.int64)
-        self.frequent[top] = np.arange(len(top))
-        self.absent = np.arange(sizes.frequent) >= len(top)
-        self.top = np.where(self.absent, 0, np.pad(self.count[top], (0, sizes.frequent - len(top))))
+        self.absent = np.arange(sizes.frequent) >= len(hashes)
+        # tokens and distinct words of each group's buckets, the frequent words not among them
+        enough = np.maximum(words_in.sum(axis=1) / (sizes.class_words * PART_WORDS), in_bucket.sum(axis=1) / (sizes.class_words * EVENTS / 4))
+        self.parts = np.maximum(1, np.ceil(enough)).astype(np.int64)
+        self.mass = in_bucket + words_in + self.parts[:, None]
+        top = np.pad(counts, (0, sizes.frequent - len(counts))) + 1.0
+        mass = np.concatenate([top.reshape(-1, sizes.class_words), self.mass])
+        self.prior = np.log(mass.sum(axis=1)).astype(_F), np.log(mass).astype(_F)
+
+    def ranks(self, hashes: np.ndarray) -> np.ndarray:
+        """Rank of each frequent word, -1 of all others."""
+        if not len(self.hash):
+            return np.full(len(hashes), -1)
+        at = np.searchsorted(self.hash, hashes)
+        at[at == len(self.hash)] = 0
+        return np.where(self.hash[at] == hashes, self.rank[at], -1)
 
 
 class Context:
     """Class, word in its class and feature rows of each token."""
 
     def __init__(self, tokens: Tokens, head: Head):
-        self.at, self.in_head = tokens.known(head)
-        frequent = np.where(self.in_head, head.frequent[self.at], -1) if len(head.hash) else np.full(len(tokens.hash), -1)
-        self.is_frequent = frequent >= 0
+        self.rank = head.ranks(tokens.hash)
+        self.is_frequent = self.rank >= 0
         z = head.sizes
-        symbol = np.where(self.is_frequent, frequent, z.frequent + tokens.rare)
-        self.cls = np.where(self.is_frequent, frequent // z.class_words, z.frequent_classes + tokens.rare)
+        symbol = np.where(self.is_frequent, self.rank, z.frequent + tokens.rare)
+        self.cls = np.where(self.is_frequent, self.rank // z.class_words, z.frequent_classes + tokens.rare)
         # the frequent word in its class, or the bucket in the group
-        self.word = np.where(self.is_frequent, frequent % z.class_words, bucket(tokens.hash, z.class_words))
+        self.word = np.where(self.is_frequent, self.rank % z.class_words, bucket(tokens.hash, z.class_words))
 
         def back(k: int) -> np.ndarray:
             out = np.full(len(symbol), z.symbols - 1, np.int64)
             out[k:] = symbol[: len(symbol) - k]
-            out[tokens.place < k] = START
+            out[tokens.place < k] = z.symbols - 1
             return out
 
         s1, s2, s3 = back(1), back(2), back(3)
@@ -208,6 +216,11 @@ def bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> _U(24)) % _U(buckets)).astype(np.int64)
 
 
+def part(hashes: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """Part of its bucket, of so many."""
+    return ((hashes >> _U(40)) % parts.astype(_U)).astype(np.int64)
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     x -= x.max(axis=1, keepdims=True)
     np.exp(x, out=x)
@@ -218,13 +231,12 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 class Model:
     """Feature tables of the two softmaxes."""
 
-    def __init__(self, absent: np.ndarray, sizes: Sizes = Sizes(), prior: tuple[np.ndarray, np.ndarray] | None = None):
-        self.sizes = sizes
+    def __init__(self, head: Head):
+        self.sizes = sizes = head.sizes
         self.tables = [np.zeros((sizes.class_rows, sizes.classes), _F), np.zeros((sizes.word_rows, sizes.class_words), _F)]
-        if prior is not None:
-            self.tables[0][0], self.tables[1][: sizes.classes] = prior
+        self.tables[0][0], self.tables[1][: sizes.classes] = head.prior
         # words that a class of frequent words hasn't, in a small corpus, and classes without any
-        absent = absent.reshape(sizes.frequent_classes, sizes.class_words)
+        absent = head.absent.reshape(sizes.frequent_classes, sizes.class_words)
         self.no_word = np.zeros((sizes.classes, sizes.class_words), _F)
         self.no_word[: sizes.frequent_classes][absent & ~absent.all(axis=1, keepdims=True)] = -1e9
         self.no_class = np.zeros(sizes.classes, _F)
@@ -246,18 +258,18 @@ class Model:
         """Natural log of each token's class probability times that of the frequent word or the bucket in it."""
         out = np.empty(len(c.cls))
         for lo in range(0, len(out), UPDATE):
-            part = slice(lo, min(lo + UPDATE, len(out)))
-            p, q = self.classes(c.class_rows[:, part]), self.words(c.word_rows[:, part])
+            own = slice(lo, min(lo + UPDATE, len(out)))
+            p, q = self.classes(c.class_rows[:, own]), self.words(c.word_rows[:, own])
             at = np.arange(len(p))
-            out[part] = np.log(np.maximum(p[at, c.cls[part]], 1e-30)) + np.log(np.maximum(q[at, c.word[part]], 1e-30))
+            out[own] = np.log(np.maximum(p[at, c.cls[own]], 1e-30)) + np.log(np.maximum(q[at, c.word[own]], 1e-30))
         return out
 
 
 class Trainer(Model):
     """A shard's model, its gradient updates and how often each row was seen."""
 
-    def __init__(self, absent: np.ndarray, sizes: Sizes = Sizes(), prior: tuple[np.ndarray, np.ndarray] | None = None):
-        super().__init__(absent, sizes, prior)
+    def __init__(self, head: Head):
+        super().__init__(head)
         self.squares = [np.ones(len(t), _F) for t in self.tables]
         self.seen = [np.zeros(len(t)) for t in self.tables]
 
@@ -268,11 +280,11 @@ class Trainer(Model):
 
     def update(self, c: Context) -> None:
         for lo in range(0, len(c.cls), UPDATE):
-            part = slice(lo, min(lo + UPDATE, len(c.cls)))
+            own = slice(lo, min(lo + UPDATE, len(c.cls)))
             for which, softmax, rows, target in ((0, self.classes, c.class_rows, c.cls), (1, self.words, c.word_rows, c.word)):
-                error = softmax(rows[:, part])
-                error[np.arange(len(error)), target[part]] -= 1
-                self._push(which, rows[:, part], error)
+                error = softmax(rows[:, own])
+                error[np.arange(len(error)), target[own]] -= 1
+                self._push(which, rows[:, own], error)
 
 
 def step(table: np.ndarray, squares: np.ndarray, r: np.ndarray, error: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
@@ -288,74 +300,97 @@ def step(table: np.ndarray, squares: np.ndarray, r: np.ndarray, error: np.ndarra
 
 
 class Level:
-    """A softmax at each node of one level of a bucket: class in the bucket, or word in the class.
+    """A softmax at each node of one level of the parts: class in the part, or word in the class.
 
-    A node's bias is the log of the counts plus one; each pair of a node and a
-    context word of the training tokens has a row of its own.
+    A node's biases are the logs of its places' weights; each pair of a node and
+    a context word that the training tokens have ``LEAST_SEEN`` times has a row of
+    its own.  Tokens without such a pair have the biases' probability.
     """
 
-    def __init__(self, node: np.ndarray, digit: np.ndarray, contexts: list[np.ndarray], bias: np.ndarray):
-        self.node, self.digit, self.bias = node, digit, bias
-        self.rows, self.tables = [], []
+    def __init__(self, node: np.ndarray, digit: np.ndarray, contexts: list[np.ndarray], learn: np.ndarray, weight: np.ndarray):
+        with np.errstate(divide="ignore"):
+            self.bias = np.maximum(np.log(weight), -1e9).astype(_F)
+            self.plain = np.log(weight[node, digit]) - np.log(weight.sum(axis=1))[node]
+        rows, self.tables = [], []
         for c in contexts:
-            key = (node.astype(_U) << _U(32)) | c.astype(_U)
-            # rows of contexts that training hasn't are never pushed, so they stay 0
-            known, rows = np.unique(key, return_inverse=True)
-            self.rows.append(rows)
-            self.tables.append(np.zeros((len(known), bias.shape[1]), _F))
+            key = (node.astype(_U) << _U(24)) | c.astype(_U)
+            known, times = np.unique(key[learn], return_counts=True)
+            known = known[times >= LEAST_SEEN]
+            at = np.searchsorted(known, key)
+            at[at == len(known)] = 0
+            # the row after the last is of all other contexts, and stays 0
+            rows.append(np.where(known[at] == key, at, len(known)) if len(known) else np.zeros(len(key), np.int64))
+            self.tables.append(np.zeros((len(known) + 1, weight.shape[1]), _F))
         self.squares = [np.full(len(t), 0.1, _F) for t in self.tables]
+        self.at = np.flatnonzero(np.logical_or.reduce([r < len(t) - 1 for r, t in zip(rows, self.tables, strict=True)]))
+        self.node, self.digit, self.rows = node[self.at], digit[self.at], [r[self.at] for r in rows]
 
-    def softmax(self, part: np.ndarray) -> np.ndarray:
-        x = self.bias[self.node[part]]
+    def softmax(self, own: np.ndarray) -> np.ndarray:
+        x = self.bias[self.node[own]]
         for rows, table in zip(self.rows, self.tables, strict=True):
-            x += table[rows[part]]
+            x += table[rows[own]]
         return _softmax(x)
 
     def learn(self, order: np.ndarray) -> None:
-        for lo in range(0, len(order), BUCKET_UPDATE):
-            part = order[lo : lo + BUCKET_UPDATE]
-            error = self.softmax(part)
-            error[np.arange(len(part)), self.digit[part]] -= 1
+        """Gradient updates over tokens of ``at``, by their place in it."""
+        for lo in range(0, len(order), PART_UPDATE):
+            own = order[lo : lo + PART_UPDATE]
+            error = self.softmax(own)
+            error[np.arange(len(own)), self.digit[own]] -= 1
             for rows, table, squares in zip(self.rows, self.tables, self.squares, strict=True):
-                step(table, squares, rows[part], error, BUCKET_RATE)
+                step(table, squares, rows[own], error, PART_RATE)
+                table[-1] = 0
 
     def log_probability(self) -> np.ndarray:
-        out = np.empty(len(self.node))
-        for lo in range(0, len(out), UPDATE):
-            part = np.arange(lo, min(lo + UPDATE, len(out)))
-            out[part] = np.log(np.maximum(self.softmax(part)[np.arange(len(part)), self.digit[part]], 1e-30))
+        out = self.plain.copy()
+        for lo in range(0, len(self.at), UPDATE):
+            own = np.arange(lo, min(lo + UPDATE, len(self.at)))
+            out[self.at[own]] = np.log(np.maximum(self.softmax(own)[np.arange(len(own)), self.digit[own]], 1e-30))
         return out
 
 
-def bucket_scores(word: np.ndarray, one: np.ndarray, two: np.ndarray, learn: np.ndarray) -> np.ndarray:
-    """Natural log of the probability of each token in its bucket, learnt from those of training texts.
+def part_scores(leaf: np.ndarray, word: np.ndarray, one: np.ndarray, two: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each token of a shard: natural log of its probability in its part times the part's weight, and count of its word.
 
-    ``one`` and ``two`` are the words before; a word that training hasn't is the bucket's unknown word.
+    ``word`` has 48 bits, ``one`` and ``two`` are 24 bits of the words before.
+    A word that training hasn't is the part's unknown word.
     """
-    known, count = np.unique(word[learn], return_counts=True)
-    rank = np.empty(len(known), np.int64)
-    rank[np.lexsort((known, -count))] = np.arange(len(known))
-    at = np.searchsorted(known, word)
-    at[at == len(known)] = 0
-    place = np.where(known[at] == word, rank[at], len(known)) if len(known) else np.zeros(len(word), np.int64)
-    width = math.ceil(math.sqrt(len(known) + 1))
-    mass = np.zeros(width * width)
-    mass[rank] = count + 1
-    mass[len(known)] = 1
-    mass = mass.reshape(width, width)
-    with np.errstate(divide="ignore"):
-        outer = np.maximum(np.log(mass.sum(axis=1))[None, :], -1e9).astype(_F)
-        inner = np.maximum(np.log(mass), -1e9).astype(_F)
-    order = np.flatnonzero(learn)
-    # an order that depends on the content only
-    order = order[np.argsort(mix(mix((word[order].astype(_U) << _U(32)) | one[order]) + two[order]), kind="stable")]
-    out = np.zeros(len(word))
-    for node, digit, bias in ((np.zeros(len(word), np.int64), place // width, outer), (place // width, place % width, inner)):
-        level = Level(node, digit, [one, two], bias)
-        for _ in range(BUCKET_EPOCHS):
-            level.learn(order)
+    _, leaf = np.unique(leaf, return_inverse=True)
+    parts = int(leaf.max()) + 1 if len(leaf) else 0
+    # part by part, whose rows are near each other, and in it in an order that depends on the content only
+    mixed = mix(mix(word) + ((one.astype(_U) << _U(24)) | two)) >> _U(16)
+    back = np.argsort((leaf.astype(_U) << _U(48)) | mixed, kind="stable")
+    leaf, word, one, two, learn = (x[back] for x in (leaf, word, one, two, learn))
+    key = (leaf.astype(_U) << _U(48)) | word
+    names, name = np.unique(key, return_inverse=True)
+    count = np.bincount(name[learn], minlength=len(names))
+    at = (names >> _U(48)).astype(np.int64)
+    known = count > 0
+    words_in = np.bincount(at[known], minlength=parts)
+    # the rank of a known word in its part; the unknown word comes after them
+    order = np.lexsort((names, -count, at))
+    rank = np.empty(len(names), np.int64)
+    rank[order] = np.arange(len(names)) - np.searchsorted(at, np.arange(parts))[at[order]]
+    rank = np.where(known, rank, words_in[at])
+    wide = np.ceil(np.sqrt(words_in + 1)).astype(np.int64)
+    most = int(wide.max(initial=1))
+    cls, digit = rank // wide[at], rank % wide[at]
+    weight = np.zeros((parts * most, most))
+    weight[(at * most + cls)[known], digit[known]] = count[known] + 1
+    last = words_in // wide
+    weight[np.arange(parts) * most + last, words_in - last * wide] = 1
+    outer = weight.sum(axis=1).reshape(parts, most)
+    cls, digit = cls[name], digit[name]
+    out = np.log(outer.sum(axis=1))[leaf]
+    for node, place, w in ((leaf, cls, outer), (leaf * most + cls, digit, weight)):
+        level = Level(node, place, [one, two], learn, w)
+        own = np.flatnonzero(learn[level.at])
+        for _ in range(PART_EPOCHS):
+            level.learn(own)
         out += level.log_probability()
-    return out
+    logs, counts = np.empty_like(out), np.empty_like(count[name])
+    logs[back], counts[back] = out, count[name]
+    return logs, counts
 
 
 def _each(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, int, Tokens]]:
@@ -392,41 +427,50 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _train(head: Head, prior: tuple[np.ndarray, np.ndarray] | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, size = Trainer(head.absent, head.sizes, prior), 0
-        for _, _, _, tokens in _each(batches, 0):
+def _train(head: Head):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        trainer = Trainer(head)
+        for _, _, _, tokens in _each(table.sort_by("digest").select(["text"]).combine_chunks().to_batches(), 0):
             trainer.update(Context(tokens, head))
-            size += len(tokens.hash)
-        if size:
-            for which, (table, seen) in enumerate(zip(trainer.tables, trainer.seen, strict=True)):
-                for k, rows in enumerate(np.array_split(np.arange(len(table)), CHUNKS)):
-                    weighted = (table[rows] * seen[rows, None]).astype(_F)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([which], pa.int32()), pa.array([k], pa.int32()), pa.array([weighted.tobytes()], pa.binary()), pa.array([seen[rows].tobytes()], pa.binary())],
-                        names=["which", "chunk", "sums", "seen"],
-                    )
+        cols: list[list] = [[] for _ in range(4)]
+        for which, (own, seen) in enumerate(zip(trainer.tables, trainer.seen, strict=True)):
+            for k, rows in enumerate(np.array_split(np.arange(len(own)), CHUNKS)):
+                weighted = (own[rows] * seen[rows, None]).astype(_F)
+                for col, v in zip(cols, (which, k, weighted.tobytes(), seen[rows].tobytes()), strict=True):
+                    col.append(v)
+        return _pieces(key[0].as_py(), *cols)
 
     return run
 
 
+def _pieces(shard: int, which: list[int], chunk: list[int], sums: list[bytes], seen: list[bytes]) -> pa.Table:
+    return pa.table({"shard": pa.array([shard] * len(which), pa.int64()), "which": pa.array(which, pa.int32()), "chunk": pa.array(chunk, pa.int32()), "sums": pa.array(sums, pa.binary()), "seen": pa.array(seen, pa.binary())})
+
+
 def _add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    table = table.sort_by("shard")
     sums = sum(np.frombuffer(b, _F).astype(np.float64) for b in table.column("sums").to_pylist())
     seen = sum(np.frombuffer(b, np.float64) for b in table.column("seen").to_pylist())
-    return pa.table({"which": pa.array([key[0].as_py()], pa.int32()), "chunk": pa.array([key[1].as_py()], pa.int32()), "sums": pa.array([sums.astype(_F).tobytes()], pa.binary()), "seen": pa.array([seen.tobytes()], pa.binary())})
-
-
-_PART = "which int, chunk int, sums binary, seen binary"
-
-
-def train(texts: DataFrame, head: Head, prior: tuple[np.ndarray, np.ndarray] | None = None) -> Model:
-    """Model averaged from gradient updates over all rows of ``texts`` (text)."""
-    model = Model(head.absent, head.sizes, prior)
-    shards = max(1, 2 * texts.sparkSession.sparkContext.defaultParallelism)
-    parts = texts.coalesce(shards).mapInArrow(_train(head, prior), _PART)
-    if shards > 4 * CHUNKS:  # in two steps, so that no task holds a chunk of all shards
-        parts = parts.withColumn("some", F.pmod(F.xxhash64("seen"), F.lit(16)).cast("int")).groupBy("which", "chunk", "some").applyInArrow(_add, _PART)
-    for row in parts.groupBy("which", "chunk").applyInArrow(_add, _PART).toLocalIterator():  # the upper levels' tables, a chunk at a time
+    which, chunk, some = (k.as_py() for k in key)
+    return _pieces(some, [which], [chunk], [sums.astype(_F).tobytes()], [seen.tobytes()])
+
+
+_PIECES = "shard long, which int, chunk int, sums binary, seen binary"
+
+
+def train(texts: DataFrame, head: Head) -> Model:
+    """Model averaged from gradient updates over all rows of ``texts`` (id, text)."""
+    model = Model(head)
+    shards = max(1, math.ceil(head.tokens / TRAIN_TOKENS))
+    digest = F.xxhash64("id", "text")
+    dealt = texts.select(F.pmod(F.xxhash64(digest, F.lit(1)), F.lit(shards)).alias("shard"), digest.alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
+    parts = dealt.repartition(2 * shards, "shard").groupBy("shard").applyInArrow(_train(head), _PIECES)
+    while True:  # no task holds a piece of more than FAN shards
+        parts = parts.withColumn("some", F.floor(F.col("shard") / FAN).cast("long")).groupBy("which", "chunk", "some").applyInArrow(_add, _PIECES)
+        shards = math.ceil(shards / FAN)
+        if shards == 1:
+            break
+    for row in parts.toLocalIterator():  # the upper levels' tables, a piece at a time
         table = model.tables[row["which"]]
         rows = np.array_split(np.arange(len(table)), CHUNKS)[row["chunk"]]
         sums = np.frombuffer(row["sums"], _F).reshape(len(rows), -1)
@@ -435,116 +479,126 @@ def train(texts: DataFrame, head: Head, prior: tuple[np.ndarray, np.ndarray] | N
     return model
 
 
-def _score(head: Head, model: Model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head_log = np.log(head.count + 1.0)
-        for batch, lo, hi, tokens in _each(batches, 2):
-            c = Context(tokens, head)
-            counted = np.where(c.in_head, head_log[c.at] if len(head_log) else 0.0, 0.0)
-            own = model.log_probability(c)
-            starts = tokens.first[:-1]
-            n = np.diff(tokens.first)
-            tail = np.flatnonzero(~c.in_head)
-            bounds = np.searchsorted(tail, tokens.first)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(i).slice(lo, hi - lo) for i in range(2)),
-                    pa.array(n),
-                    pa.array(np.add.reduceat(c.in_head.astype(np.int64), starts)),
-                    pa.array(np.add.reduceat(counted, starts)),
-                    pa.array(np.add.reduceat(own, starts)),
-                    pa.array(np.add.reduceat((~c.is_frequent).astype(np.int64), starts)),
-                    pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens.hash[tail].view(np.int64))),
-                ],
-                names=["row", "id", "n_tokens", "n_head", "counted", "own", "n_rare", "tail"],
-            )
+#: A batch's documents, and its tokens packed for a shard (or what a shard says of them); ``base`` names the batch.
+_DOCUMENT = ["id", "held", "n_tokens", "n_rare", "counted", "own"]
+_MIXED = "key long, base long, n long, data binary, id long, held boolean, n_tokens long, n_rare long, counted double, own double"
+_KINDS = pa.schema([("key", pa.int64()), ("base", pa.int64()), ("n", pa.int64()), ("data", pa.binary()), ("id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()), ("n_rare", pa.int64()), ("counted", pa.float64()), ("own", pa.float64())])
 
-    return run
+
+def _mixed(columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    n = len(columns["base"])
+    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in _KINDS], schema=_KINDS)
 
 
-def _events(frequent: np.ndarray, buckets: int, shards: int):
-    """Tokens that aren't frequent words, packed by shard: (shard, base, n, data), documents counted from row ``base``."""
+def _planes(values: np.ndarray, halves: int) -> bytes:
+    """The lowest 16-bit halves of numbers, one after the other."""
+    return b"".join((values >> values.dtype.type(16 * i)).astype(np.uint16).tobytes() for i in range(halves))
+
+
+def _emit(head: Head, model: Model, shards: int):
+    """Documents with the scores of the upper levels, and their other tokens packed by shard."""
+    log_count = np.log(head.count[np.argsort(head.rank)] + 1.0)
+    buckets = head.sizes.class_words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, lo, hi, tokens in _each(batches, 2):
-            at = np.searchsorted(frequent, tokens.hash)
-            at[at == len(frequent)] = 0
-            out = np.flatnonzero(frequent[at] != tokens.hash) if len(frequent) else np.arange(len(tokens.hash))
+        for batch, lo, hi, tokens in _each(batches, 3):
+            c = Context(tokens, head)
+            counted = np.where(c.is_frequent, log_count[c.rank] if len(log_count) else 0.0, 0.0)
+            starts, n = tokens.first[:-1], hi - lo
+            base = pa.array(np.full(n, batch.column(0)[lo].as_py(), np.int64))
+            # documents go through the shards' shuffle as they are, under keys below 0
+            spread = -1 - int(mix(np.array([batch.column(0)[lo].as_py()], _U))[0] % _U(shards))
+            learn = batch.column(2).slice(lo, n).to_numpy(zero_copy_only=False).astype(bool)
+            figures = [np.diff(tokens.first), np.add.reduceat((~c.is_frequent).astype(np.int64), starts), np.add.reduceat(counted, starts), np.add.reduceat(model.log_probability(c), starts)]
+            own = [batch.column(1).slice(lo, n), pa.array(~learn), *map(pa.array, figures)]
+            yield _mixed({"key": pa.array(np.full(n, spread)), "base": base, "n": pa.array(np.arange(n))} | dict(zip(_DOCUMENT, own, strict=True)))
+            out = np.flatnonzero(~c.is_frequent)
             if not len(out):
                 continue
+            word, group = tokens.hash[out] >> _U(16), tokens.rare[out]
+            shard = (mix(_leaf(group, word, head.parts, buckets).astype(_U)) % _U(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            out, word, group, shard = out[order], word[order], group[order].astype(np.uint8), shard[order]
             before = []
             for k in (1, 2):
-                c = np.zeros(len(tokens.hash), np.uint32)
-                c[k:] = (tokens.hash[:-k] >> _U(32)).astype(np.uint32)
-                c[tokens.place < k] = 0
-                before.append(c[out])
+                hashes = np.where(tokens.place[out] < k, _U(0), tokens.hash[out - np.minimum(k, out)])
+                before.append((hashes >> _U(40)).astype(np.uint32))
             doc = (np.searchsorted(tokens.first, out, side="right") - 1).astype(np.uint32)
-            learn = batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(bool)
             doc[~learn[doc]] |= HELD
-            group = tokens.rare[out] * buckets + bucket(tokens.hash[out], buckets)
-            shard = (mix(group.astype(_U)) % _U(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            fields = [group.astype(np.uint32), (tokens.hash[out] >> _U(32)).astype(np.uint32), *before, doc]
-            # halves of words one after the other, so that those that hardly differ are compressed
-            fields = [f[order] for f in fields]
-            shard = shard[order]
-            starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
-            ends = np.append(starts[1:], len(shard))
-            data = [b"".join((f[a:b] >> s).astype(np.uint16).tobytes() for f in fields for s in (np.uint32(0), np.uint32(16))) for a, b in zip(starts, ends, strict=True)]
-            base = batch.column(0)[lo].as_py()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shard[starts].astype(np.int32)), pa.array(np.full(len(starts), base, np.int64)), pa.array((ends - starts).astype(np.int32)), pa.array(data, pa.binary())],
-                names=["shard", "base", "n", "data"],
-            )
+            bounds = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
+            data = []
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                at = np.flatnonzero(np.diff(doc[a:b].astype(np.int64), prepend=-1))
+                times = np.diff(np.append(at, b - a)).astype(np.uint32)
+                heads = np.array([len(at)], np.uint32).tobytes() + doc[a:b][at].tobytes() + times.tobytes()
+                contexts = b"".join(_planes(x[a:b], 1) + (x[a:b] >> np.uint32(16)).astype(np.uint8).tobytes() for x in before)
+                data.append(heads + _planes(word[a:b], 3) + contexts + group[a:b].tobytes())
+            yield _mixed({"key": pa.array(shard[bounds[:-1]]), "base": base.slice(0, 1).take(pa.array(np.zeros(len(data), np.int64))), "n": pa.array(np.diff(bounds)), "data": pa.array(data, pa.binary())})
 
     return run
 
 
-def _score_buckets(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """(base, n, data) of each part of a shard: documents, sums of natural logs, numbers of tokens."""
-    table = table.sort_by("base")
-    sizes = table.column("n").to_numpy().astype(np.int64)
-    fields = np.empty((5, sizes.sum()), np.uint32)
-    at = 0
-    for n, data in zip(sizes.tolist(), table.column("data"), strict=True):
-        halves = np.frombuffer(data.as_buffer(), np.uint16).reshape(5, 2, n).astype(np.uint32)
-        fields[:, at : at + n] = halves[:, 0] | (halves[:, 1] << np.uint32(16))
-        at += n
-    group, word, one, two, doc = fields
-    learn = doc < HELD
-    order = np.argsort(group, kind="stable")
-    bounds = np.append(np.flatnonzero(np.diff(group[order], prepend=-1)), len(order))
-    logs = np.empty(len(order))
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        own = order[a:b]
-        logs[own] = bucket_scores(word[own], one[own], two[own], learn[own])
-    doc &= ~HELD
-    data, counts, at = [], [], 0
-    for n in sizes.tolist():
-        own, back, times = np.unique(doc[at : at + n], return_inverse=True, return_counts=True)
-        sums = np.bincount(back, logs[at : at + n])
-        data.append(own.tobytes() + sums.astype(_F).tobytes() + times.astype(np.uint32).tobytes())
-        counts.append(len(own))
-        at += n
-    return pa.table({"base": table.column("base"), "n": pa.array(counts, pa.int32()), "data": pa.array(data, pa.binary())})
+def _leaf(group: np.ndarray, word: np.ndarray, parts: np.ndarray, buckets: int) -> np.ndarray:
+    """Number of a word's part among those of all buckets; ``word`` is the upper 48 bits of its hash."""
+    hashes = word << _U(16)
+    return (bucket(hashes, buckets) * (1 << 24) + part(hashes, parts[group])) * RARE_CLASSES + group
+
+
+def _unpacked(n: int, data: pa.Buffer) -> list[np.ndarray]:
+    """Documents, tokens of each, words, both words before, and groups."""
+    docs = int(np.frombuffer(data, np.uint32, 1)[0])
+    at = 4
+    out = [np.frombuffer(data, np.uint32, docs, at), np.frombuffer(data, np.uint32, docs, at + 4 * docs)]
+    at += 8 * docs
+    word = np.frombuffer(data, np.uint16, 3 * n, at).reshape(3, n).astype(_U)
+    out.append(word[0] | word[1] << _U(16) | word[2] << _U(32))
+    at += 6 * n
+    for _ in range(2):
+        low, high = np.frombuffer(data, np.uint16, n, at), np.frombuffer(data, np.uint8, n, at + 2 * n)
+        out.append(low | high.astype(np.uint32) << np.uint32(16))
+        at += 3 * n
+    return [*out, np.frombuffer(data, np.uint8, n, at)]
+
+
+def _score_parts(head: Head):
+    log_mass, buckets = np.log(head.mass), head.sizes.class_words
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        """Documents as they are; of a batch's tokens in a shard the sums of each document."""
+        if key[0].as_py() < 0:
+            return table
+        table = table.sort_by("base")
+        got = [_unpacked(n, d.as_buffer()) for n, d in zip(table.column("n").to_pylist(), table.column("data"), strict=True)]
+        word, one, two, group = (np.concatenate([g[i] for g in got]) for i in range(2, 6))
+        learn = np.concatenate([np.repeat(g[0] < HELD, g[1]) for g in got])
+        logs, count = part_scores(_leaf(group, word, head.parts, buckets), word, one, two, learn)
+        logs -= log_mass[group, bucket(word << _U(16), buckets)]
+        log_count, data, at = np.log(count + 1.0), [], 0
+        for docs, times, *_ in got:
+            starts = at + np.cumsum(times, dtype=np.int64) - times
+            at += int(times.sum())
+            sums = [np.add.reduceat(v[:at], starts) for v in (logs, log_count, (count > 0).astype(np.uint32))]
+            data.append((docs & ~HELD).tobytes() + sums[0].astype(_F).tobytes() + sums[1].tobytes() + sums[2].astype(np.uint32).tobytes())
+        n = pa.array([len(g[0]) for g in got], pa.int64())
+        return pa.Table.from_batches([_mixed({"key": table.column("key").combine_chunks(), "base": table.column("base").combine_chunks(), "n": n, "data": pa.array(data, pa.binary())})])
+
+    return run
 
 
 def _gather(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Row, sum of natural logs and number of tokens in buckets, from all shards' parts of the rows from ``base`` on."""
-    doc, logs, times = [], [], []
-    for n, data in zip(table.column("n").to_pylist(), table.column("data"), strict=True):
+    """Documents of a batch with the sums of all shards, added in the order of the shards."""
+    packed = table.column("data").is_valid()
+    docs, parts = table.filter(pa.compute.invert(packed)).sort_by("n"), table.filter(packed).sort_by("key")
+    logs, counted, known = (np.zeros(len(docs)) for _ in range(3))
+    for n, data in zip(parts.column("n").to_pylist(), parts.column("data"), strict=True):
         buffer = data.as_buffer()
-        doc.append(np.frombuffer(buffer, np.uint32, n))
-        logs.append(np.frombuffer(buffer, _F, n, 4 * n))
-        times.append(np.frombuffer(buffer, np.uint32, n, 8 * n))
-    own, back = np.unique(np.concatenate(doc), return_inverse=True)
-    return pa.table(
-        {
-            "row": pa.array(own.astype(np.int64) + key[0].as_py()),
-            "logs": pa.array(np.bincount(back, np.concatenate(logs))),
-            "n_rare": pa.array(np.bincount(back, np.concatenate(times)).astype(np.int64)),
-        }
-    )
+        at = np.frombuffer(buffer, np.uint32, n)
+        logs[at] += np.frombuffer(buffer, _F, n, 4 * n)
+        counted[at] += np.frombuffer(buffer, np.float64, n, 8 * n)
+        known[at] += np.frombuffer(buffer, np.uint32, n, 16 * n)
+    own = {c: docs.column(c) for c in _DOCUMENT}
+    n_known = own["n_tokens"].to_numpy() - own["n_rare"].to_numpy() + known.astype(np.int64)
+    return pa.table({"id": own["id"], "held_out": own["held"], "n_tokens": own["n_tokens"], "n_known": pa.array(n_known), "counted": pa.array(own["counted"].to_numpy() + counted), "logs": pa.array(own["own"].to_numpy() + logs)})
 
 
 def lm_scores(docs: DataFrame, train_row: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -556,52 +610,40 @@ def lm_scores(docs: DataFrame, train_row: Column | None = None, id_col: str = "d
     """
     train_row = crc32_mod("id", 7) != 2 if train_row is None else train_row
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    learned = rows.where(train_row).select("text")
-    counted = written(learned.mapInArrow(_count, "hash long, rare long, n long").groupBy("hash").agg(F.min("rare").alias("rare"), F.sum("n").alias("n")), "lm-counts")
+    learned = rows.where(train_row)
+    counted = written(learned.select("text").mapInArrow(_count, "hash long, rare long, n long").groupBy("hash").agg(F.min("rare").alias("rare"), F.sum("n").alias("n")), "lm-counts")
     counts = counted.where("rare >= 0")
     total, distinct, pairs = counted.select(
         F.coalesce(F.sum(F.when(F.col("rare") >= 0, F.col("n"))), F.lit(0)), F.count_if(F.col("rare") >= 0), F.count_if(F.col("rare") < 0) * PAIR_SAMPLE
     ).first()
     sizes = sizes_for(distinct, pairs)
     buckets = sizes.class_words
-    top = counts.where(F.col("n") * HEAD_SHARE >= total).toArrow()  # at most HEAD_SHARE rows
-    hashes, rare, n = (top.column(c).to_numpy() for c in ("hash", "rare", "n"))
-    hashes = hashes.view(_U)
     # tokens and words of each bucket, a row for each bucket
-    tokens, words_in = np.zeros((RARE_CLASSES, buckets)), np.zeros((RARE_CLASSES, buckets))
+    in_bucket, words_in = np.zeros((RARE_CLASSES, buckets)), np.zeros((RARE_CLASSES, buckets))
     own = F.pmod(F.shiftrightunsigned("hash", 24), F.lit(buckets)).alias("bucket")
     for r in counts.groupBy("rare", own).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
-        tokens[r["rare"], r["bucket"]], words_in[r["rare"], r["bucket"]] = r["n"], r["words"]
-    head = Head(hashes, n, total, distinct, tokens.sum(axis=1), words_in.sum(axis=1), sizes)
-    is_frequent = np.isin(hashes, head.hash[head.frequent >= 0])
-    at = rare[is_frequent], bucket(hashes[is_frequent], buckets)
-    np.subtract.at(tokens, at, n[is_frequent])
-    np.subtract.at(words_in, at, 1)
-    mass = np.concatenate([head.top.reshape(-1, buckets) + 1.0, tokens + words_in + 1.0])
-    prior = np.log(mass.sum(axis=1)).astype(_F), np.log(mass).astype(_F)
-    model = train(learned, head, prior)
-    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", "text")
-    schema = "row long, id long, n_tokens long, n_head long, counted double, own double, n_rare long, tail array<long>"
-    scored = written(numbered.mapInArrow(_score(head, model), schema), "lm-scored")
-    shards = max(1, math.ceil(tokens.sum() / EVENTS))
-    events = numbered.select("row", F.coalesce(train_row, F.lit(False)).alias("learn"), "text").mapInArrow(_events(head.hash[head.frequent >= 0], buckets, shards), "shard int, base long, n int, data binary")
-    parts = events.groupBy("shard").applyInArrow(_score_buckets, "base long, n int, data binary")
-    in_buckets = parts.groupBy("base").applyInArrow(_gather, "row long, logs double, n_rare long")
-    tail = scored.select("row", F.explode("tail").alias("hash")).join(counts.select("hash", "n").hint("merge"), "hash")
-    none, nought = F.lit(0).cast("long"), F.lit(0.0)
-    tail = tail.select("row", F.lit(1).cast("long").alias("n_tail"), F.log(F.col("n") + 1.0).alias("rest"), nought.alias("logs"), none.alias("n_rare"))
-    tail = tail.unionByName(in_buckets.select("row", none.alias("n_tail"), nought.alias("rest"), "logs", "n_rare"))
-    tail = tail.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("n_tail", "rest", "logs", "n_rare")))
-    out = scored.drop("tail").withColumnRenamed("n_rare", "rare").join(tail.hint("merge"), "row", "left")
-    rest = F.coalesce("rest", F.lit(0.0))
-    logs = F.when(F.coalesce("n_rare", F.lit(0)) == F.col("rare"), F.coalesce("logs", F.lit(0.0))).otherwise(F.raise_error(F.lit("lm_scores: the rows came in another order the second time; checkpoint them")).cast("double"))
+        in_bucket[r["rare"], r["bucket"]], words_in[r["rare"], r["bucket"]] = r["n"], r["words"]
+    top = counts.orderBy(F.col("n").desc(), "hash").limit(sizes.frequent).toArrow()  # the frequent words
+    hashes, rare, n = (top.column(c).to_numpy() for c in ("hash", "rare", "n"))
+    order = np.lexsort((hashes, -n))
+    hashes, rare, n = hashes[order].view(_U), rare[order], n[order]
+    np.subtract.at(in_bucket, (rare, bucket(hashes, buckets)), n)
+    np.subtract.at(words_in, (rare, bucket(hashes, buckets)), 1)
+    forget(counted)
+    head = Head(hashes, n, total, distinct, in_bucket, words_in, sizes)
+    model = train(learned, head) if total else Model(head)
+    shards = max(1, math.ceil(in_bucket.sum() / EVENTS))
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", F.coalesce(train_row, F.lit(False)).alias("learn"), "text")
+    mixed = numbered.mapInArrow(_emit(head, model, shards), _MIXED)
+    scored = mixed.repartition(2 * shards, "key").groupBy("key").applyInArrow(_score_parts(head), _MIXED)
+    out = scored.groupBy("base").applyInArrow(_gather, "id long, held_out boolean, n_tokens long, n_known long, counted double, logs double")
     ln10 = float(np.log(10.0))
     return out.select(
         F.col("id").alias(id_col),
-        (~F.coalesce(train_row, F.lit(False))).alias("held_out"),
+        "held_out",
         "n_tokens",
-        (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).cast("long").alias("n_known"),
+        "n_known",
         F.lit(total).cast("long").alias("train_tokens"),
-        ((F.col("counted") + rest) / ln10 - F.col("n_tokens") * float(np.log10(total + distinct + 1.0))).alias("base_score"),
-        ((F.col("own") + logs) / ln10).alias("score"),
+        (F.col("counted") / ln10 - F.col("n_tokens") * float(np.log10(total + distinct + 1.0))).alias("base_score"),
+        (F.col("logs") / ln10).alias("score"),
     )

@@ -230,6 +230,63 @@ def test_language_model(spark):
     assert {(r["base_score"], r["train_tokens"], r["n_known"]) for r in none} == {(0.0, 0, 0)}
 
 
+def head_of(t, sizes=L.Sizes()):
+    h, at, n = np.unique(t.hash, return_index=True, return_counts=True)
+    order = np.lexsort((h, -n))
+    top, rest = order[: sizes.frequent], order[sizes.frequent :]
+    tokens, words = np.zeros((L.RARE_CLASSES, sizes.class_words)), np.zeros((L.RARE_CLASSES, sizes.class_words))
+    place = t.rare[at][rest], L.bucket(h[rest], sizes.class_words)
+    np.add.at(tokens, place, n[rest])
+    np.add.at(words, place, 1)
+    return L.Head(h[top], n[top], len(t.hash), len(h), tokens, words, sizes)
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    rows, _ = corpus(300, seed=6)
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    a, b = ({r["doc_id"]: (r["score"], r["base_score"]) for r in L.lm_scores(d).collect()} for d in (docs.coalesce(1), docs.repartition(7, "text")))
+    assert a.keys() == b.keys() and all(a[i] == pytest.approx(b[i], rel=1e-6) for i in a)
+
+
+def test_shards_are_averaged(spark, monkeypatch):
+    """Several training shards and shards of parts, in several steps of adding up."""
+    rows, _ = corpus(300, seed=6)
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    one = {r["doc_id"]: (r["score"], r["base_score"], r["n_known"]) for r in L.lm_scores(docs, F.lit(True)).collect()}
+    for name, value in (("TRAIN_TOKENS", 8000), ("FAN", 2), ("EVENTS", 500), ("PART_WORDS", 1), ("CLASS_WORDS", 4), ("FREQUENT_CLASSES", 4)):
+        monkeypatch.setattr(L, name, value)
+    monkeypatch.setattr(L, "sizes_for", lambda *_: L.Sizes(4, 4))
+    few = {r["doc_id"]: (r["score"], r["base_score"], r["n_known"]) for r in L.lm_scores(docs, F.lit(True)).collect()}
+    assert all(few[i][1:] == pytest.approx(one[i][1:]) for i in one)
+    assert sum(v[0] for v in few.values()) < 0 and sum(v[0] for v in few.values()) > 1.2 * sum(v[1] for v in one.values())
+
+
+def test_upper_levels_are_brute_force():
+    """The model's probabilities, feature by feature, after updates of one small batch."""
+    raw = [b"a b c a b d", b"b a b", b"", b"c c a"]
+    t = L.Tokens(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    head = head_of(t, L.Sizes(2, 2))
+    model = L.Trainer(head)
+    c = L.Context(t, head)
+    model.update(c)
+    z = head.sizes
+    for i, logs in enumerate(model.log_probability(c)):
+        def symbol(k, i=i):
+            j = i - k
+            if t.place[i] < k:
+                return z.symbols - 1
+            rank = {int(h): r for r, h in zip(head.rank, head.hash)}.get(int(t.hash[j]))
+            return z.frequent + int(t.rare[j]) if rank is None else rank
+
+        s1, s2, s3 = symbol(1), symbol(2), symbol(3)
+        pair = int(L.mix(np.array([s1 * z.symbols + s2], np.uint64))[0]) % 2**64 >> (64 - int(math.log2(z.hashed)))
+        x = sum(model.tables[0][r].astype(float) for r in (0, 1 + s1, 1 + z.symbols + s2, 1 + 2 * z.symbols + s3, 1 + 3 * z.symbols + pair)) + model.no_class
+        cls, word = int(c.cls[i]), int(c.word[i])
+        y = sum(model.tables[1][r].astype(float) for r in (cls, z.classes * (1 + s1) + cls, z.classes * (1 + z.symbols + s2) + cls)) + model.no_word[cls]
+        want = x[cls] - np.log(np.exp(x).sum()) + y[word] - np.log(np.exp(y).sum())
+        assert logs == pytest.approx(want, abs=1e-4)
+
+
 def test_model_sums_to_one_and_learns():
     rng = random.Random(7)
     raw = []
@@ -237,10 +294,8 @@ def test_model_sums_to_one_and_learns():
         a = rng.choice([["red", "blue", "green"], ["uno", "dos", "tres"]])
         raw.append(" ".join(rng.choice(a) + ("" if rng.random() < 0.9 else str(rng.randint(0, 99))) for _ in range(30)).encode())
     t = L.Tokens(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
-    h, at, n = np.unique(t.hash, return_index=True, return_counts=True)
-    rare = t.rare[at]
-    head = L.Head(h, n, len(t.hash), len(h), np.bincount(rare, n, L.RARE_CLASSES), np.bincount(rare, minlength=L.RARE_CLASSES).astype(float))
-    model = L.Trainer(head.absent)
+    head = head_of(t)
+    model = L.Trainer(head)
     c = L.Context(t, head)
     before = model.log_probability(c).mean()
     for _ in range(5):
@@ -256,10 +311,10 @@ def test_context_is_the_words_before():
     t = L.Tokens(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
     assert t.first.tolist() == [0, 5, 6, 8] and t.place.tolist() == [0, 1, 2, 3, 4, 0, 0, 1]
     assert [int(x) == int(L.END) for x in t.hash] == [False] * 4 + [True, True, False, True]
-    head = L.Head(np.unique(t.hash), np.ones(5, int), 8, 5, np.zeros(L.RARE_CLASSES), np.zeros(L.RARE_CLASSES))
-    rows = L.Context(t, head).class_rows
-    assert [rows[1][i] == 1 + L.START for i in range(8)] == [True, False, False, False, False, True, True, False]
-    assert [rows[2][i] == 1 + L.SYMBOLS + L.START for i in range(8)] == [True, True, False, False, False, True, True, True]
+    for sizes in (L.Sizes(), L.Sizes(40, 20)):
+        rows, start = L.Context(t, head_of(t, sizes)).class_rows, sizes.symbols - 1
+        assert [rows[1][i] == 1 + start for i in range(8)] == [True, False, False, False, False, True, True, False]
+        assert [rows[2][i] == 1 + sizes.symbols + start for i in range(8)] == [True, True, False, False, False, True, True, True]
 
 
 def test_rare_words_have_contexts(spark):
@@ -277,18 +332,69 @@ def test_rare_words_have_contexts(spark):
 
 def test_sizes_follow_the_counts():
     assert L.sizes_for(0, 0) == L.sizes_for(1000, 1000) == L.Sizes()
-    small, large = L.sizes_for(2_000_000, 20_000_000), L.sizes_for(200_000_000, 2_000_000_000)
-    assert large.frequent > 5 * small.frequent > 5 * L.FREQUENT and large.hashed > 5 * small.hashed > 5 * L.HASHED
+    small, large = L.sizes_for(2_000_000, 40_000_000), L.sizes_for(200_000_000, 40_000_000_000)
+    assert large.frequent > 2 * small.frequent > 2 * L.FREQUENT and large.hashed > 5 * small.hashed > 5 * L.HASHED
+    vast = L.sizes_for(10**9, 10**12)
+    assert 4 * (vast.word_rows * vast.class_words + vast.class_rows * vast.classes) < 1 << 30
 
 
-def test_bucket_probabilities_sum_to_one():
+@pytest.mark.parametrize("least", [1, 2])
+def test_part_probabilities_are_brute_force(monkeypatch, least):
+    monkeypatch.setattr(L, "LEAST_SEEN", least)
+    rng = np.random.default_rng(1)
+    n = 400
+    leaf, word = rng.integers(0, 3, n), rng.integers(1, 9, n).astype(np.uint64)
+    one, two = (rng.integers(1, 6, n).astype(np.uint32) for _ in range(2))
+    learn = rng.random(n) < 0.8
+    logs, count = L.part_scores(leaf, word, one, two, learn)
+    counts = [Counter(word[learn & (leaf == p)].tolist()) for p in range(3)]
+    assert count.tolist() == [counts[p][w] for p, w in zip(leaf, word.tolist())]
+    path, bias = {}, [{}, {}]
+    for p, c in enumerate(counts):
+        ranked = [*sorted(c, key=lambda w: (-c[w], w)), None]
+        wide = math.ceil(math.sqrt(len(ranked)))
+        for r, w in enumerate(ranked):
+            path[p, w] = ((p,), r // wide), ((p, r // wide), r % wide)
+            for b, (node, place) in zip(bias, path[p, w]):
+                b.setdefault(node, {}).setdefault(place, 0)
+                b[node][place] += 1 + c.get(w, 0)
+    steps = [path.get((p, w), path[p, None]) for p, w in zip(leaf.tolist(), word.tolist())]
+    want = np.log([sum(bias[0][p,].values()) for p in leaf.tolist()])
+    for level in range(2):
+        # one batch: the gradients of all tokens with a feature, at weights of 0
+        seen = [Counter((steps[i][level][0], x[i]) for i in range(n) if learn[i]) for x in (one, two)]
+        feature = lambda i, k: (steps[i][level][0], (one, two)[k][i])  # noqa: E731, B023
+        share = lambda node: {d: m / sum(bias[level][node].values()) for d, m in bias[level][node].items()}  # noqa: E731, B023
+        grads = [{}, {}]
+        for i in range(n):
+            node, place = steps[i][level]
+            active = [k for k in range(2) if seen[k][feature(i, k)] >= L.LEAST_SEEN]
+            if learn[i]:
+                for k in active:
+                    g = grads[k].setdefault(feature(i, k), Counter())
+                    for d, q in share(node).items():
+                        g[d] += q - (d == place)
+        wide = max(max(b) + 1 for lv in bias for b in lv.values())
+        for i in range(n):
+            node, place = steps[i][level]
+            x = {d: math.log(m) for d, m in bias[level][node].items()}
+            for k in range(2):
+                g = grads[k].get(feature(i, k))
+                if g:
+                    size = 0.1 + sum(v * v for v in g.values()) / wide
+                    for d in x:
+                        x[d] -= L.PART_RATE * g[d] / math.sqrt(size)
+            want[i] += x[place] - math.log(sum(math.exp(v) for v in x.values()))
+    assert logs == pytest.approx(want, abs=1e-4)
+
+
+def test_part_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
-    word, one, two = (rng.integers(1, 9, 400).astype(np.uint32) for _ in range(3))
+    word, one, two = rng.integers(1, 9, 400).astype(np.uint64), *(rng.integers(1, 9, 400).astype(np.uint32) for _ in range(2))
     # each known word and an unknown one after the same two words
-    asked = np.arange(1, 10, dtype=np.uint32)
-    same = np.full(9, 3, np.uint32)
-    logs = L.bucket_scores(np.append(word, asked), np.append(one, same), np.append(two, same), np.arange(409) < 400)
-    assert np.exp(logs[400:]).sum() == pytest.approx(1, abs=1e-4)
+    asked, same = np.arange(1, 10, dtype=np.uint64), np.full(9, 3, np.uint32)
+    logs, _ = L.part_scores(np.zeros(409, int), np.append(word, asked), np.append(one, same), np.append(two, same), np.arange(409) < 400)
+    assert np.exp(logs[400:]).sum() == pytest.approx(400 + 8 + 1, rel=1e-4)
 
 
 # licenses
