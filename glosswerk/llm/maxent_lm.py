@@ -10,9 +10,9 @@ biases and features of the context, which are learned by gradient updates:
 * the group (or class of frequent words): the word before (2-gram), the one
   before that and the one before that (skips), both words before, hashed (3-gram);
 * the frequent word or bucket: the word before and the one before that;
-* class in the part and word in the class: the same two, as words themselves,
-  hashed; a pair of a class and a context word is a feature if the training texts
-  have it ``LEAST_SEEN`` times.
+* class in the part and word in the class: the word before (2-gram), and both
+  words before (3-gram), as words themselves, hashed; a pair of a class and a
+  context is a feature if the training texts have it ``LEAST_SEEN`` times.
 
 On the first two levels a context word is a frequent word or a group.  Which
 part of a bucket is by counts alone.  All of it sums to 1 over the known words
@@ -87,7 +87,7 @@ PAIR_SAMPLE = 1024
 #: Expected training tokens of a shard of parts, words of a part, and times that training texts have a feature of it.
 EVENTS, PART_WORDS, LEAST_SEEN = 1 << 20, 1024, 1
 #: Tokens of a gradient update in a shard of parts, its step, and passes over the shard.
-PART_UPDATE, PART_RATE, PART_EPOCHS = 512, 0.7, 1
+PART_UPDATE, PART_RATE, PART_EPOCHS = 1024, 0.7, 1
 #: Marks the documents that are only scored.
 HELD = np.uint32(1 << 31)
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
@@ -289,14 +289,19 @@ class Trainer(Model):
 
 def step(table: np.ndarray, squares: np.ndarray, r: np.ndarray, error: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
     """A gradient step of the rows ``r``; the distinct rows and how often each is in ``r``."""
-    order = np.argsort(r, kind="stable")
-    r = r[order]
-    starts = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-    g = np.add.reduceat(error[order], starts, axis=0)
-    at = r[starts]
-    squares[at] += (g * g).mean(axis=1)
-    table[at] -= _F(rate) * g / np.sqrt(squares[at])[:, None]
-    return at, np.diff(np.append(starts, len(r)))
+    if r[0] == r[-1] and (r == r[0]).all():  # the bias of all
+        at, times, g = r[:1], np.array([len(r)]), error.sum(axis=0, keepdims=True)
+    else:
+        order = np.argsort(r, kind="stable")
+        r = r[order]
+        starts = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+        at, times = r[starts], np.diff(np.append(starts, len(r)))
+        g = error[order] if len(at) == len(r) else np.add.reduceat(error[order], starts, axis=0)
+    new = squares[at] + np.einsum("ij,ij->i", g, g) / _F(g.shape[1])
+    squares[at] = new
+    g *= (_F(-rate) / np.sqrt(new))[:, None]
+    table[at] += g
+    return at, times
 
 
 class Level:
@@ -307,7 +312,7 @@ class Level:
     its own.  Tokens without such a pair have the biases' probability.
     """
 
-    def __init__(self, node: np.ndarray, digit: np.ndarray, contexts: list[np.ndarray], learn: np.ndarray, weight: np.ndarray):
+    def __init__(self, node: np.ndarray, digit: np.ndarray, contexts: list[np.ndarray], learn: np.ndarray, weight: np.ndarray, wide: np.ndarray):
         with np.errstate(divide="ignore"):
             self.bias = np.maximum(np.log(weight), -1e9).astype(_F)
             self.plain = np.log(weight[node, digit]) - np.log(weight.sum(axis=1))[node]
@@ -323,12 +328,14 @@ class Level:
             self.tables.append(np.zeros((len(known) + 1, weight.shape[1]), _F))
         self.squares = [np.full(len(t), 0.1, _F) for t in self.tables]
         self.at = np.flatnonzero(np.logical_or.reduce([r < len(t) - 1 for r, t in zip(rows, self.tables, strict=True)]))
-        self.node, self.digit, self.rows = node[self.at], digit[self.at], [r[self.at] for r in rows]
+        self.node, self.digit, self.wide, self.rows = node[self.at], digit[self.at], wide[self.at], [r[self.at] for r in rows]
 
     def softmax(self, own: np.ndarray) -> np.ndarray:
-        x = self.bias[self.node[own]]
+        """Probabilities of the places that these tokens' nodes have, at most."""
+        w = int(self.wide[own].max())
+        x = self.bias[:, :w][self.node[own]]
         for rows, table in zip(self.rows, self.tables, strict=True):
-            x += table[rows[own]]
+            x += table[:, :w][rows[own]]
         return _softmax(x)
 
     def learn(self, order: np.ndarray) -> None:
@@ -338,13 +345,13 @@ class Level:
             error = self.softmax(own)
             error[np.arange(len(own)), self.digit[own]] -= 1
             for rows, table, squares in zip(self.rows, self.tables, self.squares, strict=True):
-                step(table, squares, rows[own], error, PART_RATE)
+                step(table[:, : error.shape[1]], squares, rows[own], error, PART_RATE)
                 table[-1] = 0
 
     def log_probability(self) -> np.ndarray:
         out = self.plain.copy()
-        for lo in range(0, len(self.at), UPDATE):
-            own = np.arange(lo, min(lo + UPDATE, len(self.at)))
+        for lo in range(0, len(self.at), PART_UPDATE):
+            own = np.arange(lo, min(lo + PART_UPDATE, len(self.at)))
             out[self.at[own]] = np.log(np.maximum(self.softmax(own)[np.arange(len(own)), self.digit[own]], 1e-30))
         return out
 
@@ -382,8 +389,9 @@ def part_scores(leaf: np.ndarray, word: np.ndarray, one: np.ndarray, two: np.nda
     outer = weight.sum(axis=1).reshape(parts, most)
     cls, digit = cls[name], digit[name]
     out = np.log(outer.sum(axis=1))[leaf]
+    both = (mix((one.astype(_U) << _U(24)) | two) >> _U(40)).astype(np.uint32)
     for node, place, w in ((leaf, cls, outer), (leaf * most + cls, digit, weight)):
-        level = Level(node, place, [one, two], learn, w)
+        level = Level(node, place, [one, both], learn, w, wide[leaf])
         own = np.flatnonzero(learn[level.at])
         for _ in range(PART_EPOCHS):
             level.learn(own)
@@ -506,8 +514,8 @@ def _emit(head: Head, model: Model, shards: int):
             counted = np.where(c.is_frequent, log_count[c.rank] if len(log_count) else 0.0, 0.0)
             starts, n = tokens.first[:-1], hi - lo
             base = pa.array(np.full(n, batch.column(0)[lo].as_py(), np.int64))
-            # documents go through the shards' shuffle as they are, under keys below 0
-            spread = -1 - int(mix(np.array([batch.column(0)[lo].as_py()], _U))[0] % _U(shards))
+            # documents go through the shards' shuffle as they are, under a key below 0 for each batch
+            spread = -1 - batch.column(0)[lo].as_py()
             learn = batch.column(2).slice(lo, n).to_numpy(zero_copy_only=False).astype(bool)
             figures = [np.diff(tokens.first), np.add.reduceat((~c.is_frequent).astype(np.int64), starts), np.add.reduceat(counted, starts), np.add.reduceat(model.log_probability(c), starts)]
             own = [batch.column(1).slice(lo, n), pa.array(~learn), *map(pa.array, figures)]

@@ -358,12 +358,13 @@ def test_part_probabilities_are_brute_force(monkeypatch, least):
             for b, (node, place) in zip(bias, path[p, w]):
                 b.setdefault(node, {}).setdefault(place, 0)
                 b[node][place] += 1 + c.get(w, 0)
+    both = (L.mix((one.astype(np.uint64) << np.uint64(24)) | two) >> np.uint64(40)).astype(np.uint32)
     steps = [path.get((p, w), path[p, None]) for p, w in zip(leaf.tolist(), word.tolist())]
     want = np.log([sum(bias[0][p,].values()) for p in leaf.tolist()])
     for level in range(2):
         # one batch: the gradients of all tokens with a feature, at weights of 0
-        seen = [Counter((steps[i][level][0], x[i]) for i in range(n) if learn[i]) for x in (one, two)]
-        feature = lambda i, k: (steps[i][level][0], (one, two)[k][i])  # noqa: E731, B023
+        seen = [Counter((steps[i][level][0], x[i]) for i in range(n) if learn[i]) for x in (one, both)]
+        feature = lambda i, k: (steps[i][level][0], (one, both)[k][i])  # noqa: E731, B023
         share = lambda node: {d: m / sum(bias[level][node].values()) for d, m in bias[level][node].items()}  # noqa: E731, B023
         grads = [{}, {}]
         for i in range(n):
