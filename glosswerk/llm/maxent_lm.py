@@ -170,7 +170,8 @@ class Head:
         self.mass = in_bucket + words_in + self.parts[:, None]
         top = np.pad(counts, (0, sizes.frequent - len(counts))) + 1.0
         mass = np.concatenate([top.reshape(-1, sizes.class_words), self.mass])
-        self.prior = np.log(mass.sum(axis=1)).astype(_F), np.log(mass).astype(_F)
+        whole = mass.sum(axis=1)
+        self.prior = np.log(whole / whole.sum()).astype(_F), np.log(mass / whole[:, None]).astype(_F)
 
     def ranks(self, hashes: np.ndarray) -> np.ndarray:
         """Rank of each frequent word, -1 of all others."""
@@ -222,9 +223,10 @@ def part(hashes: np.ndarray, parts: np.ndarray) -> np.ndarray:
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
+    """In place, of logits whose biases are logs of shares: none is far above 0, and in each row one isn't far below."""
+    np.minimum(x, _F(80), out=x)
     np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    x *= (1 / np.maximum(np.einsum("ij->i", x), _F(1e-30)))[:, None]
     return x
 
 
@@ -243,16 +245,18 @@ class Model:
         self.no_class[: sizes.frequent_classes][absent.all(axis=1)] = -1e9
 
     def classes(self, rows: np.ndarray) -> np.ndarray:
-        x = self.tables[0][rows[0]]
+        x = self.tables[0].take(rows[0], axis=0)
         for r in rows[1:]:
-            x += self.tables[0][r]
-        return _softmax(x + self.no_class)
+            x += self.tables[0].take(r, axis=0)
+        x += self.no_class
+        return _softmax(x)
 
     def words(self, rows: np.ndarray) -> np.ndarray:
-        x = self.tables[1][rows[0]]
+        x = self.tables[1].take(rows[0], axis=0)
         for r in rows[1:]:
-            x += self.tables[1][r]
-        return _softmax(x + self.no_word[rows[0]])
+            x += self.tables[1].take(r, axis=0)
+        x += self.no_word.take(rows[0], axis=0)
+        return _softmax(x)
 
     def log_probability(self, c: Context) -> np.ndarray:
         """Natural log of each token's class probability times that of the frequent word or the bucket in it."""
@@ -287,8 +291,25 @@ class Trainer(Model):
                 self._push(which, rows[:, own], error)
 
 
+def _sums(error: np.ndarray, order: np.ndarray, starts: np.ndarray, times: np.ndarray, few: int = 4) -> np.ndarray:
+    """Sums of the rows ``error[order]`` from each start on; ``reduceat`` does only what is behind the first few of a sum."""
+    g = error.take(order[starts], axis=0)
+    for k in range(1, few):
+        more = np.flatnonzero(times > k)
+        if not len(more):
+            return g
+        g[more] += error.take(order[starts[more] + k], axis=0)
+    more = np.flatnonzero(times > few)
+    if len(more):
+        rest = times[more] - few
+        ends = np.cumsum(rest)
+        at = np.repeat(starts[more] + few - (ends - rest), rest) + np.arange(ends[-1])
+        g[more] += np.add.reduceat(error.take(order[at], axis=0), ends - rest, axis=0)
+    return g
+
+
 def step(table: np.ndarray, squares: np.ndarray, r: np.ndarray, error: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """A gradient step of the rows ``r``; the distinct rows and how often each is in ``r``."""
+    """A gradient step of the rows ``r``, in their first columns; the distinct rows and how often each is in ``r``."""
     if r[0] == r[-1] and (r == r[0]).all():  # the bias of all
         at, times, g = r[:1], np.array([len(r)]), error.sum(axis=0, keepdims=True)
     else:
@@ -296,11 +317,13 @@ def step(table: np.ndarray, squares: np.ndarray, r: np.ndarray, error: np.ndarra
         r = r[order]
         starts = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
         at, times = r[starts], np.diff(np.append(starts, len(r)))
-        g = error[order] if len(at) == len(r) else np.add.reduceat(error[order], starts, axis=0)
-    new = squares[at] + np.einsum("ij,ij->i", g, g) / _F(g.shape[1])
+        g = _sums(error, order, starts, times)
+    new = squares.take(at) + np.einsum("ij,ij->i", g, g) / _F(g.shape[1])
     squares[at] = new
     g *= (_F(-rate) / np.sqrt(new))[:, None]
-    table[at] += g
+    rows = table.take(at, axis=0)
+    rows[:, : g.shape[1]] += g
+    table[at] = rows
     return at, times
 
 
@@ -314,8 +337,8 @@ class Level:
 
     def __init__(self, node: np.ndarray, digit: np.ndarray, contexts: list[np.ndarray], learn: np.ndarray, weight: np.ndarray, wide: np.ndarray):
         with np.errstate(divide="ignore"):
-            self.bias = np.maximum(np.log(weight), -1e9).astype(_F)
-            self.plain = np.log(weight[node, digit]) - np.log(weight.sum(axis=1))[node]
+            logs = np.log(weight / np.maximum(weight.sum(axis=1, keepdims=True), 1))
+        self.bias, self.plain = np.maximum(logs, -1e9).astype(_F), logs[node, digit]
         rows, self.tables = [], []
         for c in contexts:
             key = (node.astype(_U) << _U(24)) | c.astype(_U)
@@ -333,9 +356,9 @@ class Level:
     def softmax(self, own: np.ndarray) -> np.ndarray:
         """Probabilities of the places that these tokens' nodes have, at most."""
         w = int(self.wide[own].max())
-        x = self.bias[:, :w][self.node[own]]
+        x = np.ascontiguousarray(self.bias.take(self.node[own], axis=0)[:, :w])
         for rows, table in zip(self.rows, self.tables, strict=True):
-            x += table[:, :w][rows[own]]
+            x += table.take(rows[own], axis=0)[:, :w]
         return _softmax(x)
 
     def learn(self, order: np.ndarray) -> None:
@@ -345,7 +368,7 @@ class Level:
             error = self.softmax(own)
             error[np.arange(len(own)), self.digit[own]] -= 1
             for rows, table, squares in zip(self.rows, self.tables, self.squares, strict=True):
-                step(table[:, : error.shape[1]], squares, rows[own], error, PART_RATE)
+                step(table, squares, rows[own], error, PART_RATE)
                 table[-1] = 0
 
     def log_probability(self) -> np.ndarray:
