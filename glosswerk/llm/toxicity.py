@@ -8,14 +8,17 @@ overlap by half and cover the whole text; a text's score is that of its worst
 window.  Words are runs of letters and digits, A-Z lower-cased.
 
 The network is trained in numpy on the driver, on a bounded sample of labelled
-rows: ``most_toxic`` and ``most_clean`` rows of the two classes, those whose ids
-have the smallest digests, without texts above ``MOST_BYTES``.  Since a label is of a text and not of a
-window, each epoch trains on the windows that the network finds worst.
-Nothing but the text is an input.  Scoring reads every whole text; a batch's
+rows: at most ``most_toxic`` and ``most_clean`` rows of the two classes, those
+whose ids have the smallest digests, and ``most_characters`` of their texts in
+all.  Only if the texts have more, the longest ones give pieces of
+``PIECE`` characters at even distances instead of all their characters, so that
+no row is left out for its length.  Since a label is of a text and not of a
+window, each epoch trains on the windows that the network finds worst.  Nothing but the text
+is an input, and all weights begin by chance.  Scoring reads every whole text; a batch's
 memory is bounded by ``BATCH_BYTES`` or its longest text.
 
 Defined results: a null text or one without words has one window without
-words, and its score.  Labels that are null, or of ids that aren't among the
+words, and its score.  Of several texts of a labelled id one is trained on.  Labels that are null, or of ids that aren't among the
 texts, aren't used; of several labels of an id the largest counts.  Without
 labelled rows of both classes the score is the share of toxic rows, held
 below 0.5.  Repeated rows share a score; an empty table gives an empty table.
@@ -34,13 +37,15 @@ from pyspark.sql import functions as F
 from .common import crc32_mod, slices, string_buffers
 from .textscan import LOWER, words
 
-#: Training rows: most of class 1 and of class 0, and the bytes of the longest text among them.
-MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 800, 2_400, 16_384
+#: Training rows: most of class 1 and of class 0, the characters of all of them, and those of a piece of a text that is cut.
+MOST_TOXIC, MOST_CLEAN, MOST_CHARACTERS, PIECE = 800, 2_400, 24 << 20, 2_048
 #: Words of a window, and from one window's start to the next one's.
-WINDOW, STRIDE = 32, 16
+WINDOW, STRIDE = 24, 12
 VOCABULARY, LEAST_TEXTS, LEAST_SHARE = 8_192, 3, 0.005
 WORD_DIM, CHAR_DIM, STATE, ATTEND = 12, 6, 8, 8
 LEAST_EPOCHS, LEAST_UPDATES, BATCH, RATE = 6, 300, 96, 0.01
+#: The network's weights are a running mean of those of the updates, which keeps so much of itself.
+AVERAGE = 0.99
 BATCH_BYTES = 1 << 20
 
 #: Lower case; whatever is neither a letter, a digit nor part of a longer character separates words.
@@ -131,7 +136,7 @@ class Texts:
 class Network:
     """The network's arrays, its scores and its gradients."""
 
-    def __init__(self, known: np.ndarray, odds: np.ndarray, seed: int = 5):
+    def __init__(self, known: np.ndarray, seed: int = 5):
         rng = np.random.default_rng(seed)
         inputs = WORD_DIM + CHAR_DIM
 
@@ -150,8 +155,6 @@ class Network:
             "out": init(2 * STATE, scale=0.3),
             "out_bias": np.zeros(1, _F),
         }
-        # the first place of a word's vector starts as its log odds in the training rows
-        self.p["word"][1:, 0] = odds
 
     def _inputs(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         number = texts.numbers(self.known)
@@ -281,27 +284,19 @@ def train(texts: list[str], toxic: list[int], seed: int = 5) -> Network | Consta
         return Constant(min(0.49, float(target.mean())) if len(target) else 0.0)
     raw = [t.encode() for t in texts]
     seen = Texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
-    # texts of each class that have a word
+    # texts that have a word
     doc = np.repeat(np.arange(len(raw)), np.diff(np.searchsorted(seen.starts, np.cumsum([0, *map(len, raw)]))))
     every, number = np.unique(seen.hashes, return_inverse=True)
-    pairs = np.unique(number * len(raw) + doc)
-    word, doc = pairs // len(raw), pairs % len(raw)
-    bad = np.bincount(word, weights=target[doc], minlength=len(every))
-    both = np.bincount(word, minlength=len(every))
+    both = np.bincount(np.unique(number * len(raw) + doc) // len(raw), minlength=len(every))
     order = np.lexsort((every, -both))[:VOCABULARY]
     chosen = np.sort(order[both[order] >= max(LEAST_TEXTS, LEAST_SHARE * len(raw))])
-    # words of a few copied texts say little: what smooths the odds grows with the sample
-    some = 0.5 + LEAST_SHARE * target.sum()
-    odds = np.log((bad[chosen] + some) / (target.sum() + some)) - np.log((both[chosen] - bad[chosen] + some) / (len(raw) - target.sum() + some))
-    net = Network(every[chosen], np.clip(odds / 3, -1, 3).astype(_F), seed)
+    net = Network(every[chosen], seed)
     rng = np.random.default_rng(seed)
     first = {n: np.zeros_like(v) for n, v in net.p.items()}
     second = {n: np.zeros_like(v) for n, v in net.p.items()}
-    number = seen.numbers(net.known)
-    # before the first epoch, a window's worst word says which is the worst window
-    bad_word = np.concatenate([net.p["word"][number, 0], np.zeros(WINDOW, _F)])
-    place = np.arange(WINDOW)
-    logit = np.where(place < seen.size[:, None], bad_word[np.minimum(seen.at[:, None] + place, len(bad_word) - 1)], -9).max(axis=1)
+    # before the first epoch all windows are equal, and a text's last one counts
+    logit = np.zeros(len(seen.of), _F)
+    mean = {n: np.zeros_like(v) for n, v in net.p.items()}
     step = 0
     last = np.append(seen.first[1:], len(seen.of)) - 1
     epoch = 0
@@ -323,17 +318,39 @@ def train(texts: list[str], toxic: list[int], seed: int = 5) -> Network | Consta
                 first[n] += 0.1 * (g[n] - first[n])
                 second[n] += 0.001 * (g[n] ** 2 - second[n])
                 v -= RATE * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.999**step)) + 1e-8) + RATE * 1e-3 * v
+                mean[n] += (1 - AVERAGE) * (v - mean[n])
         logit = net.windows(seen)
+    net.p = {n: (v / (1 - AVERAGE**step)).astype(_F) for n, v in mean.items()}
     return net
 
 
-def sample(docs: DataFrame, labels: DataFrame, train_row: Column, most_toxic: int, most_clean: int, id_col: str, text_col: str) -> tuple[list[str], list[int]]:
+def allowance(sizes: list[int], most: int) -> int:
+    """Characters that each text may give so that all give ``most`` at most."""
+    left = most
+    for k, size in enumerate(sorted(sizes)):
+        share = left // (len(sizes) - k)
+        if size > share:
+            return share
+        left -= size
+    return max(sizes, default=0)
+
+
+def pieces(text: Column, size: Column, most: int) -> Column:
+    """The text, or pieces of it at even distances, of ``most`` characters in all, if it has more."""
+    width = min(PIECE, max(most, 1))
+    many = max(1, most // (width + 1))
+    starts = F.transform(F.sequence(F.lit(0), F.lit(many - 1)), lambda k: (k * (size - width) / F.lit(max(many - 1, 1))).cast("int"))
+    cut = F.array_join(F.transform(starts, lambda at: F.substring(text, at + 1, F.lit(width))), "\n")
+    return F.when(size <= most, text).otherwise(cut)
+
+
+def sample(docs: DataFrame, labels: DataFrame, train_row: Column, most_toxic: int, most_clean: int, most_characters: int, id_col: str, text_col: str) -> tuple[list[str], list[int]]:
     """Texts and labels to train on, of bounded number and size."""
     known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("id IS NOT NULL AND toxic IN (0, 1)")
     known = known.groupBy("id").agg(F.max("toxic").alias("toxic")).where(train_row)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).where(F.octet_length("text") <= MOST_BYTES)
-    # only ids that have such a text count towards the limits
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).withColumn("size", F.length("text"))
+    # only ids that have a text count towards the limits; of several texts the smallest counts
     known = known.join(rows.select("id").hint("merge"), "id", "left_semi")
     order = [F.md5(F.col("id").cast("string").cast("binary")), F.col("id")]
     chosen = known.where("toxic = 1").orderBy(*order).limit(most_toxic).unionByName(known.where("toxic = 0").orderBy(*order).limit(most_clean))
@@ -342,9 +359,15 @@ def sample(docs: DataFrame, labels: DataFrame, train_row: Column, most_toxic: in
         return [], []
     chosen = docs.sparkSession.createDataFrame(ids, "id long, toxic int")
     rows = rows.join(F.broadcast(chosen), "id")
-    rows = rows.groupBy("id", "toxic").agg(F.min("text").alias("text")).collect()  # as many texts at most, of at most MOST_BYTES
-    rows.sort(key=lambda r: r["id"])
-    return [r["text"] for r in rows], [r["toxic"] for r in rows]
+    # of an id's texts the first by a digest, so that no task holds them all
+    named = rows.withColumn("name", F.sha2(F.col("text").cast("binary"), 256))
+    sizes = named.groupBy("id").agg(F.min(F.struct("name", "size")).alias("best")).select("id", "best.*").collect()  # a row for each id
+    most = allowance([r["size"] for r in sizes], most_characters)
+    best = docs.sparkSession.createDataFrame([(r["id"], r["name"]) for r in sizes], "id long, name string")
+    taken = named.join(F.broadcast(best), ["id", "name"]).select("id", "toxic", pieces(F.col("text"), F.col("size"), most).alias("text"))
+    taken = taken.groupBy("id", "toxic").agg(F.min("text").alias("text")).collect()  # most_characters at most
+    taken.sort(key=lambda r: r["id"])
+    return [r["text"] for r in taken], [r["toxic"] for r in taken]
 
 
 def _score(net: Network | Constant):
@@ -358,24 +381,24 @@ def _score(net: Network | Constant):
     return run
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN, held_out_of: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN, held_out_of: int = 5, id_col: str = "doc_id", text_col: str = "text", most_characters: int = MOST_CHARACTERS) -> DataFrame:
     """One row per row of ``docs``: id, held_out, score, predicted.
 
     Ids whose crc32 (as text) is a multiple of ``held_out_of`` aren't trained on.
     """
-    net = train(*sample(docs, labels, crc32_mod("id", held_out_of) != 0, most_toxic, most_clean, id_col, text_col))
+    net = train(*sample(docs, labels, crc32_mod("id", held_out_of) != 0, most_toxic, most_clean, most_characters, id_col, text_col))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     scored = rows.mapInArrow(_score(net), "id long, score double")
     held_out = crc32_mod("id", held_out_of) == 0
     return scored.select(F.col("id").alias(id_col), held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN, held_out_of: int = 5, id_col: str = "doc_id", text_col: str = "text", most_characters: int = MOST_CHARACTERS) -> DataFrame:
     """``docs`` without the rows that score 0.5 or more; all columns as they were.
 
     The score is made beside the row itself, so rows that share an id are judged by their own text.
     """
-    net = train(*sample(docs, labels, crc32_mod("id", 5) != 0, most_toxic, most_clean, id_col, text_col))
+    net = train(*sample(docs, labels, crc32_mod("id", held_out_of) != 0, most_toxic, most_clean, most_characters, id_col, text_col))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

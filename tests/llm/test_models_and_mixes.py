@@ -50,7 +50,7 @@ def test_gradients_are_differences():
     rng = np.random.default_rng(2)
     raw = [b"ab cd ef gh", b"x", b"", b"ab ab cd"]
     texts = T.Texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
-    net = T.Network(np.unique(texts.hashes)[:3], np.zeros(3, np.float32), 1)
+    net = T.Network(np.unique(texts.hashes)[:3], 1)
     net.p = {k: (rng.standard_normal(v.shape) * 0.5).astype(np.float32) for k, v in net.p.items()}
     target = np.array([1, 0, 1, 0], np.float32)
     part = texts.only(np.arange(4))
@@ -195,12 +195,66 @@ def test_mixing_other_cases(spark):
         X.budgets(docs, F.lit(1), 1, {("a",): -1})
 
 
-def test_sample_fills_up(spark):
-    long = "x" * (T.MOST_BYTES + 1)
-    docs = spark.createDataFrame([(i, long if i < 40 else f"text {i}") for i in range(60)], "doc_id long, text string")
+def test_scores_are_a_plain_forward_pass():
+    """The network's score against a loop over words, one window after the other."""
+    rng = np.random.default_rng(3)
+    raw = [b" ".join(b"w%d" % rng.integers(0, 9) for _ in range(n)) for n in (0, 1, 5, 24, 25, 60)]
+    data, offs = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    net = T.Network(np.unique(T.Texts(data, offs).hashes)[:5], 1)
+    p = net.p = {k: (rng.standard_normal(v.shape) * 0.5).astype(np.float32) for k, v in net.p.items()}
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def window(words):
+        if not words:
+            return float(p["out_bias"][0])
+        hashes = T.Texts(np.frombuffer(b" ".join(words), np.uint8), np.array([0, len(b" ".join(words))])).hashes
+        known = {int(h): i + 1 for i, h in enumerate(net.known)}
+        inputs = [np.concatenate([p["word"][known.get(int(h), 0)], np.mean([p["char"][c] for c in w], axis=0)]) for h, w in zip(hashes, words)]
+        states = [None] * 2
+        for d in range(2):
+            h, out = np.zeros(T.STATE), []
+            for x in inputs if d == 0 else inputs[::-1]:
+                g, u = x @ p["in"][d] + p["bias"][d], h @ p["state"][d]
+                z, r, c = (slice(i * T.STATE, (i + 1) * T.STATE) for i in range(3))
+                z, new = sigmoid(g[z] + u[z]), np.tanh(g[c] + sigmoid(g[r] + u[r]) * u[c])
+                h = z * h + (1 - z) * new
+                out.append(h)
+            states[d] = out if d == 0 else out[::-1]
+        both = np.concatenate(states, axis=1)
+        e = np.exp(np.tanh(both @ p["attend"]) @ p["query"])
+        return float((e / e.sum()) @ both @ p["out"] + p["out_bias"][0])
+
+    for text, score in zip(raw, net.score(data, offs), strict=True):
+        w = text.split()
+        starts = [min(k * T.STRIDE, max(len(w) - T.WINDOW, 0)) for k in range(max(0, -(-(len(w) - T.WINDOW) // T.STRIDE)) + 1)]
+        assert score == pytest.approx(max(sigmoid(window(w[a : a + T.WINDOW])) for a in starts), abs=1e-4)
+
+
+def test_sample_leaves_no_row_out_for_its_length(spark):
+    assert T.allowance([], 10) == 0 and T.allowance([3, 4], 10) == 4 and T.allowance([1, 100, 50], 21) == 10
+    texts = [(i, f"a{i} " * (9_000 if i < 6 else 5)) for i in range(12)] + [(3, "another"), (40, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
-    texts, toxic = T.sample(docs, labels, F.lit(True), 8, 9, "doc_id", "text")
-    assert (sum(toxic), len(toxic)) == (8, 17) and long not in texts
+    got, toxic = T.sample(docs, labels, F.lit(True), 800, 2400, 40_000, "doc_id", "text")
+    assert (sum(toxic), len(toxic)) == (6, 13) and sum(map(len, got)) <= 40_000 and sum(map(len, got)) > 25_000
+    whole, _ = T.sample(docs, labels, F.lit(True), 800, 2400, 1 << 20, "doc_id", "text")
+    assert set(whole) <= {t or "" for _, t in texts} and len(T.sample(docs, labels, F.lit(True), 2, 3, 1 << 20, "doc_id", "text")[0]) == 5
+
+
+def test_long_texts_are_told_apart(spark):
+    rng = random.Random(5)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgklm" for b in "aeiou" for c in ("n", "r", "s", "th", "nd")]
+    rows = []
+    for i in range(200):
+        words = [rng.choice(vocabulary) for _ in range(5200)]
+        if i % 2:
+            for _ in range(8):
+                words.insert(rng.randrange(len(words)), rng.choice(["idiot", "scum", "moron"]))
+        rows.append((i, " ".join(words)))
+    assert min(len(t) for _, t in rows) > 20_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = T.toxicity(docs, spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")).where("held_out").collect()
+    assert len(got) > 25 and np.mean([r["predicted"] == r["doc_id"] % 2 for r in got]) > 0.9
 
 
 # language model
