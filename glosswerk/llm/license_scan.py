@@ -1,10 +1,16 @@
 """License scan by canonical digest lookup.
 
-A whole text is brought to a canonical form (case, punctuation, copyright
-lines, equivalent spellings), and the SHA-256 of that form is looked up in a
-table of digests of known license texts by a hash join.  The table has one row
-for each text of this library's list, so it is broadcast; a longer list of the
-caller's own is left to the planner.  The list has each license with and
+A whole text is brought to a canonical form, and the SHA-256 of that form is
+looked up in a table of digests of known license texts by a hash join.  The form
+is made in one pass: lower case; copyright lines go, where a text has any; words
+(runs of letters, marks and digits of any script) are taken out of what lies
+between them, be it white space, ASCII or Unicode punctuation or a copyright
+sign; each word of another spelling is replaced by one lookup; single spaces
+join them.
+
+The table has one row for each text of this library's list (a few hundred), so
+it is broadcast; a longer list of the caller's own (``texts``, or a folder read by
+``read_licenses``) is left to the planner.  The list has each license with and
 without its usual title lines.  A license or notice inside a longer text isn't
 found: only the whole text is looked up.
 
@@ -24,7 +30,7 @@ from pyspark.sql import functions as F
 from .license_library import more_texts
 from .license_texts import LICENSES
 
-#: Spellings that count as equal, as (spelling, canonical spelling) of whole words.
+#: Words that count as equal, as (spelling, canonical spelling).
 SPELLINGS = [
     ("acknowledgment", "acknowledgement"),
     ("analog", "analogue"),
@@ -35,7 +41,6 @@ SPELLINGS = [
     ("caliber", "calibre"),
     ("canceled", "cancelled"),
     ("cooperation", "co operation"),
-    ("copyright owner", "copyright holder"),
     ("favor", "favour"),
     ("fulfill", "fulfil"),
     ("http", "https"),
@@ -55,26 +60,31 @@ SPELLINGS = [
     ("wilful", "willful"),
 ]
 #: Lines that state a copyright, or that all rights are reserved; they differ from copy to copy.
-COPYRIGHT_LINE = r"^[^a-z0-9\n]*(copyright( |\()[^\n]*|\(c\) [^\n]*|all rights reserved\.?[ ]*)$"
-PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+COPYRIGHT_LINE = r"^[^a-z0-9\n]*(copyright( |\()[^\n]*|\(c\) [^\n]*|© ?[^\n]*|all rights reserved\.?[ ]*)$"
+#: What every copyright line has, so that other texts aren't searched for them.
+COPYRIGHT_SIGNS = ["copyright", "(c) ", "©", "all rights reserved"]
+#: What lies between words.
+BETWEEN = r"[^\p{L}\p{M}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
-    """Lower case, without copyright lines; words of letters and digits joined by single spaces; one spelling."""
-    out = F.translate(F.coalesce(text, F.lit("")), UPPER + "\r", LOWER + "\n")
-    out = F.regexp_replace(out, f"(?md){COPYRIGHT_LINE}", " ")
-    # ASCII punctuation and white space separate words; letters of other scripts stay
-    out = F.regexp_replace(out, PUNCTUATION, "  ")
-    # two spaces between words, so that each word has its own on both sides
-    out = F.concat(F.lit(" "), F.trim(out), F.lit(" "))
-    for spelling, to in SPELLINGS:
-        out = F.replace(out, F.lit(spaced(spelling)), F.lit(spaced(to)))
-    return F.replace(F.trim(out), F.lit("  "), F.lit(" "))
+    """Lower case, without copyright lines; words joined by single spaces; one spelling."""
+    lower = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("\r"), F.lit("\n"))
+    signs = F.contains(lower, F.lit(COPYRIGHT_SIGNS[0]))
+    for sign in COPYRIGHT_SIGNS[1:]:
+        signs = signs | F.contains(lower, F.lit(sign))
+    body = F.when(signs, F.regexp_replace(lower, f"(?md){COPYRIGHT_LINE}", " ")).otherwise(lower)
+    words = F.trim(F.regexp_replace(body, BETWEEN, " "))
+    spelled = F.create_map(*(F.lit(x) for pair in SPELLINGS for x in pair))
+    other = [spelling for spelling, _ in SPELLINGS]
+    one = F.transform(F.split(words, " "), lambda w: F.when(w.isin(*other), F.try_element_at(spelled, w)).otherwise(w))
+    return F.array_join(one, " ")
 
 
-def spaced(words: str) -> str:
-    return f" {words.replace(' ', '  ')} "
+def read_licenses(spark: SparkSession, path: str) -> DataFrame:
+    """(license_id, text) of a folder of ``<license_id>.txt`` files, a list for ``license_scan``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    return files.select(F.regexp_extract("path", r"([^/]+)\.txt$", 1).alias("license_id"), F.col("content").cast("string").alias("text"))
 
 
 def known_digests(spark: SparkSession, texts: DataFrame | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Whole texts of public licenses and of short license notices, by SPDX identifier."""
+"""Whole texts of short public licenses, by SPDX identifier."""
 
 _MIT_BODY = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -20,15 +20,11 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
 
 LICENSES = {
     "0BSD": _ISC_GRANT + "." + _ISC_END,
-    "Apache-2.0 (notice)": "Licensed under the Apache License, Version 2.0.",
     "BSD-2-Clause": _BSD_GRANT + _BSD_1 + _BSD_2 + _BSD_END,
     "BSD-3-Clause": _BSD_GRANT + _BSD_1 + _BSD_2 + _BSD_3 + _BSD_END,
-    "CC-BY-NC-4.0 (notice)": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0 (notice)": "This work is licensed under the GNU General Public License, version 3.",
     "ISC": _ISC_GRANT + ", provided that the above copyright notice and this permission notice appear in all copies." + _ISC_END,
     "MIT": _MIT_BODY,
     "MIT (with its name)": "MIT License\n\n" + _MIT_BODY,
-    "MIT (notice)": "Released under the MIT License.",
     "Unlicense": """This is free and unencumbered software released into the public domain.
 
 Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable
 
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from .bpe import bpe_digests
 from .common import SPACE, WORD, table
 from .exact_dedup import exact_dedup
 from .hilbert_shards import hilbert_shards
+from .license_library import more_texts
 from .license_texts import LICENSES
 from .maxent_lm import lm_scores
 from .minhash import near_duplicates
@@ -128,22 +132,25 @@ SELECT page_id, host, path,
 FROM parts"""
 
 
-def _license_form(text: str) -> str:
-    out = f"translate(coalesce({text}, ''), {_quoted(lic.UPPER)} || chr(13), {_quoted(lic.LOWER)} || chr(10))"
-    out = f"regexp_replace({out}, {_quoted('(?m)' + lic.COPYRIGHT_LINE)}, ' ', 'g')"
-    out = f"' ' || trim(regexp_replace({out}, {_quoted(lic.PUNCTUATION)}, '  ', 'g'), ' ') || ' '"
-    for spelling, to in lic.SPELLINGS:
-        out = f"replace({out}, {_quoted(lic.spaced(spelling))}, {_quoted(lic.spaced(to))})"
-    return f"replace(trim({out}, ' '), '  ', ' ')"
+def _plain_form(text: str) -> str:
+    """The canonical form of a license text, in Python alone."""
+    lower = text.lower().replace("\r", "\n")
+    body = re.sub(lic.COPYRIGHT_LINE, " ", lower, flags=re.MULTILINE)
+    spelled = dict(lic.SPELLINGS)
+    return " ".join(spelled.get(w, w) for w in regex.split(lic.BETWEEN, body) if w)
 
 
 def _license_sql() -> str:
-    known = ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in sorted(LICENSES.items()))
+    known: dict[str, str] = {}
+    for name, text in [*LICENSES.items(), *more_texts()]:
+        digest = hashlib.sha256(_plain_form(text).encode()).hexdigest()
+        known[digest] = min(name, known.get(digest, name))
+    body = f"regexp_replace(replace(lower(coalesce(text, '')), chr(13), chr(10)), {_quoted('(?m)' + lic.COPYRIGHT_LINE)}, ' ', 'g')"
+    spelled = "map {" + ", ".join(f"{_quoted(a)}: {_quoted(b)}" for a, b in lic.SPELLINGS) + "}"
+    form = f"array_to_string(list_transform(string_split(trim(regexp_replace({body}, {_quoted(lic.BETWEEN)}, ' ', 'g'), ' '), ' '), lambda w: coalesce({spelled}[w], w)), ' ')"
     return f"""
-WITH known AS (
-  SELECT sha256(form) AS canonical_sha256, min(license_id) AS license_id
-  FROM (SELECT license_id, {_license_form('text')} AS form FROM (VALUES {known}) AS t(license_id, text)) WHERE form <> '' GROUP BY 1
-), forms AS (SELECT doc_id, {_license_form('text')} AS form FROM documents)
+WITH known(canonical_sha256, license_id) AS (VALUES {', '.join(f'({_quoted(d)}, {_quoted(n)})' for d, n in sorted(known.items()))}),
+forms AS (SELECT doc_id, {form} AS form FROM documents)
 SELECT f.doc_id, length(f.form)::BIGINT AS n_canonical, sha256(f.form) AS canonical_sha256, k.license_id
 FROM forms f LEFT JOIN known k ON sha256(f.form) = k.canonical_sha256"""
 

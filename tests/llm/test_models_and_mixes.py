@@ -472,6 +472,26 @@ def test_licenses(spark):
     assert C.license_scan(docs.limit(0)).collect() == []
 
 
+def test_query_finds_planted_licenses(spark, tmp_path):
+    """op10 and its SQL over a table with licenses, their copies in other dress, and near misses."""
+    whole = {p.stem: p.read_text() for p in (Path(C.__file__).parent / "licenses").glob("*.txt")}
+    mit = LICENSES["MIT"]
+    curly = mit.replace('"', "\u201c").replace("-", "\u2013").replace(", ", "\u00a0\u2014 ")
+    texts = [mit, curly, "\u00a9 2024 Some One\n\n" + mit, "\ufeff* " + mit.replace("\n", "\n * "), whole["Apache-2.0"], whole["GPL-3.0"].upper(), whole["MPL-2.0"].replace("\n", "\r\n")]
+    wrong = [mit + "x", mit.replace("software", "hardware"), whole["GPL-3.0"][:-200], "Released under the MIT License.", "", None, "\u00a9 2024 Some One", "Straße \u0130 licensed"]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts + wrong)]
+    spark.createDataFrame(rows, DOCUMENTS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in Q.op10_license_scan(spark, str(tmp_path)).collect()}
+    want = ["MIT"] * 4 + ["Apache-2.0", "GPL-3.0", "MPL-2.0"] + [None] * len(wrong)
+    assert [got[i]["license_id"] for i in range(len(rows))] == want
+    documents = spark.read.parquet(str(tmp_path / "documents.parquet")).toPandas()  # noqa: F841  read by the SQL
+    theirs = {r[0]: r for r in duckdb.sql(Q.ORACLE_SQL["op10_license_scan"]).fetchall()}
+    assert {i: theirs[i][3] for i in theirs} == dict(enumerate(want))
+    assert [theirs[i][1:3] for i in range(len(rows) - 1)] == [(got[i]["n_canonical"], got[i]["canonical_sha256"]) for i in range(len(rows) - 1)]
+    own = C.read_licenses(spark, str(Path(C.__file__).parent / "licenses"))
+    assert {r["license_id"] for r in C.license_scan(spark.createDataFrame(rows[:7], DOCUMENTS), own).collect()} == {None, "Apache-2.0", "GPL-3.0", "MPL-2.0"}
+
+
 def test_whole_licenses_and_titles(spark):
     folder = Path(C.__file__).parent / "licenses"
     whole = {p.stem: p.read_text() for p in folder.glob("*.txt")}
