@@ -9,19 +9,23 @@ where the node's siblings get it.  All numbers are integers, so shares add up
 exactly: what rounding leaves goes to the first children in the order below.
 
 A leaf's tokens come as a sequence of epochs, each a permutation of its rows
-by a seeded digest; the leaf's share is a prefix of that sequence.  Whole
-epochs count for every row, and one more for rows whose running sum in the
-last epoch stays within the rest.  The running sum is made of sums over
-ranges of digests and of sums within one range, and the number of ranges
-follows the leaf's rows, so a leaf with a third of all rows is many tasks.
-
-Order of children: tokens they can take for their weight, then their name.
+by a seeded digest of id and text; the leaf's share is a prefix of that
+sequence.  Whole epochs count for every row, and one more for rows up to the
+last place whose running sum stays within the rest.  Rows of one place are
+added up before anything moves; the running sum over places is made of sums
+over ranges of digests and of sums within one range, and the number of ranges
+follows the leaf's rows, so a leaf with a third of all rows is many tasks.  A
+leaf's last place is one value, which its rows meet in a join by leaf.
+
+Order of children: tokens they can take for their weight, then their name.  The
+children of one node are sorted by one task: as many rows as a domain has
+languages, or a language has sources.
 
 Defined results: tokens are words (runs without white space); a null or empty
 text has none, and is taken if its place in the epoch is within the share.
 Null domains, languages and sources are values of their own, named ``''``.
-Rows with equal ids have the same place, and are taken or left together.  A
-weight that isn't given is 1; weights of 0 give nothing.  A budget above what
+Rows with equal ids and texts have the same place, and are taken or left
+together.  A weight that isn't given is 1; weights of 0 give nothing.  A budget above what
 all leaves hold takes all.  An empty table gives an empty table.  Only the
 named columns are read, so other columns may have any name.
 """
@@ -32,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, forget, written
 
 #: Expected rows in a range of digests.
 RANGE_ROWS = 2048
@@ -45,9 +49,13 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def seeded(seed: int, epoch: Column | int, key: Column) -> Column:
+def text_digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def seeded(seed: int, epoch: Column, key: Column, digest: Column) -> Column:
     """Digest that orders an epoch."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), (F.lit(epoch) if isinstance(epoch, int) else epoch).cast("string"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(key.cast("string"), F.lit("")), digest).cast("binary"))
 
 
 def divide(children: DataFrame, parent: list[str], child: str) -> DataFrame:
@@ -100,6 +108,45 @@ def budgets(leaves: DataFrame, budget: Column, epochs: int, weights: dict[tuple[
     return leaves.drop("capacity").join(shared, levels, "left").withColumn("share", F.coalesce("share", F.lit(0)))
 
 
+LEAF = ["domain", "lang", "source"]
+
+
+def _leafed(docs: DataFrame, domain: Column, id_col: str, text_col: str, lang_col: str, source_col: str, *more: Column) -> DataFrame:
+    named = zip(LEAF, (domain, F.col(lang_col), F.col(source_col)), strict=True)
+    return docs.select(F.col(id_col).alias("id"), *(F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in named), text_digest(F.col(text_col)).alias("digest"), *more)
+
+
+def _cuts(rows: DataFrame, percent: int, epochs: int, weights: dict[tuple[str, ...], int] | None, seed: int) -> DataFrame:
+    """Leaves with their ``share``, the ``full`` epochs in it, and the last place of one more (null: none) as ``cut``."""
+    if epochs < 1 or percent < 0:
+        raise ValueError("epochs must be at least 1, and percent at least 0")
+    sizes = rows.groupBy(*LEAF).agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("tokens"))
+    total = sizes.agg(F.sum("tokens")).first()[0] or 0
+    shares = budgets(sizes, F.lit(total * percent // 100).cast("long"), epochs, weights)
+    # whole epochs first; then a prefix of one more, of at most `rest` tokens
+    shares = shares.withColumn("full", F.when(F.col("tokens") > 0, F.least(F.expr("share div tokens"), F.lit(epochs))).otherwise(F.lit(0)).cast("int"))
+    shares = shares.withColumn("rest", F.col("share") - F.col("full") * F.col("tokens")).withColumn("ranges", F.ceil(F.col("n") / RANGE_ROWS).cast("long"))
+    shares = written(shares.select(*LEAF, "share", "full", "rest", "ranges"), "mixing-shares")
+    placed = rows.join(shares.where("rest > 0"), LEAF).withColumn("at", seeded(seed, F.col("full"), F.col("id"), F.col("digest")))
+    number = F.conv(F.substring("at", 1, RANGE_DIGITS), 16, 10).cast("long")
+    placed = placed.withColumn("range", F.floor(number * F.col("ranges") / F.lit(16**RANGE_DIGITS)))
+    places = written(placed.groupBy(*LEAF, "range", "at").agg(F.sum("n_tokens").alias("own"), F.max("rest").alias("rest")), "mixing-places")
+    sums = places.groupBy(*LEAF, "range").agg(F.sum("own").alias("own"))
+    before = F.coalesce(F.sum("own").over(W.partitionBy(*LEAF).orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = sums.select(*LEAF, "range", before.alias("before"))
+    within = F.sum("own").over(W.partitionBy(*LEAF, "range").orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow))
+    inside = places.withColumn("within", within).join(starts, [*LEAF, "range"]).where("before + within <= rest")
+    cuts = inside.groupBy(*LEAF).agg(F.max("at").alias("cut"))
+    out = written(shares.select(*LEAF, "share", "full").join(cuts, LEAF, "left"), "mixing-cuts")
+    forget(shares, places)
+    return out
+
+
+def _copies(seed: int) -> Column:
+    at = seeded(seed, F.col("full"), F.col("id"), F.col("digest"))
+    return (F.col("full") + F.when(at <= F.col("cut"), 1).otherwise(0)).cast("int")
+
+
 def mix_sources(
     docs: DataFrame,
     domain: Column,
@@ -118,46 +165,15 @@ def mix_sources(
     whole number for (domain,), (domain, lang) or (domain, lang, source).
     ``copies`` is how often the row is in the mix: 0 to ``epochs``.
     """
-    if epochs < 1 or percent < 0:
-        raise ValueError("epochs must be at least 1, and percent at least 0")
-    leaf = ["domain", "lang", "source"]
-    rows = written(
-        docs.select(
-            F.col(id_col).alias("id"),
-            F.coalesce(domain.cast("string"), F.lit("")).alias("domain"),
-            F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
-            F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
-            words_of(F.col(text_col)).alias("n_tokens"),
-        ),
-        "mixing-rows",
-    )
-    sizes = rows.groupBy(*leaf).agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("tokens"))
-    total = sizes.agg(F.sum("tokens")).first()[0] or 0
-    shares = budgets(sizes, F.lit(total * percent // 100).cast("long"), epochs, weights)
-    # whole epochs first; then a prefix of one more, of at most `rest` tokens
-    shares = shares.withColumn("full", F.when(F.col("tokens") > 0, F.least(F.expr("share div tokens"), F.lit(epochs))).otherwise(F.lit(0)).cast("int"))
-    shares = shares.withColumn("rest", F.col("share") - F.col("full") * F.col("tokens")).withColumn("ranges", F.ceil(F.col("n") / RANGE_ROWS).cast("long"))
-    shares = written(shares.select(*leaf, "tokens", "share", "full", "rest", "ranges"), "mixing-shares")
-    order = seeded(seed, F.col("full"), F.col("id"))
-    placed = rows.join(shares, leaf).withColumn("at", order)
-    width = 16**RANGE_DIGITS
-    number = F.conv(F.substring("at", 1, RANGE_DIGITS), 16, 10).cast("long")
-    placed = placed.withColumn("range", F.floor(number * F.col("ranges") / F.lit(width)))
-    placed = written(placed, "mixing-placed")
-    sums = placed.groupBy(*leaf, "range").agg(F.sum("n_tokens").alias("own"), F.max("rest").alias("rest"))
-    before = F.coalesce(F.sum("own").over(W.partitionBy(*leaf).orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    starts = written(sums.select(*leaf, "range", before.alias("before")), "mixing-ranges")
-    within = F.sum("n_tokens").over(W.partitionBy(*leaf, "range").orderBy("at").rangeBetween(W.unboundedPreceding, W.currentRow))
-    taken = placed.withColumn("within", within).join(starts, [*leaf, "range"])
-    partial = (F.col("before") + F.col("within") <= F.col("rest")) & (F.col("rest") > 0)
-    return taken.select(F.col("id").alias(id_col), *leaf, "n_tokens", F.col("share").alias("leaf_share"), (F.col("full") + F.when(partial, 1).otherwise(0)).cast("int").alias("copies"))
+    rows = written(_leafed(docs, domain, id_col, text_col, lang_col, source_col, words_of(F.col(text_col)).alias("n_tokens")), "mixing-rows")
+    taken = rows.join(_cuts(rows, percent, epochs, weights, seed), LEAF)
+    return taken.select(F.col("id").alias(id_col), *LEAF, "n_tokens", F.col("share").alias("leaf_share"), _copies(seed).alias("copies"))
 
 
 def drop_unmixed(docs: DataFrame, domain: Column, percent: int, weights: dict[tuple[str, ...], int] | None = None, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``docs`` without the rows that a mix of one epoch leaves out; all columns as they were.
-
-    Rows that share an id are left out if any of them is.
-    """
-    mix = mix_sources(docs, domain, percent, 1, weights, seed, id_col, text_col, lang_col, source_col)
-    gone = mix.where("copies = 0").select(F.col(id_col).alias("id")).distinct().alias("b")
-    return docs.alias("a").join(gone.hint("merge"), F.col(f"a.{id_col}").eqNullSafe(F.col("b.id")), "left_anti")
+    """``docs`` without the rows that a mix of one epoch leaves out, each judged by its own leaf, id and text; all columns as they were."""
+    rows = written(_leafed(docs, domain, id_col, text_col, lang_col, source_col, words_of(F.col(text_col)).alias("n_tokens")), "mixing-rows")
+    cuts = _cuts(rows, percent, 1, weights, seed)
+    forget(rows)
+    whole = _leafed(docs, domain, id_col, text_col, lang_col, source_col, F.struct(*(F.col(c) for c in docs.columns)).alias("row"))
+    return whole.join(cuts, LEAF).where(_copies(seed) > 0).select(*(F.col("row")[c].alias(c) for c in docs.columns))

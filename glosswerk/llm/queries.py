@@ -183,7 +183,7 @@ def mixing_sql(docs: str = "documents") -> str:
     leaf = ["domain", "lang", "source"]
     return f"""
 WITH mix_rows AS (
-  SELECT doc_id, 'd' || (ascii(right(coalesce(source, ''), 1)) % 4) AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  SELECT doc_id, 'd' || (ascii(right(coalesce(source, ''), 1)) % 4) AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source, md5(coalesce(text, '')) AS digest,
     len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS n_tokens FROM {docs}
 ), leaves AS (SELECT domain, lang, source, count(*) AS n, sum(n_tokens)::HUGEINT AS tokens FROM mix_rows GROUP BY ALL
 ), nodes AS (SELECT *, CASE WHEN {_weight_sql(3, leaf)} > 0 THEN tokens * {MIX_EPOCHS} ELSE 0 END AS capacity FROM leaves
@@ -198,7 +198,7 @@ WITH mix_rows AS (
   SELECT *, share - whole * tokens AS rest FROM (
     SELECT domain, lang, source, tokens, coalesce(share, 0) AS share, CASE WHEN tokens > 0 THEN least(coalesce(share, 0) // tokens, {MIX_EPOCHS}) ELSE 0 END AS whole FROM leaves LEFT JOIN c_shared USING (domain, lang, source))
 ), placed AS (
-  SELECT *, md5('{MIX_SEED}:' || whole || ':' || coalesce(doc_id::VARCHAR, '')) AS place FROM mix_rows JOIN shares USING (domain, lang, source)
+  SELECT *, md5('{MIX_SEED}:' || whole || ':' || coalesce(doc_id::VARCHAR, '') || ':' || digest) AS place FROM mix_rows JOIN shares USING (domain, lang, source)
 )
 SELECT doc_id, domain, lang, source, n_tokens, share::BIGINT AS leaf_share,
   (whole + CASE WHEN rest > 0 AND sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place) <= rest THEN 1 ELSE 0 END)::INTEGER AS copies

@@ -152,9 +152,11 @@ def mixed(spark, rows, **options):
 def test_mixing_is_its_sql(spark):
     rows, _ = corpus(300)
     rows += [(1000, None, None, None, None), (1001, "", "en", "src1", 0), (1002, "w " * 5000, "en", "src1", 0)]
+    # null and repeated ids, and repeated rows
+    rows += [(None, f"n {i % 40}", "en", "src1", 0) for i in range(120)] + [(7, f"seven {i}", "fr", "src2", 0) for i in range(30)]
     docs = spark.createDataFrame(rows, DOCUMENTS)
     got = X.mix_sources(docs, Q.source_domain(), Q.MIX_PERCENT, Q.MIX_EPOCHS, Q.MIX_WEIGHTS, Q.MIX_SEED).collect()
-    documents = docs.toPandas()  # noqa: F841  read by the SQL
+    documents = docs.toArrow()  # noqa: F841  read by the SQL
     want = duckdb.sql(Q.mixing_sql().replace("documents", "documents")).fetchall()
     names = [d[0] for d in duckdb.sql(Q.mixing_sql()).description]
     assert sorted([tuple(r[n] for n in names) for r in got], key=str) == sorted(want, key=str)
@@ -189,7 +191,11 @@ def test_mixing_other_cases(spark):
     got = X.mix_sources(docs, F.lit("d"), 100, 1).collect()
     assert sorted((str(r["doc_id"]), r["copies"]) for r in got) == [("1", 1), ("1", 1), ("None", 0)]
     kept = X.drop_unmixed(docs, F.lit("d"), 100)
+    # what is left has no tokens, so it isn't within a share of 0
     assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [1, 1]
+    # rows of one id, or of none, are judged one by one
+    mixed = spark.createDataFrame([(None if i % 2 else 5, f"a b c{i}", "en", "s", 0) for i in range(60)], DOCUMENTS)
+    assert 20 <= X.drop_unmixed(mixed, F.lit("d"), 50).count() <= 30
     assert X.mix_sources(docs.limit(0), F.lit("d")).collect() == []
     with pytest.raises(ValueError):
         X.budgets(docs, F.lit(1), 1, {("a",): -1})
