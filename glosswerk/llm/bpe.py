@@ -1,8 +1,9 @@
 """BPE encoding and decoding by per-prefix dynamic programming.
 
 For each prefix of a word exactly one token can be the last one of the
-prefix's encoding.  All tokens that are suffixes of the prefix come from a
-suffix automaton over the vocabulary; a token is the last one if the prefix
+prefix's encoding.  All tokens that are suffixes of the prefix come from an
+automaton of the vocabulary (a trie with suffix links, from pyahocorasick,
+which lists all tokens that end at a place); a token is the last one if the prefix
 before it ends in a token with which it is compatible, that is if no merge of
 lower rank would have joined anything across their border.  Back-pointers from
 the whole word give the exact ids, in time linear in the word's length and

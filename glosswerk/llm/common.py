@@ -22,15 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may go without the setting; it then gets a folder of
-    its own, since there driver and executors are one process.
+    Without the setting a local master gets a folder below its warehouse, since
+    there driver and executors are one process; a cluster must have the setting.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return "file:///tmp/checkpoints/glosswerk"
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

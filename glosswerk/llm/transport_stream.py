@@ -3,9 +3,11 @@
 ``store`` packs each payload, bytes as 8-bit samples of a private stream, into
 a transport stream: a program association table, a program map table, then
 packets of access units with presentation times, the first and every
-``RANDOM_ACCESS_EVERY``-th of them marked as a random-access point.
+``RANDOM_ACCESS_EVERY``-th of them marked as a random-access point.  The program
+has no clock, which its map says by the PID of no packets.
 ``read_back`` parses any such stream: the program tables (with their CRC), the
-continuity counters of every program's elementary streams, and the elementary
+continuity counters of every program's elementary streams (but for signalled
+discontinuities), and the elementary
 packets, of which it returns the payload, the times and the random-access
 points.
 
@@ -33,7 +35,7 @@ from .common import slices, string_buffers
 
 PACKET, HEAD = 188, 4
 SYNC = 0x47
-PAT_PID, PMT_PID, MEDIA_PID = 0x0000, 0x1000, 0x0100
+PAT_PID, PMT_PID, MEDIA_PID, NO_PID = 0x0000, 0x1000, 0x0100, 0x1FFF
 PROGRAM, STREAM_ID, STREAM_TYPE = 1, 0xBD, 0x06
 #: Bytes of payload in an access unit, the 90 kHz ticks of one, and how many share a random-access point.
 UNIT_BYTES, UNIT_TICKS, RANDOM_ACCESS_EVERY = 16_384, 3_600, 4
@@ -74,7 +76,7 @@ def _table_packet(pid: int, section: bytes) -> bytes:
 
 
 _TABLES = _table_packet(PAT_PID, _section(0, 1, struct.pack(">HH", PROGRAM, 0xE000 | PMT_PID))) + _table_packet(
-    PMT_PID, _section(2, PROGRAM, struct.pack(">HHBHH", 0xE000 | MEDIA_PID, 0xF000, STREAM_TYPE, 0xE000 | MEDIA_PID, 0xF000))
+    PMT_PID, _section(2, PROGRAM, struct.pack(">HHBHH", 0xE000 | NO_PID, 0xF000, STREAM_TYPE, 0xE000 | MEDIA_PID, 0xF000))
 )
 
 
@@ -182,6 +184,9 @@ def demux(stream: bytes | np.ndarray) -> dict:
         out["fault"] = out["fault"] or "no program"
     for table in out["programs"].values():
         for body in _sections(packets[pid == table["pid"]], 2):
+            if len(body) < 4:
+                out["fault"] = out["fault"] or "a program map without its length"
+                continue
             at = 4 + (struct.unpack(">H", body[2:4])[0] & 0x0FFF)
             while at + 5 <= len(body):
                 kind, where, more = struct.unpack(">BHH", body[at : at + 5])
@@ -196,9 +201,10 @@ def demux(stream: bytes | np.ndarray) -> dict:
         own, names, starts = own[carries], names[carries], starts[carries]
         counter = own[:, 3] & 15
         step = (counter[1:].astype(np.int64) - counter[:-1]) & 15
-        # a packet may be sent twice; a copy is left out, any other step but 1 is an error
+        # a packet may be sent twice; a copy is left out, any other step but 1 is an error unless the packet signals it
         copy = np.concatenate([[False], (step == 0) & (own[1:] == own[:-1]).all(axis=1)]) if len(own) > 1 and (step == 0).any() else np.zeros(len(own), bool)
-        out["continuity_errors"] += int(((step != 1) & ~copy[1:]).sum())
+        signalled = (own[:, 3] & 0x20 != 0) & (own[:, 4] > 0) & (own[:, 5] & 0x80 != 0)
+        out["continuity_errors"] += int(((step != 1) & ~copy[1:] & ~signalled[1:]).sum())
         own, names, starts = own[~copy], names[~copy], starts[~copy]
         data = own[np.arange(PACKET) >= starts[:, None]]
         ends = np.cumsum(PACKET - starts)

@@ -14,6 +14,9 @@ the path starts with the rule's) become ``~.example.org/es/*``; the longest one
 that fits decides.  Where none fits, the verdict is the method's: block if any
 glob of ``BLOCK_GLOBS`` fits, else allow.
 
+Memory: the states of a batch have as many words as it has URLs times those of
+the rules, and are bounded by ``STATE_WORDS`` however many rules there are.
+
 Defined results: a null URL, or one without ``://``, has an empty host and
 path, no rule and the method's verdict for an empty URL.  Of several longest
 rules the first listed counts.  Repeated rows give repeated rows; an empty table
@@ -36,8 +39,8 @@ from .common import slices, string_buffers
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 #: The method's own rules: advertising and spam hosts, and pages made for machines.
 BLOCK_GLOBS = ["~.ads-*", "~.spam-*", "~.doubleclick.net/*", "~.adservice.*", "*/wp-login.php*", "*/cgi-bin/*"]
-#: URL bytes of a batch.
-BATCH_BYTES = 4 << 20
+#: URL bytes of a batch, and words of its URLs' states (or one URL's).
+BATCH_BYTES, STATE_WORDS = 4 << 20, 4 << 20
 
 
 class WildcardAutomaton:
@@ -113,6 +116,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def _judge(rules: list[tuple[str, str]], block: list[str]):
     automaton = WildcardAutomaton([f"~.{rule}*" for rule, _ in rules] + block)
+    rows = max(1, STATE_WORDS // max(automaton.words, len(automaton.accept) // 8))
     # from the last to the first choice: shorter rules, and of equal ones the later listed
     by_length = sorted(range(len(rules)), key=lambda i: (len(rules[i][0]), -i))
     names = np.array([None, *(r for r, _ in rules)], object)
@@ -121,7 +125,7 @@ def _judge(rules: list[tuple[str, str]], block: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = string_buffers(batch.column(3))
-            for lo, hi in slices(offs, BATCH_BYTES):
+            for lo, hi in ((a, min(a + rows, to)) for at, to in slices(offs, BATCH_BYTES) for a in range(at, to, rows)):
                 part = data[offs[lo] : offs[hi]]
                 found = automaton.matches(part, offs[lo : hi + 1] - offs[lo])
                 best = np.zeros(hi - lo, np.int64)

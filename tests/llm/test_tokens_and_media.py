@@ -161,3 +161,33 @@ def test_url_rules(spark):
         assert tuple(r)[1:] == cases[r["page_id"]][1:], cases[r["page_id"]]
     assert U.url_filter(pages.limit(0)).collect() == []
     assert U.url_filter(pages.withColumn("page_id", F.lit(None).cast("long"))).count() == len(rows)
+
+
+def test_short_program_map_and_signalled_break(spark):
+    import numpy as np
+
+    from glosswerk.llm import transport_stream as V
+
+    stream = bytearray(V.mux(np.arange(V.PAD * 40, dtype=np.uint8)))
+    assert V.demux(bytes(stream))["fault"] is None
+    short = V._table_packet(V.PMT_PID, V._section(2, V.PROGRAM, b"\xe1\x00"))
+    got = V.demux(bytes(stream[: V.PACKET]) + short + bytes(stream[2 * V.PACKET :]))
+    assert got["fault"] == "a program map without its length" and got["payload"] == b""
+    whole = V.mux(np.zeros(V.UNIT_BYTES * 2, np.uint8))
+    at = 2 * V.PACKET + whole[2 * V.PACKET :].index(b"\x47\x41", 1)  # the second unit's first packet
+    broken = bytearray(whole)
+    broken[at + 3] = broken[at + 3] & 0xF0 | (broken[at + 3] + 5) & 15
+    errors = V.demux(bytes(broken))["continuity_errors"]
+    broken[at + 5] |= 0x80
+    assert V.demux(bytes(broken))["continuity_errors"] == errors - 1
+
+
+def test_many_rules_in_small_batches(spark, monkeypatch):
+    from glosswerk.llm import url_filter as U
+
+    rules = [(f"h{i}.org/", "block") for i in range(200)]
+    rows = [(i, f"http://a.h{i % 300}.org/x") for i in range(600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    monkeypatch.setattr(U, "STATE_WORDS", 300)
+    got = {r["page_id"]: r["verdict"] for r in U.url_filter(pages, rules, []).collect()}
+    assert got == {i: "block" if i % 300 < 200 else "allow" for i, _ in rows}
