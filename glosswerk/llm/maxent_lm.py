@@ -86,7 +86,8 @@ COUNTED = 4 << 20
 PAIR_SAMPLE = 1024
 #: Expected training tokens of a shard of parts, words of a part, and times that training texts have a feature of it.
 EVENTS, PART_WORDS, LEAST_SEEN = 1 << 20, 1024, 1
-#: Tokens of a gradient update in a shard of parts, its step, and passes over the shard.
+#: Tokens of a shard whose parts are learned at once, of a gradient update in them, its step, and passes.
+AT_ONCE = 1 << 18
 PART_UPDATE, PART_RATE, PART_EPOCHS = 1024, 0.7, 1
 #: Marks the documents that are only scored.
 HELD = np.uint32(1 << 31)
@@ -424,6 +425,17 @@ def part_scores(leaf: np.ndarray, word: np.ndarray, one: np.ndarray, two: np.nda
     return logs, counts
 
 
+def _by_parts(leaf: np.ndarray, *tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``part_scores`` of a shard, some parts of ``AT_ONCE`` tokens (or one part) at a time."""
+    order = np.argsort(leaf, kind="stable")
+    bounds = np.flatnonzero(np.diff(leaf[order], prepend=-1, append=-1))
+    logs, counts = np.empty(len(leaf)), np.empty(len(leaf), np.int64)
+    for lo, hi in slices(bounds, AT_ONCE):
+        own = order[bounds[lo] : bounds[hi]]
+        logs[own], counts[own] = part_scores(leaf[own], *(x[own] for x in tokens))
+    return logs, counts
+
+
 def _each(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, int, Tokens]]:
     for batch in batches:
         data, offs = string_buffers(batch.column(column))
@@ -461,7 +473,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _train(head: Head):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         trainer = Trainer(head)
-        for _, _, _, tokens in _each(table.sort_by("digest").select(["text"]).combine_chunks().to_batches(), 0):
+        order, texts = pa.compute.sort_indices(table, sort_keys=[("digest", "ascending")]), table.select(["text"])
+        some = (b for lo in range(0, len(order), 1024) for b in texts.take(order.slice(lo, 1024)).combine_chunks().to_batches())
+        for _, _, _, tokens in _each(some, 0):
             trainer.update(Context(tokens, head))
         cols: list[list] = [[] for _ in range(4)]
         for which, (own, seen) in enumerate(zip(trainer.tables, trainer.seen, strict=True)):
@@ -602,7 +616,7 @@ def _score_parts(head: Head):
         got = [_unpacked(n, d.as_buffer()) for n, d in zip(table.column("n").to_pylist(), table.column("data"), strict=True)]
         word, one, two, group = (np.concatenate([g[i] for g in got]) for i in range(2, 6))
         learn = np.concatenate([np.repeat(g[0] < HELD, g[1]) for g in got])
-        logs, count = part_scores(_leaf(group, word, head.parts, buckets), word, one, two, learn)
+        logs, count = _by_parts(_leaf(group, word, head.parts, buckets), word, one, two, learn)
         logs -= log_mass[group, bucket(word << _U(16), buckets)]
         log_count, data, at = np.log(count + 1.0), [], 0
         for docs, times, *_ in got:
