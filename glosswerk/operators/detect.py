@@ -1,8 +1,8 @@
 """Detection of entities: dictionary phrases, rules, and both together.
 
-A dictionary's phrases are far fewer than a corpus has tokens.  Tokens meet
-phrases by the phrase's first word; only tokens that begin some phrase go on,
-with as many following words as the longest phrase has.  A dictionary of up to
+A dictionary's phrases are far fewer than a corpus has tokens.  Only tokens that
+are a word of some phrase go on; those look at as many of the ones behind them
+as the longest phrase has, and meet phrases by the first word.  A dictionary of up to
 ``MOST_BROADCAST`` phrases, which is counted, goes to all executors, so tokens
 stay where their document is; a larger one meets them in a shuffle by word.
 """
@@ -43,12 +43,17 @@ def dictionary_hits(docs: DataFrame, dictionary: DataFrame, most_words: int = 10
     Types of ``extend`` take in the medication attributes that follow.
     """
     rows = tokens(docs).withColumn("norm", X.normalize_alias(F.col("text")))
+    known = dictionary.select(F.explode("words").alias("norm")).distinct()
+    size, longest = dictionary.agg(F.count(F.lit(1)), F.max("n")).first()
+    most_words = max(1, min(most_words, longest or 1))
+    if size <= MOST_BROADCAST:  # its words are at most most_words times as many
+        dictionary, known = F.broadcast(dictionary), F.broadcast(known)
     order = within_document().orderBy("i")
-    rows = rows.select("document_id", "i", "start", "norm", F.col("end").alias("end0"), *(F.lead(c, k).over(order).alias(f"{c}{k}") for k in range(1, most_words) for c in ("norm", "end")))
-    if dictionary.count() <= MOST_BROADCAST:
-        dictionary = F.broadcast(dictionary)
+    # a token whose place isn't the next one ends what can be a phrase
+    word = F.struct("i", "norm", "end")
+    rows = rows.join(known, "norm", "left_semi").select("document_id", "i", "start", "norm", F.col("end").alias("end0"), *(F.lead(word, k).over(order).alias(f"w{k}") for k in range(1, most_words)))
+    rows = rows.select("document_id", "i", "start", "norm", "end0", *(F.when(F.col(f"w{k}.i") == F.col("i") + k, F.col(f"w{k}.{c}")).alias(f"{c}{k}") for k in range(1, most_words) for c in ("norm", "end")))
     met = rows.join(dictionary, rows["norm"] == dictionary["first"])
-    # only tokens that begin a phrase come here, so only they have their next words compared
     following = F.array("norm", *(f"norm{k}" for k in range(1, most_words)))
     met = met.where(F.slice(following, 1, F.col("n")) == F.col("words")).withColumn("until", F.array(*(f"end{k}" for k in range(most_words)))[F.col("n") - 1])
     longest = F.max("n").over(W.partitionBy("document_id", "i"))
@@ -102,9 +107,12 @@ def annotate(entities: DataFrame, docs: DataFrame, found_sections: DataFrame, cu
 
 
 def relations(entities: DataFrame, found_sentences: DataFrame, compatible: dict[tuple[str, str], str], most: int = 256) -> DataFrame:
-    """Pairs of entities in one sentence whose types go together, with a confidence that falls with their distance."""
+    """Pairs of entities in one sentence whose types go together, with a confidence that falls with their distance.
+
+    Only entities within ``most`` characters meet, however long a sentence is.
+    """
     from ..functions.similarity import gap
-    from .spans import with_sentence
+    from .spans import meeting, with_sentence
 
     placed = with_sentence(entities.select("document_id", "start", "end", "type"), found_sentences).where("sentence_id IS NOT NULL")
     pairs = X.mapping({f"{s}>{o}": r for (s, o), r in compatible.items()})
@@ -112,7 +120,8 @@ def relations(entities: DataFrame, found_sentences: DataFrame, compatible: dict[
     def side(name: str) -> DataFrame:
         return placed.select("document_id", "sentence_id", *(F.col(c).alias(f"{name}_{c}") for c in ("start", "end", "type")))
 
-    both = side("subject").join(side("object"), ["document_id", "sentence_id"])
+    both = side("subject").withColumns({"a_start": F.col("subject_start") - most, "a_end": F.col("subject_end") + most + 1})
+    both = meeting(both, side("object").withColumns({"b_start": F.col("object_start"), "b_end": F.col("object_end") + 1}), ["document_id", "sentence_id"], max(most, 64))
     both = both.withColumn("relation", F.try_element_at(pairs, F.concat("subject_type", F.lit(">"), "object_type"))).where("relation IS NOT NULL")
     both = both.withColumn("distance", gap(*(F.col(c) for c in ("subject_start", "subject_end", "object_start", "object_end")))).where(F.col("distance") <= most)
     confidence = F.round(F.greatest(F.lit(0.5), F.lit(0.88) - F.col("distance") / F.lit(float(max(most, 1))) * 0.25), 6)

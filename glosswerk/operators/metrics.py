@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
+from .spans import meeting
 
 KEY = ["document_id", "start", "end", "type"]
 
@@ -156,8 +157,8 @@ def errors(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     """(document_id, start, end, type, error): missed, spurious, wrong bounds (overlap, same type), wrong type (same bounds)."""
     g, p = gold.select(*KEY).distinct(), predicted.select(*KEY).distinct()
     missed, spurious = g.join(p, KEY, "left_anti"), p.join(g, KEY, "left_anti")
-    other = spurious.select("document_id", F.col("start").alias("s_"), F.col("end").alias("e_"), F.col("type").alias("t_"))
-    near = missed.join(other, "document_id").where(S.overlaps(F.col("start"), F.col("end"), F.col("s_"), F.col("e_")))
+    other = spurious.select("document_id", F.col("start").alias("s_"), F.col("end").alias("e_"), F.col("type").alias("t_"), F.col("start").alias("b_start"), F.col("end").alias("b_end"))
+    near = meeting(missed.withColumns({"a_start": F.col("start"), "a_end": F.col("end")}), other, ["document_id"]).where(S.overlaps(F.col("start"), F.col("end"), F.col("s_"), F.col("e_")))
     same_bounds = (F.col("start") == F.col("s_")) & (F.col("end") == F.col("e_")) & (F.col("type") != F.col("t_"))
     kinds = near.groupBy(*KEY).agg(F.max(same_bounds).alias("wrong_type"), F.max(F.col("type") == F.col("t_")).alias("wrong_bounds"))
     kind = F.when(F.col("wrong_type"), "wrong type").when(F.col("wrong_bounds"), "wrong bounds").otherwise("missed")

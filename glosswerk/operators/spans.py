@@ -155,14 +155,32 @@ def token_windows(counts: DataFrame, size: int = 512, stride: int = 128) -> Data
     return rows.select("document_id", "window", start.cast("int").alias("start"), F.least(start + size, F.col("n")).cast("int").alias("end"))
 
 
+def meeting(a: DataFrame, b: DataFrame, on: list[str], cell: int = 256) -> DataFrame:
+    """Rows of ``a`` beside rows of ``b`` with equal ``on`` whose spans share a cell of so many characters, each pair once.
+
+    Spans are a_start, a_end and b_start, b_end, without their ends; spans of no
+    length meet nothing.  What doesn't overlap must still be sorted out.  Rows
+    meet by document and cell, so a document's length doesn't matter.
+    """
+
+    def placed(rows: DataFrame, side: str) -> DataFrame:
+        first, last = F.floor(F.col(f"{side}_start") / cell), F.floor((F.col(f"{side}_end") - 1) / cell)
+        return rows.where(F.col(f"{side}_start") < F.col(f"{side}_end")).withColumn(f"{side}_first", first).withColumn("cell", F.explode(F.sequence(f"{side}_first", last)))
+
+    both = placed(a, "a").join(placed(b, "b"), [*on, "cell"])
+    # the first cell that both are in
+    return both.where(F.col("cell") == F.greatest("a_first", "b_first")).drop("cell", "a_first", "b_first", "a_start", "a_end", "b_start", "b_end")
+
+
 def spans_to_bio(token_rows: DataFrame, spans: DataFrame) -> DataFrame:
     """Tokens (document_id, i, start, end) with their BIO ``label``: B- at a span's first token, I- after it, O elsewhere.
 
     A token belongs to the first span, by start and end, that overlaps it; a
     token of no length has no label.
     """
-    near = spans.select("document_id", F.col("start").alias("s"), F.col("end").alias("e"), F.col("type").alias("t")).where("s < e")
-    hit = token_rows.join(near, "document_id").where(overlaps(F.col("start"), F.col("end"), F.col("s"), F.col("e")) & (F.col("start") < F.col("end")))
+    near = spans.select("document_id", F.col("start").alias("s"), F.col("end").alias("e"), F.col("type").alias("t")).withColumns({"b_start": F.col("s"), "b_end": F.col("e")})
+    hit = meeting(token_rows.select("document_id", "i", "start", "end", F.col("start").alias("a_start"), F.col("end").alias("a_end")), near, ["document_id"], 64)
+    hit = hit.where(overlaps(F.col("start"), F.col("end"), F.col("s"), F.col("e")))
     first = hit.groupBy("document_id", "i").agg(F.min(F.struct("s", "e", "t")).alias("span"))
     rows = token_rows.join(first, ["document_id", "i"], "left")
     previous = F.lag("span").over(within_document().orderBy("i"))

@@ -14,6 +14,7 @@ from ..operators import detect as D
 from ..operators import retrieval as R
 from ..operators import spans as P
 from ..operators import submission as O
+from ..sources.shared import written
 
 
 @dataclass(frozen=True)
@@ -90,6 +91,7 @@ def candidates(mentions: DataFrame, records: DataFrame, s: Settings = Settings()
 def linked(found: DataFrame, records: DataFrame, s: Settings = Settings(), semantic=ngram_ranks) -> DataFrame:
     """Entities with their candidates; each distinct mention is looked up once."""
     mentions = found.select(R.vocabulary_of(F.col("type"), s.vocabularies).alias("vocabulary"), X.normalize_alias(F.col("text")).alias("norm")).where("vocabulary IS NOT NULL AND norm <> ''").distinct()
+    mentions = written(mentions, "mentions")
     ranked = candidates(mentions, records, s, semantic)
     return R.link(found, ranked, records, s.vocabularies, s.output_k, s.least_score, s.keep_detected)
 
@@ -97,11 +99,10 @@ def linked(found: DataFrame, records: DataFrame, s: Settings = Settings(), seman
 def annotated(docs: DataFrame, records: DataFrame, s: Settings = Settings(), semantic=ngram_ranks) -> DataFrame:
     """Entities with candidates, sections and axes.
 
-    Detected entities are kept (in memory, or on executors' disks), since both
-    the mentions to look up and the rows to link come from them; Spark computes
-    lost parts again.
+    Detected entities are written to the shared folder once, since both the
+    mentions to look up and the rows to link come from them.
     """
-    found = linked(entities(docs, records, s).persist(), records, s, semantic)
+    found = linked(written(entities(docs, records, s), "entities"), records, s, semantic)
     return D.annotate(found, docs, P.sections(docs, s.headings), s.cues, s.prefix, s.width)
 
 

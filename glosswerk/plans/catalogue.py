@@ -17,6 +17,7 @@ from ..operators import profile as P
 from ..operators import retrieval as R
 from ..operators import spans as G
 from ..operators import submission as O
+from ..sources.shared import written
 from . import annotation as A
 from . import oracle as Q
 from . import setting as T
@@ -348,7 +349,7 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rrf_fuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = found_entities(spark, sf_dir)
     mentions = found.select(R.vocabulary_of(F.col("type"), L.VOCABULARIES).alias("vocabulary"), X.normalize_alias(F.col("text")).alias("norm")).where("vocabulary IS NOT NULL AND norm <> ''").distinct()
-    return A.candidates(mentions, T.records(spark), SETTINGS)
+    return A.candidates(written(mentions, "mentions"), T.records(spark), SETTINGS)
 
 
 @query(
@@ -432,7 +433,7 @@ def validate_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(Q.sql("SELECT (SELECT count(*) FROM docs) AS documents, count(*) AS entities, count(*) FILTER (len(candidates) > 0) AS linked, count(*) FILTER (type <> 'PATIENT_INFO') AS submitted, count(*) FILTER (type = 'PATIENT_INFO') AS unmapped, 0::BIGINT AS offset_errors, (SELECT count(*) FROM related) AS relations FROM linked", "docs", "linked", "related"))
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = dealt(spark, sf_dir)
-    found = A.annotated(docs, T.records(spark), SETTINGS)
+    found = written(A.annotated(docs, T.records(spark), SETTINGS), "annotated")
     return O.summary(found, docs, D.relations(found, G.sentences(docs), L.RELATIONS))
 
 
@@ -455,10 +456,10 @@ Q.define("predicted", 'SELECT * REPLACE (start + CASE WHEN ord % 3 = 1 AND start
 
 def gold_and_predicted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Found entities as gold; as predictions most of them, some with other bounds."""
-    gold = found_entities(spark, sf_dir).withColumn("candidates", F.array_compact(F.array("candidate_id"))).withColumn("assertions", F.array().cast("array<string>"))
-    gold = gold.withColumn("ord", F.col("start"))
+    found = written(found_entities(spark, sf_dir), "entities").withColumn("candidates", F.array_compact(F.array("candidate_id"))).withColumn("assertions", F.array().cast("array<string>"))
+    gold = found.withColumn("ord", F.col("start"))
     moved = F.when((F.col("kb_ord") % 3 == 1) & (F.col("start") < F.col("end") - 1), 1).otherwise(0)
-    rows = found_entities(spark, sf_dir).withColumn("candidates", F.array_compact(F.array("candidate_id"))).withColumn("assertions", F.array().cast("array<string>")).withColumnRenamed("ord", "kb_ord").withColumn("ord", F.col("start"))
+    rows = found.withColumnRenamed("ord", "kb_ord").withColumn("ord", F.col("start"))
     predicted = rows.where((F.col("document_id").cast("long") + F.col("start")) % 5 != 0).withColumn("text", F.expr("text")).withColumn("start", F.col("start") + moved)
     return gold, predicted
 
@@ -514,7 +515,18 @@ def token_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.token_metrics(rows, "quality")
 
 
-@query()
+@query(
+    Q.sql(
+        """SELECT document_id, sentence_id, round(CASE WHEN n = 0 THEN CASE WHEN m = 0 THEN 0.0 ELSE 1.0 END ELSE levenshtein(a, b)::DOUBLE / n END, 6)::DOUBLE AS wer FROM (
+  SELECT document_id, sentence_id, coalesce(string_agg(chr(d::INTEGER), '' ORDER BY k) FILTER (side = 0), '') AS a, coalesce(string_agg(chr(d::INTEGER), '' ORDER BY k) FILTER (side = 1), '') AS b, count(d) FILTER (side = 0) AS n, count(d) FILTER (side = 1) AS m FROM (
+    SELECT *, dense_rank() OVER (PARTITION BY document_id, sentence_id ORDER BY w) AS d FROM (
+      SELECT document_id, sentence_id, side, unnest(range(len(ws))) AS k, unnest(ws) AS w FROM (
+        SELECT document_id, sentence_id, side, list_filter(string_split_regex(t, '[\\t\\n\\x0b\\f\\r \\x1c-\\x1f\\x85\\p{Z}]+'), lambda x: x <> '') AS ws FROM (
+          SELECT document_id, sentence_id, unnest([0, 1]) AS side, unnest([before, text]) AS t FROM (SELECT *, lag(text) OVER (PARTITION BY document_id ORDER BY sentence_id) AS before FROM talk) WHERE before IS NOT NULL))))
+  GROUP BY document_id, sentence_id)""",
+        "talk",
+    )
+)
 def wer(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window as W
 

@@ -61,6 +61,8 @@ define("docs", "SELECT doc_id::VARCHAR AS document_id, coalesce(text, '') AS raw
 define("tok", f"SELECT *, {norm('text')} AS norm FROM ({found(X.TOKEN)})", "docs")
 SPACE = r"[\t\n\x0b\f\r \x1c-\x1f\x85\p{Z}]"
 define("sent", f"SELECT document_id, i AS sentence_id, text, start, \"end\" FROM ({trimmed('(' + found('[^.!?;' + chr(10) + ']+[.!?;]*') + ')', SPACE, SPACE, 'document_id, i')})", "docs")
+define("said", "SELECT conv_id || '/' || turn AS document_id, coalesce(text, '') AS raw_text FROM conversations")
+define("talk", f"SELECT document_id, i AS sentence_id, text, start, \"end\" FROM ({trimmed('(' + found('[^.!?;' + chr(10) + ']+[.!?;]*', 'said') + ')', SPACE, SPACE, 'document_id, i')})", "said")
 END_CLASS = r"\n\x0b\x0c\r\x1c-\x1e\x85\x{2028}\x{2029}"
 define("lines", found(rf"[^{END_CLASS}]*(?:\r\n|[{END_CLASS}])|[^{END_CLASS}]+"), "docs")
 define(
