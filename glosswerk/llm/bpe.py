@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 #: The caches are emptied after the text that takes them above these numbers.
-CACHE_WORDS, CACHE_PAIRS = 500_000, 500_000
+CACHE_WORDS, CACHE_PAIRS = 150_000, 150_000
 WORD_END = "</w>"
 
 
