@@ -38,6 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .common import given_back
+
 #: The caches are emptied after the text that takes them above these numbers.
 CACHE_WORDS, CACHE_PAIRS = 150_000, 150_000
 WORD_END = "</w>"
@@ -193,6 +195,12 @@ class TextEncoder:
                     yield " ".join(map(self.cache.__getitem__, words)), " ".join(map(self.cache.tokens.__getitem__, words))
                     self.cache.trim()
 
+    def rest(self) -> None:
+        """Empties the caches: the worker that holds them may not be asked again."""
+        self.cache.clear()
+        self.cache.tokens.clear()
+        self.words.pairs.clear()
+
     def joined(self, text: str) -> tuple[str, str]:
         """Ids and tokens of a whole text, each joined by a space."""
         pieces = list(self.pieces(text))
@@ -246,7 +254,7 @@ def _encode(path: str):
                 ids = [enc.encode(t or "") for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["id", "ids"])
 
-    return run
+    return given_back(run)
 
 
 def _decode(path: str):
@@ -256,7 +264,7 @@ def _decode(path: str):
             texts = [enc.decode(i or []) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
-    return run
+    return given_back(run)
 
 
 def _digests(path: str):
@@ -271,8 +279,9 @@ def _digests(path: str):
                 text_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
             made = [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made, *batch.columns[2:]], names=["id", "n_tokens", "ids_sha256", "decoded_sha256", *batch.schema.names[2:]])
+        enc.rest()
 
-    return run
+    return given_back(run)
 
 
 def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, slices, string_buffers, written
+from .common import forget, given_back, slices, string_buffers, written
 from .components import connected_components
 from .textscan import LOWER, mix, shingles, words
 
@@ -128,7 +128,7 @@ def _sign(k: int, bands: int):
                     names=["id", "hash", "other", "n", "d1", "d2", "bands"],
                 )
 
-    return run
+    return given_back(run)
 
 
 def _full_sets(k: int):
@@ -148,7 +148,7 @@ def _full_sets(k: int):
                 seen = np.union1d(seen, number[at])
                 yield pa.RecordBatch.from_arrays([node, _lists(sets, bounds)], names=["node", "set"]).filter(pa.array(own))
 
-    return run
+    return given_back(run)
 
 
 def _finish(percent: int):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, slices, string_buffers
+from .common import crc32_mod, given_back, slices, string_buffers
 from .textscan import LOWER, words
 
 #: Training rows: most of class 1 and of class 0, the characters of all of them, and those of a piece of a text that is cut.
@@ -378,7 +378,7 @@ def _score(net: Network | Constant):
                 score = net.score(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(score, pa.float64())], names=["id", "score"])
 
-    return run
+    return given_back(run)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN, held_out_of: int = 5, id_col: str = "doc_id", text_col: str = "text", most_characters: int = MOST_CHARACTERS) -> DataFrame:
@@ -408,4 +408,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC,
                 clean = net.score(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]) < 0.5
                 yield batch.slice(lo, hi - lo).filter(pa.array(clean))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(given_back(run), docs.schema)
