@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -24,16 +26,31 @@ def mapping_of_lists(pairs: dict[str, list[str]]) -> Column:
     return F.create_map(*(x for k, v in pairs.items() for x in (F.lit(k), F.array(*(F.lit(i) for i in v)))))
 
 
+@cache
+def unfolded() -> tuple[dict[str, str], dict[str, str]]:
+    """Lower-case characters that case folding changes: to one other character, and to several."""
+    changed = {c: f for c in map(chr, range(sys.maxunicode + 1)) if (f := c.casefold()) != c and c.lower() == c}
+    return {c: f for c, f in changed.items() if len(f) == 1}, {c: f for c, f in changed.items() if len(f) > 1}
+
+
 def fold(text: Column) -> Column:
-    """Case folding: lower case, and sharp s as ss."""
-    return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
+    """Unicode's full case folding, without Python: lower case, then the characters that folding changes beyond that."""
+    single, several = unfolded()
+    lower = F.translate(F.lower(text), "".join(single), "".join(single.values()))
+    spelt = F.array_join(F.transform(F.split(lower, ""), lambda c: F.coalesce(F.try_element_at(mapping(several), c), c)), "")
+    return F.when(F.rlike(lower, F.lit(f"[{''.join(several)}]")), spelt).otherwise(lower)
 
 
 def normalize_alias(text: Column) -> Column:
-    """Folded words joined by single spaces; for text in NFC (see ``nfc``)."""
+    """Folded words joined by single spaces; for text in NFC (tokens have no combining marks, so this does for them)."""
     return F.trim(F.regexp_replace(fold(text), rf"[^\p{{L}}\p{{N}}_]+", " "))
 
 
+def alias_key(text: Column) -> Column:
+    """``normalize_alias`` of text that may be decomposed: dictionaries, mentions and queries are looked up by this."""
+    return normalize_alias(nfc(text))
+
+
 @F.pandas_udf(T.StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Canonical composition, which Spark has no function for; the only Python step of normalisation."""
@@ -198,6 +215,13 @@ def rerank_prompt(mention: Column, context_text: Column, candidates: Column) ->
     )
 
 
+def choice_schema(ids: Column) -> Column:
+    """JSON schema of an answer that chooses one of some ids, or null; ids that are numbers stay numbers."""
+    listed = F.substring(F.to_json(ids), F.lit(2), F.length(F.to_json(ids)) - 2)
+    enum = F.concat_ws(",", F.when(F.size(ids) > 0, listed), F.lit("null"))
+    return F.concat(F.lit('{"type":"object","properties":{"selected_id":{"enum":['), enum, F.lit(']}},"required":["selected_id"]}'))
+
+
 def assertion_prompt(mention: Column, context_text: Column) -> Column:
     """Chat prompt that asks for the four axes of a mention."""
     return F.concat(

@@ -19,6 +19,8 @@ from .spans import find_all, resolve_overlaps, tokens, within_document
 
 #: Phrases that every executor can hold.
 MOST_BROADCAST = 1_000_000
+#: What tells a document's entities apart.
+SPAN = ("start", "end", "type")
 #: Columns of a detected entity.
 ENTITY = ("document_id", "start", "end", "text", "type", "candidate_id", "confidence", "mention_head", "evidence", "ord")
 
@@ -29,7 +31,7 @@ def phrases(records: DataFrame, most_words: int = 10) -> DataFrame:
     Kept are phrases of at least four characters that aren't a number, of up to
     ``most_words`` words; a single word needs five characters.
     """
-    named = records.select("type", "candidate_id", "ord", F.posexplode("detection_aliases").alias("place", "alias")).withColumn("phrase", X.normalize_alias(F.col("alias")))
+    named = records.select("type", "candidate_id", "ord", F.posexplode("detection_aliases").alias("place", "alias")).withColumn("phrase", X.alias_key(F.col("alias")))
     named = named.withColumn("words", F.split("phrase", " ")).withColumn("n", F.size("words"))
     good = (F.length("phrase") >= 4) & ~F.rlike("phrase", F.lit(r"^\p{Nd}+$")) & (F.col("n") <= most_words) & ((F.col("n") > 1) | (F.length("phrase") >= 5))
     first = named.where(good).groupBy("phrase", "words", "n", "type", "candidate_id").agg(F.min(F.struct("ord", "place")).alias("o"))
@@ -83,8 +85,8 @@ def rule_hits(docs: DataFrame, rules: list[tuple[str, str, str | None]], confide
 
 def without_symptoms(hits: DataFrame, rule_found: DataFrame, less: str = "DISEASE", more: str = "SYMPTOM") -> DataFrame:
     """Dictionary hits without those of one type that say the same as an overlapping rule hit of the other."""
-    a = hits.withColumn("norm_", X.normalize_alias(F.col("text")))
-    b = rule_found.where(F.col("type") == more).select(F.col("document_id").alias("d_"), F.col("start").alias("s_"), F.col("end").alias("e_"), X.normalize_alias(F.col("text")).alias("n_"))
+    a = hits.withColumn("norm_", X.alias_key(F.col("text")))
+    b = rule_found.where(F.col("type") == more).select(F.col("document_id").alias("d_"), F.col("start").alias("s_"), F.col("end").alias("e_"), X.alias_key(F.col("text")).alias("n_"))
     same = (F.col("document_id") == F.col("d_")) & (F.col("norm_") == F.col("n_")) & overlaps(F.col("start"), F.col("end"), F.col("s_"), F.col("e_")) & (F.col("type") == less)
     return a.join(b, same, "left_anti").drop("norm_")
 
@@ -106,24 +108,52 @@ def annotate(entities: DataFrame, docs: DataFrame, found_sections: DataFrame, cu
     return rows.withColumns({k: c for k, c in axes.items()}).drop("raw_text")
 
 
+def _near(placed: DataFrame, on: list[str], most: int) -> DataFrame:
+    """Ordered pairs of spans (start, end, type) with equal ``on``, ``most`` characters apart at most, with their ``distance``."""
+    from ..functions.similarity import gap
+    from .spans import meeting
+
+    def side(name: str) -> DataFrame:
+        return placed.select(*on, *(F.col(c).alias(f"{name}_{c}") for c in SPAN))
+
+    a = side("subject").withColumns({"a_start": F.col("subject_start") - most, "a_end": F.col("subject_end") + most + 1})
+    b = side("object").withColumns({"b_start": F.col("object_start"), "b_end": F.col("object_end") + 1})
+    both = meeting(a, b, on, max(most, 64)).withColumn("distance", gap(*(F.col(c) for c in ("subject_start", "subject_end", "object_start", "object_end"))))
+    return both.where(F.col("distance") <= most)
+
+
+def relation_examples(entities: DataFrame, gold: DataFrame, most: int = 256) -> DataFrame:
+    """Pairs of a document's entities as training rows: ``label`` is the gold relation, or NO_RELATION.
+
+    Entities are told apart by start, end and type; repeated ones count once.
+    ``gold`` has document_id, subject_start, subject_end, subject_type, the same
+    of the object, and relation; of several relations of a pair the last in
+    order counts.
+    """
+    pair = ["document_id", *(f"{side}_{c}" for side in ("subject", "object") for c in SPAN)]
+    both = _near(entities.select("document_id", *SPAN).distinct(), ["document_id"], most)
+    same = F.lit(True)
+    for c in SPAN:
+        same = same & (F.col(f"subject_{c}") == F.col(f"object_{c}"))
+    known = gold.groupBy(*pair).agg(F.max("relation").alias("label"))
+    return both.where(~same).join(known, pair, "left").select(*pair, F.coalesce("label", F.lit("NO_RELATION")).alias("label"), "distance")
+
+
+#: Order of a document's relations: by subject, object and relation.
+RELATION_ORDER = ("document_id", "subject_start", "subject_end", "subject_type", "object_start", "object_end", "object_type", "relation")
+
+
 def relations(entities: DataFrame, found_sentences: DataFrame, compatible: dict[tuple[str, str], str], most: int = 256) -> DataFrame:
     """Pairs of entities in one sentence whose types go together, with a confidence that falls with their distance.
 
     Only entities within ``most`` characters meet, however long a sentence is.
     """
-    from ..functions.similarity import gap
-    from .spans import meeting, with_sentence
+    from .spans import with_sentence
 
     placed = with_sentence(entities.select("document_id", "start", "end", "type"), found_sentences).where("sentence_id IS NOT NULL")
     pairs = X.mapping({f"{s}>{o}": r for (s, o), r in compatible.items()})
-
-    def side(name: str) -> DataFrame:
-        return placed.select("document_id", "sentence_id", *(F.col(c).alias(f"{name}_{c}") for c in ("start", "end", "type")))
-
-    both = side("subject").withColumns({"a_start": F.col("subject_start") - most, "a_end": F.col("subject_end") + most + 1})
-    both = meeting(both, side("object").withColumns({"b_start": F.col("object_start"), "b_end": F.col("object_end") + 1}), ["document_id", "sentence_id"], max(most, 64))
+    both = _near(placed, ["document_id", "sentence_id"], most)
     both = both.withColumn("relation", F.try_element_at(pairs, F.concat("subject_type", F.lit(">"), "object_type"))).where("relation IS NOT NULL")
-    both = both.withColumn("distance", gap(*(F.col(c) for c in ("subject_start", "subject_end", "object_start", "object_end")))).where(F.col("distance") <= most)
     confidence = F.round(F.greatest(F.lit(0.5), F.lit(0.88) - F.col("distance") / F.lit(float(max(most, 1))) * 0.25), 6)
     return both.select("document_id", "sentence_id", "subject_start", "subject_end", "subject_type", "object_start", "object_end", "object_type", "relation", "distance", confidence.alias("confidence"))
 

@@ -73,9 +73,20 @@ def relation_rows(rows: DataFrame, relations: list[str], sources: list[str]) ->
     return kept.where(filled).select(F.col("RXCUI1").alias("source_rxcui"), F.col("RELA").alias("relation"), F.col("RXCUI2").alias("target_rxcui"), F.col("SAB").alias("sab"))
 
 
+def by_length(column: str = "candidate_id") -> list[Column]:
+    """Order of ids that are numbers written as text: the shorter first."""
+    return [F.length(column), F.col(column)]
+
+
+def counts_of(rows: DataFrame, column: str) -> DataFrame:
+    """(value, n) of a column of strings or lists of strings, for the figures of a dictionary: term types, markers."""
+    listed = dict(rows.dtypes)[column].startswith("array")
+    return rows.select(F.explode(column).alias("value") if listed else F.col(column).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy("value")
+
+
 def record_figures(records: DataFrame) -> DataFrame:
     """One row: candidates, distinct normalised aliases, aliases, records without a name."""
-    aliases = records.select(F.explode("aliases").alias("a")).select(X.normalize_alias(F.col("a")).alias("norm")).where("norm <> ''")
+    aliases = records.select(F.explode("aliases").alias("a")).select(X.alias_key(F.col("a")).alias("norm")).where("norm <> ''")
     counts = aliases.agg(F.count(F.lit(1)).alias("aliases"), F.count_distinct("norm").alias("distinct_aliases"))
     return records.agg(F.count(F.lit(1)).alias("candidates"), F.count_if(F.coalesce("canonical_name", F.lit("")) == "").alias("unnamed")).crossJoin(F.broadcast(counts))  # one row
 

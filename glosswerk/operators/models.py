@@ -8,6 +8,7 @@ so a later stage with a larger model starts with free memory.
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -66,6 +67,21 @@ def generate(rows: DataFrame, prompt: Column, load: Callable[[], Generator], bat
     return asked.select(*columns, "prompt_").mapInPandas(run, schema)
 
 
+def sampling_options(kind: Callable, schema: str, temperature: float = 0.0, most_tokens: int = 100, wrappers: dict[str, Callable] | None = None) -> dict:
+    """Keyword arguments of a generator's sampling class ``kind`` that make its answers follow a JSON schema.
+
+    ``wrappers`` are the classes that hold a schema, by the argument that takes
+    them, in order of choice; the first whose argument ``kind`` has is taken.
+    Without any, answers are free, and ``X.selected_id`` checks them as ever.
+    """
+    options = {"temperature": temperature, "max_tokens": most_tokens}
+    takes = inspect.signature(kind).parameters
+    for name, wrap in (wrappers or {}).items():
+        if name in takes:
+            return options | {name: wrap(json=schema)}
+    return options
+
+
 def rerank(linked: DataFrame, docs: DataFrame, load: Callable[[], Generator], names: DataFrame, batch: int = 64, width: int = 50) -> DataFrame:
     """Linked entities whose candidates a generator chose from: its choice alone, or the first one if it has none."""
     key = ["document_id", "start", "end", "type"]

@@ -70,14 +70,20 @@ def value_counts(entities: DataFrame, column: str) -> DataFrame:
     return entities.select(col.alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "value")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(document_id, digest) of id and text."""
+def fingerprints(docs: DataFrame, entities: DataFrame | None = None) -> DataFrame:
+    """(document_id, digest) of id and text, and of all columns of the document's entities by start, end and type."""
     body = F.concat(F.col("document_id"), F.lit("\0"), F.col("raw_text"), F.lit("\0"))
+    if entities is not None:
+        line = F.to_json(F.struct(*sorted(c for c in entities.columns if c != "document_id")))
+        place = F.struct("start", "end", "type", line.alias("line"))
+        said = entities.groupBy("document_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(place)), lambda x: x["line"]), "").alias("said_"))
+        docs = docs.join(said, "document_id", "left")
+        body = F.concat(body, F.coalesce("said_", F.lit("")))
     return docs.select("document_id", F.sha2(body.cast("binary"), 256).alias("digest"))
 
 
-def fingerprint(docs: DataFrame, groups: int = 256) -> DataFrame:
-    """One row: the digest of a set of documents, whatever their order and partitions.
+def fingerprint(docs: DataFrame, groups: int = 256, entities: DataFrame | None = None) -> DataFrame:
+    """One row: the digest of a set of documents, with their entities if given, whatever their order and partitions.
 
     Documents are put into groups by their digest's first two digits; a group's
     digests in order make its digest, and the groups' digests in order the set's.
@@ -86,7 +92,7 @@ def fingerprint(docs: DataFrame, groups: int = 256) -> DataFrame:
     digits = round(math.log(groups, 16))
     if 16**digits != groups:
         raise ValueError("groups must be a power of 16")
-    parts = fingerprints(docs).groupBy(F.substring("digest", 1, digits).alias("g")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("digest")), "").cast("binary"), 256).alias("d"))
+    parts = fingerprints(docs, entities).groupBy(F.substring("digest", 1, digits).alias("g")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("digest")), "").cast("binary"), 256).alias("d"))
     whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("g", "d"))), lambda x: x["d"]), "")
     return parts.agg(F.sha2(whole.cast("binary"), 256).alias("fingerprint"))
 

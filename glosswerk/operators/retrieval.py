@@ -23,7 +23,7 @@ def alias_corpus(kb: DataFrame) -> DataFrame:
     """(vocabulary, candidate_id, place, alias, norm): normalised aliases; a record without any counts by its name."""
     names = F.when(F.size("aliases") > 0, F.col("aliases")).otherwise(F.array_compact(F.array("canonical_name")))
     rows = kb.select("vocabulary", "candidate_id", F.posexplode(names).alias("place", "alias"))
-    return rows.withColumn("norm", X.normalize_alias(F.col("alias"))).where("norm <> ''")
+    return rows.withColumn("norm", X.alias_key(F.col("alias"))).where("norm <> ''")
 
 
 def top_k(scored: DataFrame, by: list[str], k: int, tie: str, score: str = "score") -> DataFrame:
@@ -160,7 +160,7 @@ def link(entities: DataFrame, ranked: DataFrame, known: DataFrame, vocabularies:
     normalised texts.  With ``keep_detected``, the candidate that the dictionary
     found comes alone if ``known`` (vocabulary, candidate_id) has it.
     """
-    rows = entities.withColumn("vocabulary", vocabulary_of(F.col("type"), vocabularies)).withColumn("norm", X.normalize_alias(F.col("text")))
+    rows = entities.withColumn("vocabulary", vocabulary_of(F.col("type"), vocabularies)).withColumn("norm", X.alias_key(F.col("text")))
     best = ranked if least is None else ranked.where(F.col("score") >= least)
     best = best if output_k is None else best.where(F.col("rank") <= output_k)
     lists = best.groupBy("vocabulary", "norm").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "candidate_id"))), lambda x: x["candidate_id"]).alias("found"))

@@ -176,18 +176,42 @@ def spans_to_bio(token_rows: DataFrame, spans: DataFrame) -> DataFrame:
     """Tokens (document_id, i, start, end) with their BIO ``label``: B- at a span's first token, I- after it, O elsewhere.
 
     A token belongs to the first span, by start and end, that overlaps it; a
-    token of no length has no label.
+    token of no length has no label and ends no span.
     """
     near = spans.select("document_id", F.col("start").alias("s"), F.col("end").alias("e"), F.col("type").alias("t")).withColumns({"b_start": F.col("s"), "b_end": F.col("e")})
     hit = meeting(token_rows.select("document_id", "i", "start", "end", F.col("start").alias("a_start"), F.col("end").alias("a_end")), near, ["document_id"], 64)
     hit = hit.where(overlaps(F.col("start"), F.col("end"), F.col("s"), F.col("e")))
     first = hit.groupBy("document_id", "i").agg(F.min(F.struct("s", "e", "t")).alias("span"))
     rows = token_rows.join(first, ["document_id", "i"], "left")
-    previous = F.lag("span").over(within_document().orderBy("i"))
+    previous = F.lag("span").over(W.partitionBy("document_id", F.col("start") < F.col("end")).orderBy("i"))
     kind = F.when(F.col("span").isNull(), "O").when(previous == F.col("span"), F.concat(F.lit("I-"), F.col("span.t"))).otherwise(F.concat(F.lit("B-"), F.col("span.t")))
     return rows.withColumn("label", F.when(F.col("start") < F.col("end"), kind)).select("document_id", "i", "start", "end", "label")
 
 
+def window_features(token_rows: DataFrame, spans: DataFrame, labels: DataFrame, size: int = 512, stride: int = 128, ignored: int = -100) -> DataFrame:
+    """(document_id, window, first, offsets, label_ids): training rows of ``token_windows`` over tokens (document_id, i, start, end), i from 0.
+
+    ``labels`` is (label, label_id); a label that it doesn't have is an error.
+    Tokens of no length are ``ignored``.  A span that goes on from the window
+    before begins anew.  A row holds ``size`` tokens at most.
+    """
+    windows = token_windows(token_rows.groupBy("document_id").agg((F.max("i") + 1).alias("n")), size, stride)
+    step = size - stride
+    # windows that a token can be in, by its place; the document's last window ends the list
+    first = F.greatest(F.ceil((F.col("i") - size + 1) / F.lit(step)), F.lit(0)).cast("int")
+    placed = spans_to_bio(token_rows, spans).withColumn("window", F.explode(F.sequence(first, F.greatest(F.floor(F.col("i") / step).cast("int"), first))))
+    placed = placed.join(windows.select("document_id", "window", F.col("start").alias("first")), ["document_id", "window"])
+    in_window = W.partitionBy("document_id", "window").orderBy("i")
+    fresh = F.count("label").over(in_window) == 1
+    placed = placed.withColumn("label", F.when(fresh & F.col("label").startswith("I-"), F.concat(F.lit("B-"), F.substring("label", 3, 1000))).otherwise(F.col("label")))
+    placed = placed.join(F.broadcast(labels.select("label", "label_id")), "label", "left")  # two rows a type
+    missing = F.raise_error(F.concat(F.lit("missing label: "), F.col("label"))).cast("int")
+    number = F.when(F.col("label").isNull(), F.lit(ignored)).otherwise(F.coalesce("label_id", missing))
+    token = F.struct("i", F.struct("start", "end").alias("o"), number.alias("l"))
+    rows = placed.groupBy("document_id", "window", "first").agg(F.array_sort(F.collect_list(token)).alias("t"))
+    return rows.select("document_id", "window", "first", F.transform("t", lambda x: x["o"]).alias("offsets"), F.transform("t", lambda x: x["l"]).alias("label_ids"))
+
+
 def bio_to_spans(labelled: DataFrame, docs: DataFrame) -> DataFrame:
     """Spans of BIO-labelled tokens (document_id, i, start, end, label, confidence), with their mean confidence."""
     seen = labelled.where("label IS NOT NULL AND start < end").withColumn("kind", F.substring("label", 1, 1)).withColumn("type", F.when(F.col("label") != "O", F.substring("label", 3, 1000)))

@@ -52,6 +52,19 @@ def as_documents(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.select("document_id").join(grouped, "document_id", "left").select("document_id", F.coalesce("payload", F.lit("[]")).alias("payload"))
 
 
+def diagnostics(entities: DataFrame, docs: DataFrame) -> DataFrame:
+    """(document_id, payload): every column of each document's entities, and ``position``, by start, end and type, as a JSON array.
+
+    Unlike in ``as_documents``, types that aren't output types stay, and nulls are written.
+    """
+    rows = entities.withColumn("position", F.array("start", "end"))
+    item = F.struct(*sorted(c for c in rows.columns if c != "document_id"))
+    line = F.to_json(item, {"ignoreNullFields": "false"})
+    place = F.struct("start", "end", "type", line.alias("line"))
+    grouped = rows.groupBy("document_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(place)), lambda x: x["line"]), ",").alias("lines"))
+    return docs.select("document_id").join(grouped, "document_id", "left").select("document_id", F.concat(F.lit("["), F.coalesce("lines", F.lit("")), F.lit("]")).alias("payload"))
+
+
 def validate(payloads: DataFrame, docs: DataFrame) -> DataFrame:
     """(document_id, i, error) of whatever is wrong with the JSON of (document_id, payload); empty if all is well."""
     both = payloads.join(docs.select("document_id", "raw_text"), "document_id", "left").withColumn("v", F.try_parse_json("payload"))

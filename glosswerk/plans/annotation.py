@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field, fields
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from ..operators import retrieval as R
 from ..operators import spans as P
 from ..operators import submission as O
 from ..sources.shared import written
+from ..sources.writers import write_json
 
 
 @dataclass(frozen=True)
@@ -40,6 +43,47 @@ class Settings:
     keep_detected: bool = False
 
 
+def settings_of(path: str | None = None) -> Settings:
+    """Settings of a JSON file, merged over the defaults; these alone if there is no file.
+
+    Keys are the names of the fields; relations are lists [subject, object, relation].
+    """
+    file = None if path is None else Path(path)
+    if file is None or not file.exists():
+        return Settings()
+    given = json.loads(file.read_text(encoding="utf-8"))
+    names = {f.name for f in fields(Settings)}
+    if unknown := sorted(set(given) - names):
+        raise ValueError(f"{path}: unknown settings {unknown}")
+    if "relations" in given:
+        given["relations"] = {(s, o): r for s, o, r in given["relations"]}
+    if "rules" in given:
+        given["rules"] = [tuple(r) for r in given["rules"]]
+    if "headings" in given:
+        given["headings"] = [tuple(h) for h in given["headings"]]
+    return Settings(**merged({n: getattr(Settings(), n) for n in names}, given))
+
+
+def as_json(s: Settings) -> dict:
+    """Settings as ``settings_of`` reads them."""
+    return asdict(s) | {"relations": [[a, b, r] for (a, b), r in s.relations.items()]}
+
+
+def write_artifacts(s: Settings, folder: str, models: dict[str, str] | None = None) -> list[str]:
+    """A run's small JSON files on the driver: settings, output types, axes, relations, thresholds, and the models' state."""
+    parts = {
+        "config": as_json(s),
+        "entity_type_mapping": {"drop_unmapped": True, "internal_to_official": s.types},
+        "assertion_mapping": {"axes": {a: list(v) for a, v in X.AXIS_VALUES.items()}},
+        "relation_mapping": {"compatible": as_json(s)["relations"], "most_distance": s.most_distance},
+        "thresholds": {"dictionary_phrase": s.phrase_confidence, "rule": s.rule_confidence, "least_score": s.least_score},
+        "model_status": models or {},
+    }
+    for name, payload in parts.items():
+        write_json(f"{folder}/{name}.json", payload)
+    return [f"{folder}/{name}.json" for name in parts]
+
+
 def merged(base: dict, override: dict) -> dict:
     """``base`` with the values of ``override``; dictionaries are merged at every depth."""
     out = dict(base)
@@ -90,7 +134,7 @@ def candidates(mentions: DataFrame, records: DataFrame, s: Settings = Settings()
 
 def linked(found: DataFrame, records: DataFrame, s: Settings = Settings(), semantic=ngram_ranks) -> DataFrame:
     """Entities with their candidates; each distinct mention is looked up once."""
-    mentions = found.select(R.vocabulary_of(F.col("type"), s.vocabularies).alias("vocabulary"), X.normalize_alias(F.col("text")).alias("norm")).where("vocabulary IS NOT NULL AND norm <> ''").distinct()
+    mentions = found.select(R.vocabulary_of(F.col("type"), s.vocabularies).alias("vocabulary"), X.alias_key(F.col("text")).alias("norm")).where("vocabulary IS NOT NULL AND norm <> ''").distinct()
     mentions = written(mentions, "mentions")
     ranked = candidates(mentions, records, s, semantic)
     return R.link(found, ranked, records, s.vocabularies, s.output_k, s.least_score, s.keep_detected)

@@ -91,8 +91,8 @@ def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT 'part' AS source, p_partkey AS id, {Q.norm('p_name')} AS norm FROM part UNION ALL SELECT 'documents', doc_id, {Q.norm('text')} FROM documents")
 def alias_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").select(F.lit("part").alias("source"), F.col("p_partkey").alias("id"), X.normalize_alias(F.col("p_name")).alias("norm"))
-    return parts.unionByName(table(spark, sf_dir, "documents").select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), X.normalize_alias(F.col("text")).alias("norm")))
+    parts = table(spark, sf_dir, "part").select(F.lit("part").alias("source"), F.col("p_partkey").alias("id"), X.alias_key(F.col("p_name")).alias("norm"))
+    return parts.unionByName(table(spark, sf_dir, "documents").select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), X.alias_key(F.col("text")).alias("norm")))
 
 
 @query(Q.sql('SELECT document_id, i, text, start, "end" FROM tok', "tok"))
@@ -177,6 +177,22 @@ def relation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.relations(A.entities(docs, T.records(spark), SETTINGS), G.sentences(docs), L.RELATIONS)
 
 
+@query(
+    Q.sql(
+        """SELECT a.document_id, a.start AS subject_start, a."end" AS subject_end, a.type AS subject_type, b.start AS object_start, b."end" AS object_end, b.type AS object_type,
+  coalesce(r.relation, 'NO_RELATION') AS label, greatest(0, b.start - a."end", a.start - b."end") AS distance
+FROM spans a JOIN spans b ON a.document_id = b.document_id AND greatest(0, b.start - a."end", a.start - b."end") <= 256 AND (a.start <> b.start OR a."end" <> b."end" OR a.type <> b.type)
+LEFT JOIN related r ON r.document_id = a.document_id AND r.subject_start = a.start AND r.subject_end = a."end" AND r.subject_type = a.type AND r.object_start = b.start AND r.object_end = b."end" AND r.object_type = b.type""",
+        "spans",
+        "related",
+    )
+)
+def relation_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(spark, sf_dir)
+    found = written(found_entities(spark, sf_dir), "entities")
+    return D.relation_examples(found, D.relations(found, G.sentences(docs), L.RELATIONS))
+
+
 @query(
     """WITH t AS (SELECT doc_id, 'drug ' || (doc_id % 7) || CASE WHEN doc_id % 3 = 0 THEN '' ELSE ', ' || (doc_id % 90) || ' mg' END || CASE WHEN doc_id % 2 = 0 THEN ' po' ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN ' daily' ELSE '' END || CASE WHEN doc_id % 11 = 0 THEN ' tablet' ELSE '' END AS text FROM documents)
 SELECT doc_id, 'drug ' || (doc_id % 7) AS drug_name, CASE WHEN doc_id % 3 <> 0 THEN (doc_id % 90) || ' mg' END AS strength, CASE WHEN doc_id % 2 = 0 THEN 'po' END AS route, CASE WHEN doc_id % 5 = 0 THEN 'daily' END AS frequency, CASE WHEN doc_id % 11 = 0 THEN 'tablet' END AS dose_form FROM t"""
@@ -195,15 +211,7 @@ def medication_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # tokens and labels
 
 
-@query(
-    Q.sql(
-        """SELECT document_id, i, start, "end", CASE WHEN s IS NULL THEN 'O' WHEN lag(s) OVER w = s AND lag(e) OVER w = e AND lag(t) OVER w = t THEN 'I-' || t ELSE 'B-' || t END AS label
-FROM (SELECT k.document_id, k.i, k.start, k."end", x.start AS s, x."end" AS e, x.type AS t FROM tok k LEFT JOIN ents x ON x.document_id = k.document_id AND k.start < x."end" AND x.start < k."end"
-      QUALIFY row_number() OVER (PARTITION BY k.document_id, k.i ORDER BY x.start, x."end", x.type) = 1) WINDOW w AS (PARTITION BY document_id ORDER BY i)""",
-        "tok",
-        "ents",
-    )
-)
+@query(Q.sql("SELECT * FROM bio", "bio"))
 def bio_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = dealt(spark, sf_dir)
     return G.spans_to_bio(G.tokens(docs), A.entities(docs, T.records(spark), SETTINGS))
@@ -229,6 +237,29 @@ def bio_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.bio_to_spans(rows, docs).withColumn("confidence", F.round("confidence", 6))
 
 
+@query(
+    Q.sql(
+        """SELECT document_id, w::INTEGER AS "window", (w * 48)::INTEGER AS first, string_agg(label_id::VARCHAR, ' ' ORDER BY i) AS label_ids
+FROM (SELECT b.document_id, i, w, CASE WHEN i = w * 48 AND label LIKE 'I-%' THEN 'B-' || label[3:] ELSE label END AS label
+      FROM bio b JOIN (SELECT document_id, unnest(range(0, greatest(ceil((count(*) - 64) / 48.0), 0)::BIGINT + 1)) AS w FROM tok GROUP BY document_id) n ON b.document_id = n.document_id AND i >= w * 48 AND i < w * 48 + 64)
+JOIN (SELECT 'O' AS label, 0 AS label_id UNION ALL SELECT p || '-' || type, 2 * row_number() OVER (PARTITION BY p ORDER BY type) - CASE p WHEN 'B' THEN 1 ELSE 0 END FROM (SELECT DISTINCT type FROM ents) CROSS JOIN (VALUES ('B'), ('I')) AS x(p)) USING (label)
+GROUP BY document_id, w""",
+        "bio",
+        "tok",
+        "ents",
+    )
+)
+def window_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, found = dealt(spark, sf_dir), written(found_entities(spark, sf_dir), "entities")
+    rows = G.window_features(G.tokens(docs), found, G.bio_label_map(found), size=64, stride=16)
+    return rows.select("document_id", "window", "first", F.array_join(F.transform("label_ids", lambda x: x.cast("string")), " ").alias("label_ids"))
+
+
+@query("""SELECT p_partkey, '{"type":"object","properties":{"selected_id":{"enum":["' || p_brand || '","' || p_type || '",null]}},"required":["selected_id"]}' AS "schema" FROM part""")
+def choice_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", X.choice_schema(F.array("p_brand", "p_type")).alias("schema"))
+
+
 @query(Q.sql("SELECT 'O' AS label, 0 AS label_id UNION ALL SELECT p || '-' || type, (2 * row_number() OVER (PARTITION BY p ORDER BY type) - CASE p WHEN 'B' THEN 1 ELSE 0 END)::INTEGER FROM (SELECT DISTINCT type FROM detected) CROSS JOIN (VALUES ('B'), ('I')) AS x(p)", "detected"))
 def bio_label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = dealt(spark, sf_dir)
@@ -322,11 +353,11 @@ Q.bm25("best_words", "texts", "bench", 10)
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query"), X.normalize_alias(F.col("text")).alias("norm"))
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query"), X.alias_key(F.col("text")).alias("norm"))
 
 
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), X.normalize_alias(F.coalesce("text", F.lit(""))).alias("norm"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), X.alias_key(F.coalesce("text", F.lit(""))).alias("norm"))
 
 
 @query(Q.sql("SELECT query, doc, round(score, 6) AS score, rank FROM best_words", "best_words"))
@@ -348,7 +379,7 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(Q.sql("SELECT vocabulary, query AS norm, candidate_id, score, rank FROM cands", "cands"))
 def rrf_fuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = found_entities(spark, sf_dir)
-    mentions = found.select(R.vocabulary_of(F.col("type"), L.VOCABULARIES).alias("vocabulary"), X.normalize_alias(F.col("text")).alias("norm")).where("vocabulary IS NOT NULL AND norm <> ''").distinct()
+    mentions = found.select(R.vocabulary_of(F.col("type"), L.VOCABULARIES).alias("vocabulary"), X.alias_key(F.col("text")).alias("norm")).where("vocabulary IS NOT NULL AND norm <> ''").distinct()
     return A.candidates(written(mentions, "mentions"), T.records(spark), SETTINGS)
 
 

@@ -14,7 +14,7 @@ def quoted(text: str) -> str:
 
 
 def norm(text: str) -> str:
-    return f"trim(regexp_replace(replace(lower({text}), 'ß', 'ss'), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g'), ' ')"
+    return f"trim(regexp_replace(replace(lower(nfc_normalize({text})), 'ß', 'ss'), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g'), ' ')"
 
 
 def piece(text: str, start: str, end: str) -> str:
@@ -299,6 +299,11 @@ define(
   FROM linked WHERE {official('type')} IS NOT NULL""",
     "linked",
 )
+define("bio", """SELECT document_id, i, start, "end", CASE WHEN s IS NULL THEN 'O' WHEN lag(s) OVER w = s AND lag(e) OVER w = e AND lag(t) OVER w = t THEN 'I-' || t ELSE 'B-' || t END AS label
+FROM (SELECT k.document_id, k.i, k.start, k."end", x.start AS s, x."end" AS e, x.type AS t FROM tok k LEFT JOIN ents x ON x.document_id = k.document_id AND k.start < x."end" AND x.start < k."end"
+      QUALIFY row_number() OVER (PARTITION BY k.document_id, k.i ORDER BY x.start, x."end", x.type) = 1) WINDOW w AS (PARTITION BY document_id ORDER BY i)""", "tok", "ents")
+define("spans", 'SELECT DISTINCT document_id, start, "end", type FROM ents', "ents")
+
 
 
 def prf(tp: str, fp: str, fn: str) -> str:

@@ -12,6 +12,7 @@ COMPARED = [
     "doc_stats", "natural_order", "duplicate_ids", "alias_normalize", "tokens_with_offsets", "sentences", "sections", "token_windows", "phrase_dictionary", "dictionary_hits",
     "medication_attributes", "kb_group", "kb_concepts", "kb_icd", "kb_edges", "kb_metadata", "bm25_topk", "vector_topk", "similarities", "lexical_pool", "validate_submission",
     "hit_at_k", "token_metrics", "split", "fingerprint", "submission", "exact_metrics",
+    "relation_examples", "window_features", "choice_schema", "relation_pairs", "bio_labels",
 ]
 
 
