@@ -3,14 +3,17 @@
 Spans are (document_id, start, end, type, text, candidates, assertions, ord);
 ``ord`` is a span's place in its list, predictions also have a confidence.
 Exact matches are joins.  The greedy matches depend on the order of a
-document's spans: each document and type is one group, bounded by the document.
+document's spans: those of each document and type are one row of lists.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterable
+from functools import lru_cache
+from math import inf
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -46,31 +49,62 @@ def _beside(gold: DataFrame, predicted: DataFrame, on: list[str]) -> DataFrame:
     return g.join(p, on)
 
 
-def _greedy(gold: DataFrame, predicted: DataFrame, choose: Callable[[pd.DataFrame, pd.DataFrame], list[tuple[int, int]]]) -> DataFrame:
-    """(document_id, type, gold_ord, pred_ord) that ``choose`` picks among a document's spans of a type."""
+#: A span among those of its document and type: place in its list, bounds, text, confidence.
+Span = tuple[int, int, int, str, float | None]
 
-    def run(g: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        picked = choose(g.sort_values("ord"), p.sort_values("ord")) if len(g) and len(p) else []
-        key = {c: (g if len(g) else p)[c].iloc[0] for c in ("document_id", "type")}
-        return pd.DataFrame([key | {"gold_ord": int(a), "pred_ord": int(b)} for a, b in picked], columns=["document_id", "type", "gold_ord", "pred_ord"])
 
-    columns = ["document_id", "type", "start", "end", "text", "ord"]
-    a = gold.select(*columns).groupBy("document_id", "type")
-    b = predicted.select(*columns, "confidence").groupBy("document_id", "type")
-    kind = dict(gold.dtypes)["document_id"]
-    return a.cogroup(b).applyInPandas(run, f"document_id {kind}, type string, gold_ord long, pred_ord long")
+def _lists(column: pa.Array) -> list[list[tuple]]:
+    """Rows of an array of structs as lists of tuples."""
+    at = column.offsets.to_numpy()
+    values = column.flatten()
+    rows = list(zip(*(values.field(i).to_pylist() for i in range(values.type.num_fields)), strict=True))
+    return [rows[lo:hi] for lo, hi in zip(at[:-1] - at[0], at[1:] - at[0], strict=True)]
+
+
+def _greedy(gold: DataFrame, predicted: DataFrame, choose: Callable[[list[Span], list[Span]], list[tuple[int, int]]]) -> DataFrame:
+    """(document_id, type, gold_ord, pred_ord) that ``choose`` picks among a document's spans of a type, both by ``ord``.
+
+    Both sides are one table with a mark: a cogroup of two tables that come from
+    one scan loses columns of the second.
+    """
+
+    def side(rows: DataFrame, is_gold: bool) -> DataFrame:
+        confidence = F.lit(None) if is_gold else F.col("confidence")
+        span = F.struct(F.col("ord").cast("long").alias("ord"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "text", confidence.cast("double").alias("confidence"))
+        return rows.select("document_id", "type", F.lit(is_gold).alias("is_gold"), span.alias("span"))
+
+    def run(g: pa.Array, p: pa.Array) -> pa.Array:
+        return pa.array([[{"gold_ord": a, "pred_ord": b} for a, b in choose(x, y)] for x, y in zip(_lists(g), _lists(p), strict=True)], pa.list_(pa.struct([("gold_ord", pa.int64()), ("pred_ord", pa.int64())])))
+
+    picked = F.arrow_udf(run, "array<struct<gold_ord: long, pred_ord: long>>")
+    own = lambda mark: F.sort_array(F.collect_list(F.when(mark, F.col("span"))))
+    groups = side(gold, True).unionByName(side(predicted, False)).groupBy("document_id", "type").agg(own(F.col("is_gold")).alias("g"), own(~F.col("is_gold")).alias("p"))
+    return groups.where((F.size("g") > 0) & (F.size("p") > 0)).select("document_id", "type", F.explode(picked("g", "p")).alias("k")).select("document_id", "type", "k.gold_ord", "k.pred_ord")
+
+
+class _Meeting:
+    """Places in a list of spans of those that overlap a given one, in the list's order."""
+
+    def __init__(self, spans: list[Span]):
+        self.by_start = sorted((s, i, e) for i, (_, s, e, *_) in enumerate(spans))
+        self.starts = [s for s, _, _ in self.by_start]
+        self.longest = max((e - s for _, s, e, *_ in spans), default=0)
+
+    def __call__(self, start: int, end: int) -> list[int]:
+        lo, hi = bisect_right(self.starts, start - self.longest - 1), bisect_left(self.starts, end)
+        return sorted(i for s, i, e in self.by_start[lo:hi] if min(e, end) > max(s, start))
 
 
 def relaxed_pairs(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     """Predictions by falling confidence, each beside the unused gold span of its type that it overlaps most."""
 
-    def choose(g: pd.DataFrame, p: pd.DataFrame) -> list[tuple[int, int]]:
-        free, out = list(g[["ord", "start", "end"]].itertuples(index=False, name=None)), []
-        for o, s, e in p.sort_values("confidence", ascending=False, kind="stable")[["ord", "start", "end"]].itertuples(index=False, name=None):
-            best = max(free, key=lambda x: min(e, x[2]) - max(s, x[1]), default=None)
-            if best is not None and min(e, best[2]) > max(s, best[1]):
-                free.remove(best)
-                out.append((best[0], o))
+    def choose(g: list[Span], p: list[Span]) -> list[tuple[int, int]]:
+        near, used, out = _Meeting(g), set(), []
+        for o, s, e, _, _ in sorted(p, key=lambda x: -inf if x[4] is None else x[4], reverse=True):
+            best = max((i for i in near(s, e) if i not in used), key=lambda i: min(e, g[i][2]) - max(s, g[i][1]), default=None)
+            if best is not None:
+                used.add(best)
+                out.append((g[best][0], o))
         return out
 
     return _greedy(gold, predicted, choose)
@@ -80,6 +114,7 @@ def relaxed_metrics(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     return _counts(relaxed_pairs(gold, predicted).agg(F.count(F.lit(1)).alias("tp")), gold, predicted)
 
 
+@lru_cache(65_536)
 def _word_errors(reference: str, hypothesis: str) -> float:
     ref, hyp = reference.split(), hypothesis.split()
     if not ref:
@@ -96,18 +131,28 @@ def _word_errors(reference: str, hypothesis: str) -> float:
 def approximate_pairs(gold: DataFrame, predicted: DataFrame, least: float = 0.35) -> DataFrame:
     """Gold spans in order, each beside the unused prediction that fits best by place and words, if well enough."""
 
-    def choose(g: pd.DataFrame, p: pd.DataFrame) -> list[tuple[int, int]]:
-        free, out = list(p[["ord", "start", "end", "text"]].itertuples(index=False, name=None)), []
-        for o, s, e, t in g[["ord", "start", "end", "text"]].itertuples(index=False, name=None):
+    def choose(g: list[Span], p: list[Span]) -> list[tuple[int, int]]:
+        near, free, out = _Meeting(p), dict.fromkeys(range(len(p))), []
+        for o, s, e, t, _ in g:
             best, most = None, 0.0
-            for x in free:
-                union = max(e, x[2]) - min(s, x[1])
-                place = max(0, min(e, x[2]) - max(s, x[1])) / union if union else 0.0
-                if 0.65 * place + 0.35 > most and (score := 0.65 * place + 0.35 * max(0.0, 1 - _word_errors(t, x[3]))) > most:
-                    best, most = x, score
+
+            def look(places: Iterable[int]) -> None:
+                nonlocal best, most
+                for i in places:
+                    _, start, end, text, _ = p[i]
+                    union = max(e, end) - min(s, start)  # noqa: B023
+                    place = max(0, min(e, end) - max(s, start)) / union if union else 0.0  # noqa: B023
+                    if 0.65 * place + 0.35 > most and (score := 0.65 * place + 0.35 * max(0.0, 1 - _word_errors(t, text))) > most:  # noqa: B023
+                        best, most = i, score
+
+            look(i for i in near(s, e) if i in free)
+            # spans apart from each other score 0.35 at most
+            if most <= 0.35:
+                best, most = None, 0.0
+                look(free)
             if best is not None and most >= least:
-                free.remove(best)
-                out.append((o, best[0]))
+                del free[best]
+                out.append((o, p[best][0]))
         return out
 
     return _greedy(gold, predicted, choose)
