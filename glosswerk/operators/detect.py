@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions.lexicons import MEDICATION
 from ..functions.similarity import overlaps
 from .spans import find_all, resolve_overlaps, tokens, within_document
 
@@ -158,7 +159,7 @@ def relations(entities: DataFrame, found_sentences: DataFrame, compatible: dict[
     return both.select("document_id", "sentence_id", "subject_start", "subject_end", "subject_type", "object_start", "object_end", "object_type", "relation", "distance", confidence.alias("confidence"))
 
 
-def medication(entities: DataFrame, column: Column | str = "text") -> DataFrame:
+def medication(entities: DataFrame, column: Column | str = "text", patterns: dict[str, str] = MEDICATION) -> DataFrame:
     """Entities with the medication attributes of their text."""
     col = F.col(column) if isinstance(column, str) else column
-    return entities.withColumn("attributes", X.medication_attributes(col))
+    return entities.withColumn("attributes", X.medication_attributes(col, patterns))
