@@ -1,14 +1,19 @@
 """Detection of entities: dictionary phrases, rules, and both together.
 
-A dictionary's phrases are far fewer than a corpus has tokens.  Only tokens that
-are a word of some phrase go on; those look at as many of the ones behind them
-as the longest phrase has, and meet phrases by the first word.  A dictionary of up to
+A dictionary's phrases are far fewer than a corpus has tokens.  Up to
+``MOST_COLLECTED`` of them go to Python, which looks a text through in one pass.
+Of more, only tokens that are a word of some phrase go on; those look at as many
+of the ones behind them as the longest phrase has, and meet phrases by the first word.  A dictionary of up to
 ``MOST_BROADCAST`` phrases, which is counted, goes to all executors, so tokens
 stay where their document is; a larger one meets them in a shuffle by word.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,10 +21,14 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.lexicons import MEDICATION
 from ..functions.similarity import overlaps
-from .spans import find_all, resolve_overlaps, tokens, within_document
+from .spans import find_all, in_python, resolve_overlaps, tokens, within_document
 
 #: Phrases that every executor can hold.
 MOST_BROADCAST = 1_000_000
+#: Phrases that go to Python, where a text is looked through in one pass, and spellings that it remembers.
+MOST_COLLECTED, MOST_SPELLINGS = 100_000, 500_000
+#: Characters after a phrase that can be taken in.
+TAIL_SIZE = 96
 #: What tells a document's entities apart.
 SPAN = ("start", "end", "type")
 #: Columns of a detected entity.
@@ -40,11 +49,65 @@ def phrases(records: DataFrame, most_words: int = 10) -> DataFrame:
     return first.select("phrase", "words", F.col("words")[0].alias("first"), "n", "type", "candidate_id", order.alias("ord"))
 
 
+def _hits(entries: list[tuple[list[str], str, str, int]], most_words: int) -> Callable[[pa.Array], pa.Array]:
+    """Hits of each text: (start, head, rest, type, candidate_id, ord) of the longest phrase at every token, ``rest`` being what follows it."""
+    phrases: dict[tuple[str, ...], list[tuple[str, str, int]]] = {}
+    sizes: dict[str, set[int]] = {}
+    for words, kind, code, place in entries:
+        if len(words) <= most_words:
+            phrases.setdefault(tuple(words), []).append((kind, code, place))
+            sizes.setdefault(words[0], set()).add(len(words))
+    known = {w for p in phrases for w in p}
+    longest_first = {w: sorted(n, reverse=True) for w, n in sizes.items()}
+    find = re.compile(in_python(X.TOKEN)).finditer
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("head", pa.string()), ("rest", pa.string()), ("type", pa.string()), ("candidate_id", pa.string()), ("ord", pa.int32())]))
+    seen: dict[str, str | None] = {}  # spellings and the dictionary's word, or none
+
+    def of(text: str | None) -> list[tuple]:
+        words, spans, begins = [], [], []
+        for i, m in enumerate(find(text or "")):
+            spelt = m.group()
+            try:
+                w = seen[spelt]
+            except KeyError:
+                if len(seen) >= MOST_SPELLINGS:
+                    seen.clear()
+                w = seen[spelt] = n if (n := X.alias_of(spelt)) in known else None
+            if w is not None:
+                words.append((i, w))
+                spans.append(m.span())
+                if w in longest_first:
+                    begins.append(len(words) - 1)
+        out = []
+        for k in begins:
+            i, w = words[k]
+            for n in longest_first[w]:
+                # a token whose place isn't the next one ends what can be a phrase
+                if k + n <= len(words) and words[k + n - 1][0] == i + n - 1 and (hit := phrases.get(tuple(x for _, x in words[k : k + n]))):
+                    start, until = spans[k][0], spans[k + n - 1][1]
+                    out.extend((start, text[start:until], text[until : until + TAIL_SIZE], *e) for e in hit)
+                    break
+        return out
+
+    return lambda texts: pa.array([of(t) for t in texts.to_pylist()], kind)
+
+
 def dictionary_hits(docs: DataFrame, dictionary: DataFrame, most_words: int = 10, confidence: float = 0.94, extend: tuple[str, ...] = ("DRUG",), tail: str | None = None) -> DataFrame:
     """Entities of the longest phrase at every token, one for each of its dictionary entries.
 
     Types of ``extend`` take in the medication attributes that follow.
     """
+    entries = dictionary.select("words", "type", "candidate_id", "ord").limit(MOST_COLLECTED + 1).collect()
+    kwargs = {} if tail is None else {"tail": tail}
+    if len(entries) <= MOST_COLLECTED:
+        found = F.arrow_udf(_hits([tuple(e) for e in entries], most_words), "array<struct<start: int, head: string, rest: string, type: string, candidate_id: string, ord: int>>")
+        hits = docs.select("document_id", found("raw_text").alias("found_")).select("document_id", F.inline("found_"))
+        more = F.when(F.col("type").isin(*extend), X.extended_end(F.col("rest"), F.lit(0), TAIL_SIZE, **kwargs)).otherwise(F.lit(0)) if extend else F.lit(0)
+        text = F.concat("head", F.substring("rest", F.lit(1), F.col("more_")))
+        return hits.withColumn("more_", more).select(
+            "document_id", "start", (F.col("start") + F.length("head") + F.col("more_")).cast("int").alias("end"), text.alias("text"), "type", "candidate_id",
+            F.lit(confidence).alias("confidence"), F.col("head").alias("mention_head"), F.lit("ontology_exact_phrase").alias("evidence"), "ord",
+        )
     rows = tokens(docs).withColumn("norm", X.normalize_alias(F.col("text")))
     known = dictionary.select(F.explode("words").alias("norm")).distinct()
     size, longest = dictionary.agg(F.count(F.lit(1)), F.max("n")).first()
@@ -63,7 +126,6 @@ def dictionary_hits(docs: DataFrame, dictionary: DataFrame, most_words: int = 10
     met = met.withColumn("longest", longest).where("n = longest")
     hits = met.select("document_id", "start", "until", "type", "candidate_id", "ord")
     whole = hits.join(docs.select("document_id", "raw_text"), "document_id")
-    kwargs = {} if tail is None else {"tail": tail}
     end = F.when(F.col("type").isin(*extend), X.extended_end(F.col("raw_text"), F.col("until"), **kwargs)).otherwise(F.col("until")) if extend else F.col("until")
     whole = whole.withColumn("end", end.cast("int"))
     return whole.select(
