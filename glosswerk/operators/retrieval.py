@@ -43,12 +43,12 @@ def bm25(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc", k1: fl
 
     Only texts that share a term with the query count.
     """
-    postings = terms(corpus, key, "norm")
     asked = terms(queries, "query", "norm").select("query", "term").distinct()
-    sizes = postings.groupBy(key).agg(F.sum("tf").alias("dl"))
-    whole = corpus.select(key).distinct().agg(F.count(F.lit(1)).alias("n_docs"))
+    # a text's length needs no rows of terms, and only terms that are asked for are gathered
+    sizes = corpus.groupBy(key).agg(F.sum(F.coalesce(F.regexp_count("norm", F.lit("[^ ]{2,}")), F.lit(0))).alias("dl"))
+    whole = sizes.agg(F.count(F.lit(1)).alias("n_docs"))
     mean = sizes.agg(F.sum("dl").alias("all_terms"))
-    hit = postings.join(asked.select("term").distinct(), "term")
+    hit = corpus.select(key, F.explode(F.split("norm", " ")).alias("term")).where(F.length("term") >= 2).join(asked.select("term").distinct(), "term", "left_semi").groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     df = hit.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     scored = hit.join(df, "term").join(sizes, key).join(asked, "term").crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(mean))  # one row each
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
