@@ -11,7 +11,9 @@ stay where their document is; a larger one meets them in a shuffle by word.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,14 +21,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.lexicons import MEDICATION
+from ..functions.lexicons import MEDICATION, MEDICATION_TAIL
 from ..functions.similarity import overlaps
-from .spans import find_all, in_python, resolve_overlaps, tokens, within_document
+from .spans import Span, find_all, in_python, refined, resolve_overlaps, resolved, tokens, within_document
 
 #: Phrases that every executor can hold.
 MOST_BROADCAST = 1_000_000
 #: Phrases that go to Python, where a text is looked through in one pass, and spellings that it remembers.
 MOST_COLLECTED, MOST_SPELLINGS = 100_000, 500_000
+#: Spans that Python hands over at once.
+MOST_ROWS = 50_000
 #: Characters after a phrase that can be taken in.
 TAIL_SIZE = 96
 #: What tells a document's entities apart.
@@ -49,8 +53,8 @@ def phrases(records: DataFrame, most_words: int = 10) -> DataFrame:
     return first.select("phrase", "words", F.col("words")[0].alias("first"), "n", "type", "candidate_id", order.alias("ord"))
 
 
-def _hits(entries: list[tuple[list[str], str, str, int]], most_words: int) -> Callable[[pa.Array], pa.Array]:
-    """Hits of each text: (start, head, rest, type, candidate_id, ord) of the longest phrase at every token, ``rest`` being what follows it."""
+def _hits(entries: list[tuple[list[str], str, str, int]], most_words: int) -> Callable[[str | None], list[tuple]]:
+    """Hits of a text: (start, head, rest, type, candidate_id, ord) of the longest phrase at every token, ``rest`` being what follows it."""
     phrases: dict[tuple[str, ...], list[tuple[str, str, int]]] = {}
     sizes: dict[str, set[int]] = {}
     for words, kind, code, place in entries:
@@ -60,7 +64,6 @@ def _hits(entries: list[tuple[list[str], str, str, int]], most_words: int) -> Ca
     known = {w for p in phrases for w in p}
     longest_first = {w: sorted(n, reverse=True) for w, n in sizes.items()}
     find = re.compile(in_python(X.TOKEN)).finditer
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("head", pa.string()), ("rest", pa.string()), ("type", pa.string()), ("candidate_id", pa.string()), ("ord", pa.int32())]))
     seen: dict[str, str | None] = {}  # spellings and the dictionary's word, or none
 
     def of(text: str | None) -> list[tuple]:
@@ -89,7 +92,14 @@ def _hits(entries: list[tuple[list[str], str, str, int]], most_words: int) -> Ca
                     break
         return out
 
-    return lambda texts: pa.array([of(t) for t in texts.to_pylist()], kind)
+    return of
+
+
+def _each(of: Callable[[str | None], list[tuple]], kind: pa.DataType) -> Callable[[pa.Array], pa.Array]:
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([of(t) for t in texts.to_pylist()], kind)
+
+    return run
 
 
 def dictionary_hits(docs: DataFrame, dictionary: DataFrame, most_words: int = 10, confidence: float = 0.94, extend: tuple[str, ...] = ("DRUG",), tail: str | None = None) -> DataFrame:
@@ -100,7 +110,9 @@ def dictionary_hits(docs: DataFrame, dictionary: DataFrame, most_words: int = 10
     entries = dictionary.select("words", "type", "candidate_id", "ord").limit(MOST_COLLECTED + 1).collect()
     kwargs = {} if tail is None else {"tail": tail}
     if len(entries) <= MOST_COLLECTED:
-        found = F.arrow_udf(_hits([tuple(e) for e in entries], most_words), "array<struct<start: int, head: string, rest: string, type: string, candidate_id: string, ord: int>>")
+        of = _hits([tuple(e) for e in entries], most_words)
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("head", pa.string()), ("rest", pa.string()), ("type", pa.string()), ("candidate_id", pa.string()), ("ord", pa.int32())]))
+        found = F.arrow_udf(_each(of, kind), "array<struct<start: int, head: string, rest: string, type: string, candidate_id: string, ord: int>>")
         hits = docs.select("document_id", found("raw_text").alias("found_")).select("document_id", F.inline("found_"))
         more = F.when(F.col("type").isin(*extend), X.extended_end(F.col("rest"), F.lit(0), TAIL_SIZE, **kwargs)).otherwise(F.lit(0)) if extend else F.lit(0)
         text = F.concat("head", F.substring("rest", F.lit(1), F.col("more_")))
@@ -161,6 +173,73 @@ def detect(docs: DataFrame, dictionary: DataFrame, rules: list[tuple[str, str, s
     return resolve_overlaps(by_phrase.unionByName(by_rule))
 
 
+def _plainly(pattern: str) -> re.Pattern | None:
+    """A plain pattern, which may be bound to the beginning, as Python has it."""
+    bound = pattern.startswith("^")
+    plain = in_python(pattern.removeprefix("^"))
+    return None if plain is None else re.compile(("^" if bound else "") + plain)
+
+
+def _alias_of(text: str) -> str:
+    return text.lower().strip(" ") if text.isascii() and text.replace(" ", "").isalnum() and "  " not in text else X.alias_of(text)
+
+
+def entities_at_once(docs: DataFrame, dictionary: DataFrame, rules: list[tuple[str, str, str | None]], most_words: int = 10, confidence: float = 0.94, rule_confidence: float = 0.78, extend: tuple[str, ...] = ("DRUG",), tail: str | None = None, less: str = "DISEASE", more: str = "SYMPTOM") -> DataFrame | None:
+    """``detect`` and ``refine_boundaries`` of whole documents: a text is looked through, and its spans are chosen, in one pass.
+
+    None if a pattern may mean something else in Python, or the dictionary has more than ``MOST_COLLECTED`` phrases.
+    """
+    own = [(kind, _plainly(pattern), head and _plainly(head), bool(head), f"rule_{kind.lower()}") for kind, pattern, head in rules]
+    after = _plainly(MEDICATION_TAIL if tail is None else tail)
+    if after is None or any(found is None or (has_head and head is None) for _, found, head, has_head, _ in own):
+        return None
+    entries = dictionary.select("words", "type", "candidate_id", "ord").limit(MOST_COLLECTED + 1).collect()
+    if len(entries) > MOST_COLLECTED:
+        return None
+    hits_of = _hits([tuple(e) for e in entries], most_words)
+
+    def found_in(text: str) -> list[Span]:
+        by_rule, same = [], {}  # names of the one type's rule spans, and their bounds
+        for at, (kind, pattern, head, _, evidence) in enumerate(own):
+            for m in pattern.finditer(text):
+                said = m.group()
+                mention = said if head is None else h.group() if (h := head.search(said)) else ""
+                by_rule.append((*m.span(), said, kind, None, rule_confidence, mention, evidence, 1_000_000 + at))
+                if kind == more:
+                    same.setdefault(_alias_of(said), []).append(m.span())
+        # the furthest end of the spans up to each
+        for name, spans in same.items():
+            spans.sort()
+            same[name] = ([s for s, _ in spans], list(accumulate((e for _, e in spans), max)))
+        out = []
+        for start, head, rest, kind, code, place in hits_of(text):
+            said = head
+            if kind in extend and (m := after.search(rest.split("\n", 1)[0])):
+                said = head + rest[: len(m.group())]
+            end = start + len(said)
+            if kind == less and same and (near := same.get(_alias_of(said))) and (i := bisect_left(near[0], end)) and near[1][i - 1] > start:
+                continue
+            out.append((start, end, said, kind, code, confidence, head, "ontology_exact_phrase", place))
+        return refined(resolved(out + by_rule))
+
+    kind = docs.schema["document_id"].dataType.simpleString()
+    types = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.string(), pa.string(), pa.int32()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, rows = [], []
+            for i, text in enumerate(batch.column(1).to_pylist(), 1):
+                spans = found_in(text) if text else []
+                of.extend([i - 1] * len(spans))
+                rows.extend(spans)
+                if rows and (len(rows) >= MOST_ROWS or i == batch.num_rows):
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), *columns], list(ENTITY))
+                    of, rows = [], []
+
+    return docs.select("document_id", "raw_text").mapInArrow(run, f"document_id {kind}, start int, end int, text string, type string, candidate_id string, confidence double, mention_head string, evidence string, ord int")
+
+
 def annotate(entities: DataFrame, docs: DataFrame, found_sections: DataFrame, cues: dict[str, str], prefix: int = 55, width: int = 120) -> DataFrame:
     """Entities with their section and the four axes of assertion."""
     from .spans import with_section

@@ -9,8 +9,8 @@ document's spans: those of each document and type are one row of lists.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterable
-from functools import lru_cache
+from collections.abc import Callable
+from functools import lru_cache, partial
 from math import inf
 
 import pyarrow as pa
@@ -61,25 +61,37 @@ def _lists(column: pa.Array) -> list[list[tuple]]:
     return [rows[lo:hi] for lo, hi in zip(at[:-1] - at[0], at[1:] - at[0], strict=True)]
 
 
-def _greedy(gold: DataFrame, predicted: DataFrame, choose: Callable[[list[Span], list[Span]], list[tuple[int, int]]]) -> DataFrame:
-    """(document_id, type, gold_ord, pred_ord) that ``choose`` picks among a document's spans of a type, both by ``ord``.
+#: Picks pairs of places in a list of gold spans and one of predicted spans.
+Choice = Callable[[list[Span], list[Span]], list[tuple[int, int]]]
+
+
+def _greedy(gold: DataFrame, predicted: DataFrame, choose: Choice, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(document_id, type, gold, pred): the pairs that ``choose`` picks among a document's spans of a type, both by ``ord``.
 
     Both sides are one table with a mark: a cogroup of two tables that come from
-    one scan loses columns of the second.
+    one scan loses columns of the second.  Spans bring along the columns to
+    ``keep``, so that pairs need no join.
     """
 
     def side(rows: DataFrame, is_gold: bool) -> DataFrame:
         confidence = F.lit(None) if is_gold else F.col("confidence")
-        span = F.struct(F.col("ord").cast("long").alias("ord"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "text", confidence.cast("double").alias("confidence"))
+        span = F.struct(F.col("ord").cast("long").alias("ord"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "text", confidence.cast("double").alias("confidence"), *keep)
         return rows.select("document_id", "type", F.lit(is_gold).alias("is_gold"), span.alias("span"))
 
     def run(g: pa.Array, p: pa.Array) -> pa.Array:
-        return pa.array([[{"gold_ord": a, "pred_ord": b} for a, b in choose(x, y)] for x, y in zip(_lists(g), _lists(p), strict=True)], pa.list_(pa.struct([("gold_ord", pa.int64()), ("pred_ord", pa.int64())])))
+        return pa.array([[{"g": a, "p": b} for a, b in choose(x, y)] for x, y in zip(_lists(g), _lists(p), strict=True)], pa.list_(pa.struct([("g", pa.int32()), ("p", pa.int32())])))
 
-    picked = F.arrow_udf(run, "array<struct<gold_ord: long, pred_ord: long>>")
+    picked = F.arrow_udf(run, "array<struct<g: int, p: int>>")
+    bare = lambda spans: F.transform(spans, lambda x: F.struct(*(x[c].alias(c) for c in ("ord", "start", "end", "text", "confidence")))) if keep else F.col(spans)
     own = lambda mark: F.sort_array(F.collect_list(F.when(mark, F.col("span"))))
     groups = side(gold, True).unionByName(side(predicted, False)).groupBy("document_id", "type").agg(own(F.col("is_gold")).alias("g"), own(~F.col("is_gold")).alias("p"))
-    return groups.where((F.size("g") > 0) & (F.size("p") > 0)).select("document_id", "type", F.explode(picked("g", "p")).alias("k")).select("document_id", "type", "k.gold_ord", "k.pred_ord")
+    places = groups.where((F.size("g") > 0) & (F.size("p") > 0)).select("document_id", "type", "g", "p", picked(bare("g"), bare("p")).alias("k"))
+    pairs = F.transform("k", lambda k: F.struct(F.col("g")[k["g"]].alias("gold"), F.col("p")[k["p"]].alias("pred")))
+    return places.select("document_id", "type", F.inline(pairs))
+
+
+def _ords(pairs: DataFrame) -> DataFrame:
+    return pairs.select("document_id", "type", F.col("gold.ord").alias("gold_ord"), F.col("pred.ord").alias("pred_ord"))
 
 
 class _Meeting:
@@ -100,14 +112,14 @@ def relaxed_pairs(gold: DataFrame, predicted: DataFrame) -> DataFrame:
 
     def choose(g: list[Span], p: list[Span]) -> list[tuple[int, int]]:
         near, used, out = _Meeting(g), set(), []
-        for o, s, e, _, _ in sorted(p, key=lambda x: -inf if x[4] is None else x[4], reverse=True):
+        for place, (_, s, e, _, _) in sorted(enumerate(p), key=lambda x: -inf if x[1][4] is None else x[1][4], reverse=True):
             best = max((i for i in near(s, e) if i not in used), key=lambda i: min(e, g[i][2]) - max(s, g[i][1]), default=None)
             if best is not None:
                 used.add(best)
-                out.append((g[best][0], o))
+                out.append((best, place))
         return out
 
-    return _greedy(gold, predicted, choose)
+    return _ords(_greedy(gold, predicted, choose))
 
 
 def relaxed_metrics(gold: DataFrame, predicted: DataFrame) -> DataFrame:
@@ -128,41 +140,83 @@ def _word_errors(reference: str, hypothesis: str) -> float:
     return row[-1] / len(ref)
 
 
-def approximate_pairs(gold: DataFrame, predicted: DataFrame, least: float = 0.35) -> DataFrame:
-    """Gold spans in order, each beside the unused prediction that fits best by place and words, if well enough."""
+class _Unused:
+    """Places in a list, those not taken yet, in order."""
 
-    def choose(g: list[Span], p: list[Span]) -> list[tuple[int, int]]:
-        near, free, out = _Meeting(p), dict.fromkeys(range(len(p))), []
-        for o, s, e, t, _ in g:
-            best, most = None, 0.0
-
-            def look(places: Iterable[int]) -> None:
-                nonlocal best, most
-                for i in places:
-                    _, start, end, text, _ = p[i]
-                    union = max(e, end) - min(s, start)  # noqa: B023
-                    place = max(0, min(e, end) - max(s, start)) / union if union else 0.0  # noqa: B023
-                    if 0.65 * place + 0.35 > most and (score := 0.65 * place + 0.35 * max(0.0, 1 - _word_errors(t, text))) > most:  # noqa: B023
-                        best, most = i, score
-
-            look(i for i in near(s, e) if i in free)
-            # spans apart from each other score 0.35 at most
-            if most <= 0.35:
-                best, most = None, 0.0
-                look(free)
-            if best is not None and most >= least:
-                del free[best]
-                out.append((o, p[best][0]))
-        return out
+    def __init__(self) -> None:
+        self.places: list[int] = []
+        self.next = [0]  # the first place from each on that isn't taken
+
+    def add(self, place: int) -> int:
+        self.places.append(place)
+        self.next.append(len(self.places))
+        return len(self.places) - 1
+
+    def take(self, k: int) -> None:
+        self.next[k] = k + 1
 
-    return _greedy(gold, predicted, choose)
+    def first(self, besides: set[int]) -> int | None:
+        k = 0
+        while True:
+            while self.next[k] != k:
+                self.next[k] = k = self.next[self.next[k]]
+            if k == len(self.places):
+                return None
+            if self.places[k] not in besides:
+                return self.places[k]
+            k += 1
+
+
+#: Shares of place and words in how well a prediction fits.
+PLACE, WORDS = 0.65, 0.35
+
+
+def approximate_choice(g: list[Span], p: list[Span], least: float = 0.35) -> list[tuple[int, int]]:
+    """Places of gold spans in order, each beside that of the unused prediction that fits best by place and words, if well enough.
+
+    Predictions apart from a span fit by their words alone: of those with equal
+    words only the first can be chosen, and where ``least`` asks for all that
+    words give, only those with the span's own words.
+    """
+    near, free, out = _Meeting(p), [True] * len(p), []
+    by_words: dict[tuple[str, ...], _Unused] = {}
+    held = []
+    for i, (_, _, _, text, _) in enumerate(p):
+        same = by_words.setdefault(tuple(text.split()), _Unused())
+        held.append((same, same.add(i)))
+    for at, (_, s, e, t, _) in enumerate(g):
+        best, most = None, 0.0
+        close = [i for i in near(s, e) if free[i]]
+        for i in close:
+            _, start, end, text, _ = p[i]
+            union = max(e, end) - min(s, start)
+            place = PLACE * (max(0, min(e, end) - max(s, start)) / union if union else 0.0)
+            if place + WORDS > most and (score := place + WORDS * max(0.0, 1 - _word_errors(t, text))) > most:
+                best, most = i, score
+        # spans apart from each other score this at most
+        if most <= WORDS >= least:
+            own = tuple(t.split())
+            besides = set(close)
+            for same in (by_words.values() if least < WORDS else [by_words[own]] if own in by_words else []):
+                if (i := same.first(besides)) is not None and ((score := WORDS * max(0.0, 1 - _word_errors(t, p[i][3]))) > most or (best is not None and score == most and i < best)):
+                    best, most = i, score
+        if best is not None and most >= least:
+            free[best] = False
+            same, k = held[best]
+            same.take(k)
+            out.append((at, best))
+    return out
+
+
+def approximate_pairs(gold: DataFrame, predicted: DataFrame, least: float = 0.35) -> DataFrame:
+    """Gold spans in order, each beside the unused prediction that fits best by place and words, if well enough."""
+    return _ords(_greedy(gold, predicted, partial(approximate_choice, least=least)))
 
 
 def approximate_matches(gold: DataFrame, predicted: DataFrame) -> DataFrame:
-    pairs = approximate_pairs(gold, predicted)
-    g = gold.select("document_id", "type", F.col("ord").alias("gold_ord"), *(F.col(c).alias(f"gold_{c}") for c in ("text", "candidates", "assertions")))
-    p = predicted.select("document_id", "type", F.col("ord").alias("pred_ord"), *(F.col(c).alias(f"pred_{c}") for c in ("text", "candidates", "assertions")))
-    return pairs.join(g, ["document_id", "type", "gold_ord"]).join(p, ["document_id", "type", "pred_ord"])
+    pairs = _greedy(gold, predicted, approximate_choice, ("candidates", "assertions"))
+    beside = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("gold", "pred") for c in ("text", "candidates", "assertions")]
+    return pairs.select("document_id", "type", F.col("gold.ord").alias("gold_ord"), F.col("pred.ord").alias("pred_ord"), *beside)
 
 
 def competition_score(gold: DataFrame, predicted: DataFrame, approximate: bool = False) -> DataFrame:

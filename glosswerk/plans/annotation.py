@@ -93,8 +93,13 @@ def merged(base: dict, override: dict) -> dict:
 
 
 def entities(docs: DataFrame, records: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """Detected entities with resolved overlaps and refined bounds.  ``docs`` come from ``by_document``."""
+    """Detected entities with resolved overlaps and refined bounds.  ``docs`` come from ``by_document``.
+
+    Plain rules and a dictionary that Python can hold need one pass over each text; else each step is a table.
+    """
     dictionary = D.phrases(records, s.most_words)
+    if (at_once := D.entities_at_once(docs, dictionary, s.rules, s.most_words, s.phrase_confidence, s.rule_confidence, tail=s.medication_tail)) is not None:
+        return at_once
     found = D.without_symptoms(D.dictionary_hits(docs, dictionary, s.most_words, s.phrase_confidence, tail=s.medication_tail), by_rule := D.rule_hits(docs, s.rules, s.rule_confidence))
     return P.refine_boundaries(P.resolve_overlaps(found.unionByName(by_rule)))
 
