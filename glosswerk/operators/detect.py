@@ -15,7 +15,9 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,14 +25,12 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.lexicons import MEDICATION, MEDICATION_TAIL
 from ..functions.similarity import overlaps
-from .spans import Span, find_all, in_python, refined, resolve_overlaps, resolved, tokens, within_document
+from .spans import Block, Span, find_all, in_blocks, in_python, refined, resolve_overlaps, resolved, tokens, within_document
 
 #: Phrases that every executor can hold.
 MOST_BROADCAST = 1_000_000
 #: Phrases that go to Python, where a text is looked through in one pass, and spellings that it remembers.
 MOST_COLLECTED, MOST_SPELLINGS = 100_000, 500_000
-#: Spans that Python hands over at once.
-MOST_ROWS = 50_000
 #: Characters after a phrase that can be taken in.
 TAIL_SIZE = 96
 #: What tells a document's entities apart.
@@ -53,55 +53,60 @@ def phrases(records: DataFrame, most_words: int = 10) -> DataFrame:
     return first.select("phrase", "words", F.col("words")[0].alias("first"), "n", "type", "candidate_id", order.alias("ord"))
 
 
-def _hits(entries: list[tuple[list[str], str, str, int]], most_words: int) -> Callable[[str | None], list[tuple]]:
-    """Hits of a text: (start, head, rest, type, candidate_id, ord) of the longest phrase at every token, ``rest`` being what follows it."""
-    phrases: dict[tuple[str, ...], list[tuple[str, str, int]]] = {}
-    sizes: dict[str, set[int]] = {}
+def _hits(entries: list[tuple[list[str], str, str, int]], most_words: int) -> Callable[[list[str | None]], list[list[tuple]]]:
+    """Hits of each text: (start, head, rest, type, candidate_id, ord) of the longest phrase at every token, ``rest`` being what follows it.
+
+    Tokens are numbered by the dictionary's words, all texts' at once; only those
+    that are a phrase, or begin with the token behind them like one, are looked at.
+    """
+    entries = [e for e in entries if len(e[0]) <= most_words]
+    number = {w: k for k, w in enumerate(dict.fromkeys(w for words, *_ in entries for w in words))}
+    phrases: dict[tuple[int, ...], list[tuple[str, str, int]]] = {}
+    sizes: dict[int, set[int]] = {}
     for words, kind, code, place in entries:
-        if len(words) <= most_words:
-            phrases.setdefault(tuple(words), []).append((kind, code, place))
-            sizes.setdefault(words[0], set()).add(len(words))
-    known = {w for p in phrases for w in p}
+        own = tuple(number[w] for w in words)
+        phrases.setdefault(own, []).append((kind, code, place))
+        sizes.setdefault(own[0], set()).add(len(own))
     longest_first = {w: sorted(n, reverse=True) for w, n in sizes.items()}
-    find = re.compile(in_python(X.TOKEN)).finditer
-    seen: dict[str, str | None] = {}  # spellings and the dictionary's word, or none
-
-    def of(text: str | None) -> list[tuple]:
-        words, spans, begins = [], [], []
-        for i, m in enumerate(find(text or "")):
-            spelt = m.group()
-            try:
-                w = seen[spelt]
-            except KeyError:
-                if len(seen) >= MOST_SPELLINGS:
-                    seen.clear()
-                w = seen[spelt] = n if (n := X.alias_of(spelt)) in known else None
-            if w is not None:
-                words.append((i, w))
-                spans.append(m.span())
-                if w in longest_first:
-                    begins.append(len(words) - 1)
-        out = []
-        for k in begins:
-            i, w = words[k]
-            for n in longest_first[w]:
-                # a token whose place isn't the next one ends what can be a phrase
-                if k + n <= len(words) and words[k + n - 1][0] == i + n - 1 and (hit := phrases.get(tuple(x for _, x in words[k : k + n]))):
-                    start, until = spans[k][0], spans[k + n - 1][1]
-                    out.extend((start, text[start:until], text[until : until + TAIL_SIZE], *e) for e in hit)
+    alone = np.array([1 in sizes.get(k, ()) for k in range(len(number))] + [False])  # -1 is no word of the dictionary
+    pairs = np.array(sorted({p[0] * len(number) + p[1] for p in phrases if len(p) > 1}), np.int64)
+    names = pa.array(number, pa.string())
+    seen: dict[str, int] = {}  # spellings and the dictionary's words
+
+    def number_of(spelt: str) -> int:
+        try:
+            return seen[spelt]
+        except KeyError:
+            if len(seen) >= MOST_SPELLINGS:
+                seen.clear()
+            n = seen[spelt] = number.get(X.alias_of(spelt), -1)
+            return n
+
+    def of(texts: list[str | None]) -> list[list[tuple]]:
+        block = Block(texts)
+        words = block.words()
+        # of ASCII tokens a word's spellings differ by case alone
+        ids = pc.index_in(pc.ascii_lower(words), value_set=names).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        other = ~pc.string_is_ascii(words).to_numpy(zero_copy_only=False)
+        coded = words.filter(pa.array(other)).dictionary_encode()
+        ids[other] = np.array([number_of(w) for w in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()]
+        following = np.append(ids[1:], -1)[: len(ids)]
+        begins = alone[ids] | ((ids >= 0) & (following >= 0) & np.isin(ids * len(number) + following, pairs))
+        out = [[] for _ in texts]
+        for k in np.flatnonzero(begins).tolist():
+            at = block.of[k]
+            last = block.first[at + 1]
+            for n in longest_first[ids[k]]:
+                if k + n <= last and (hit := phrases.get(tuple(ids[k : k + n].tolist()))):
+                    start, until = int(block.start[k] - block.at[at]), int(block.end[k + n - 1] - block.at[at])
+                    text = texts[at]
+                    out[at].extend((start, text[start:until], text[until : until + TAIL_SIZE], *e) for e in hit)
                     break
         return out
 
     return of
 
 
-def _each(of: Callable[[str | None], list[tuple]], kind: pa.DataType) -> Callable[[pa.Array], pa.Array]:
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([of(t) for t in texts.to_pylist()], kind)
-
-    return run
-
-
 def dictionary_hits(docs: DataFrame, dictionary: DataFrame, most_words: int = 10, confidence: float = 0.94, extend: tuple[str, ...] = ("DRUG",), tail: str | None = None) -> DataFrame:
     """Entities of the longest phrase at every token, one for each of its dictionary entries.
 
@@ -112,7 +117,11 @@ def dictionary_hits(docs: DataFrame, dictionary: DataFrame, most_words: int = 10
     if len(entries) <= MOST_COLLECTED:
         of = _hits([tuple(e) for e in entries], most_words)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("head", pa.string()), ("rest", pa.string()), ("type", pa.string()), ("candidate_id", pa.string()), ("ord", pa.int32())]))
-        found = F.arrow_udf(_each(of, kind), "array<struct<start: int, head: string, rest: string, type: string, candidate_id: string, ord: int>>")
+
+        def run(texts: pa.Array) -> pa.Array:
+            return pa.concat_arrays([pa.array([], kind), *(pa.array(of(block), kind) for _, block in in_blocks(texts.to_pylist()))])
+
+        found = F.arrow_udf(run, "array<struct<start: int, head: string, rest: string, type: string, candidate_id: string, ord: int>>")
         hits = docs.select("document_id", found("raw_text").alias("found_")).select("document_id", F.inline("found_"))
         more = F.when(F.col("type").isin(*extend), X.extended_end(F.col("rest"), F.lit(0), TAIL_SIZE, **kwargs)).otherwise(F.lit(0)) if extend else F.lit(0)
         text = F.concat("head", F.substring("rest", F.lit(1), F.col("more_")))
@@ -198,7 +207,7 @@ def entities_at_once(docs: DataFrame, dictionary: DataFrame, rules: list[tuple[s
         return None
     hits_of = _hits([tuple(e) for e in entries], most_words)
 
-    def found_in(text: str) -> list[Span]:
+    def found_in(text: str, hits: list[tuple]) -> list[Span]:
         by_rule, same = [], {}  # names of the one type's rule spans, and their bounds
         for at, (kind, pattern, head, _, evidence) in enumerate(own):
             for m in pattern.finditer(text):
@@ -212,7 +221,7 @@ def entities_at_once(docs: DataFrame, dictionary: DataFrame, rules: list[tuple[s
             spans.sort()
             same[name] = ([s for s, _ in spans], list(accumulate((e for _, e in spans), max)))
         out = []
-        for start, head, rest, kind, code, place in hits_of(text):
+        for start, head, rest, kind, code, place in hits:
             said = head
             if kind in extend and (m := after.search(rest.split("\n", 1)[0])):
                 said = head + rest[: len(m.group())]
@@ -227,15 +236,15 @@ def entities_at_once(docs: DataFrame, dictionary: DataFrame, rules: list[tuple[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, rows = [], []
-            for i, text in enumerate(batch.column(1).to_pylist(), 1):
-                spans = found_in(text) if text else []
-                of.extend([i - 1] * len(spans))
-                rows.extend(spans)
-                if rows and (len(rows) >= MOST_ROWS or i == batch.num_rows):
+            for lo, texts in in_blocks(batch.column(1).to_pylist()):
+                of, rows = [], []
+                for i, (text, hits) in enumerate(zip(texts, hits_of(texts), strict=True), lo):
+                    spans = found_in(text, hits) if text else []
+                    of.extend([i] * len(spans))
+                    rows.extend(spans)
+                if rows:
                     columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), *columns], list(ENTITY))
-                    of, rows = [], []
 
     return docs.select("document_id", "raw_text").mapInArrow(run, f"document_id {kind}, start int, end int, text string, type string, candidate_id string, confidence double, mention_head string, evidence string, ord int")
 
