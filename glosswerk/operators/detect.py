@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.lexicons import MEDICATION, MEDICATION_TAIL
 from ..functions.similarity import overlaps
-from .spans import Block, Span, find_all, in_blocks, in_python, refined, resolve_overlaps, resolved, tokens, within_document
+from .spans import Block, Span, find_all, in_blocks, in_python, is_plain, refined, resolve_overlaps, resolved, tokens, within_document
 
 #: Phrases that every executor can hold.
 MOST_BROADCAST = 1_000_000
@@ -193,12 +193,61 @@ def _alias_of(text: str) -> str:
     return text.lower().strip(" ") if text.isascii() and text.replace(" ", "").isalnum() and "  " not in text else X.alias_of(text)
 
 
+def _alternatives(plain: str) -> list[tuple[str, str]]:
+    """Alternatives of a plain pattern, each with letters in a row that all its matches have."""
+    out, runs, run, begin, i = [], [], "", 0, 0
+    while i <= len(plain):
+        c = plain[i : i + 1]
+        if c in ("", "|"):
+            out.append((plain[begin:i], max([*runs, run], key=len)))
+            runs, run, begin = [], "", i + 1
+        elif c in "[(":
+            runs, run, depth = [*runs, run], "", 0
+            while True:
+                if plain[i] == "[":
+                    i = plain.index("]", i)
+                elif plain[i] == "\\":
+                    i += 1
+                depth += (plain[i] == "(" and plain[i - 1] != "\\") - (plain[i] == ")" and plain[i - 1] != "\\")
+                if depth == 0:
+                    break
+                i += 1
+        elif c in "*?{":
+            # the letter before it can be left out
+            runs, run = [*runs, run[:-1]], ""
+            i = plain.index("}", i) if c == "{" else i
+        elif c == "+":
+            runs, run = [*runs, run], ""
+        else:
+            i += c == "\\"
+            run += plain[i]
+        i += 1
+    return out
+
+
+def _finder(pattern: str) -> Callable[[str], Iterable[re.Match]] | None:
+    """Matches of a plain pattern in a text: alternatives are left out where letters that they need don't occur."""
+    if (whole := _plainly(pattern)) is None:
+        return None
+    parts = _alternatives(pattern) if is_plain(pattern) else [(whole.pattern, "")]
+    needed = [n for _, n in parts]
+    made: dict[tuple[bool, ...], Callable[[str], Iterable[re.Match]]] = {(True,) * len(parts): whole.finditer, (False,) * len(parts): lambda text: ()}
+
+    def find(text: str) -> Iterable[re.Match]:
+        here = tuple(n in text for n in needed)
+        if here not in made:
+            made[here] = re.compile("|".join(p for (p, _), at in zip(parts, here, strict=True) if at)).finditer
+        return made[here](text)
+
+    return find
+
+
 def entities_at_once(docs: DataFrame, dictionary: DataFrame, rules: list[tuple[str, str, str | None]], most_words: int = 10, confidence: float = 0.94, rule_confidence: float = 0.78, extend: tuple[str, ...] = ("DRUG",), tail: str | None = None, less: str = "DISEASE", more: str = "SYMPTOM") -> DataFrame | None:
     """``detect`` and ``refine_boundaries`` of whole documents: a text is looked through, and its spans are chosen, in one pass.
 
     None if a pattern may mean something else in Python, or the dictionary has more than ``MOST_COLLECTED`` phrases.
     """
-    own = [(kind, _plainly(pattern), head and _plainly(head), bool(head), f"rule_{kind.lower()}") for kind, pattern, head in rules]
+    own = [(kind, _finder(pattern), head and _plainly(head), bool(head), f"rule_{kind.lower()}") for kind, pattern, head in rules]
     after = _plainly(MEDICATION_TAIL if tail is None else tail)
     if after is None or any(found is None or (has_head and head is None) for _, found, head, has_head, _ in own):
         return None
@@ -209,8 +258,8 @@ def entities_at_once(docs: DataFrame, dictionary: DataFrame, rules: list[tuple[s
 
     def found_in(text: str, hits: list[tuple]) -> list[Span]:
         by_rule, same = [], {}  # names of the one type's rule spans, and their bounds
-        for at, (kind, pattern, head, _, evidence) in enumerate(own):
-            for m in pattern.finditer(text):
+        for at, (kind, find, head, _, evidence) in enumerate(own):
+            for m in find(text):
                 said = m.group()
                 mention = said if head is None else h.group() if (h := head.search(said)) else ""
                 by_rule.append((*m.span(), said, kind, None, rule_confidence, mention, evidence, 1_000_000 + at))
