@@ -97,6 +97,14 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs - offs[0]
 
 
+def _give_back() -> None:
+    """Free memory of this Python worker goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def given_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run``, after which its Python worker, which waits for the next task, gives free memory back to the system."""
 
@@ -104,10 +112,19 @@ def given_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-            if trim is not None:
-                trim(0)
+            _give_back()
+
+    return wrapped
+
+
+def given_back_each(run: Callable[[tuple[pa.Scalar, ...], pa.Table], pa.Table]) -> Callable[[tuple[pa.Scalar, ...], pa.Table], pa.Table]:
+    """As ``given_back``, of a function of groups, after each group."""
+
+    def wrapped(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        try:
+            return run(key, table)
+        finally:
+            _give_back()
 
     return wrapped
 

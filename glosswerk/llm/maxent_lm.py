@@ -65,7 +65,7 @@ import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, forget, slices, string_buffers, written
+from .common import crc32_mod, forget, given_back, given_back_each, slices, string_buffers, written
 from .textscan import LOWER, mix, words
 
 #: Sizes of a small corpus, and the least of a large one.
@@ -149,9 +149,9 @@ class Tokens:
         at = np.arange(len(hashes)) + doc
         self.hash = np.full(len(hashes) + n, END, _U)
         self.hash[at] = hashes
-        last = data[ends - 1].astype(np.int64)
-        before = np.where(ends - starts > 1, data[np.maximum(ends - 2, 0)], 0).astype(np.int64)
-        self.rare = np.zeros(len(self.hash), np.int64)
+        last = data[ends - 1].astype(np.int32)
+        before = np.where(ends - starts > 1, data[np.maximum(ends - 2, 0)], 0).astype(np.int32)
+        self.rare = np.zeros(len(self.hash), np.int32)
         self.rare[at] = (last * 769 + before * 12289 >> 3) % RARE_CLASSES
         self.place = np.arange(len(self.hash)) - np.repeat(self.first[:-1], counts + 1)
 
@@ -190,23 +190,25 @@ class Context:
         self.rank = head.ranks(tokens.hash)
         self.is_frequent = self.rank >= 0
         z = head.sizes
-        symbol = np.where(self.is_frequent, self.rank, z.frequent + tokens.rare)
-        self.cls = np.where(self.is_frequent, self.rank // z.class_words, z.frequent_classes + tokens.rare)
+        symbol = np.where(self.is_frequent, self.rank, z.frequent + tokens.rare).astype(np.int32)
+        self.cls = np.where(self.is_frequent, self.rank // z.class_words, z.frequent_classes + tokens.rare).astype(np.int32)
         # the frequent word in its class, or the bucket in the group
-        self.word = np.where(self.is_frequent, self.rank % z.class_words, bucket(tokens.hash, z.class_words))
+        self.word = np.where(self.is_frequent, self.rank % z.class_words, bucket(tokens.hash, z.class_words)).astype(np.int32)
 
         def back(k: int) -> np.ndarray:
-            out = np.full(len(symbol), z.symbols - 1, np.int64)
+            out = np.full(len(symbol), z.symbols - 1, np.int32)
             out[k:] = symbol[: len(symbol) - k]
             out[tokens.place < k] = z.symbols - 1
             return out
 
-        s1, s2, s3 = back(1), back(2), back(3)
-        pair = (mix((s1 * z.symbols + s2).astype(_U)) >> _U(65 - z.hashed.bit_length())).astype(np.int64)
-        base = 1 + 3 * z.symbols
-        self.class_rows = np.stack([np.zeros_like(s1), 1 + s1, 1 + z.symbols + s2, 1 + 2 * z.symbols + s3, base + pair]).astype(_rows_type(z.class_rows))
-        skip = z.classes * (1 + z.symbols)
-        self.word_rows = np.stack([self.cls, z.classes + s1 * z.classes + self.cls, skip + s2 * z.classes + self.cls]).astype(_rows_type(z.word_rows))
+        s1, s2 = back(1), back(2)
+        # rows are written where they stay, one feature after the other
+        self.class_rows = np.zeros((5, len(symbol)), _rows_type(z.class_rows))
+        self.class_rows[1], self.class_rows[2], self.class_rows[3] = 1 + s1, 1 + z.symbols + s2, 1 + 2 * z.symbols + back(3)
+        self.class_rows[4] = (mix(s1.astype(_U) * _U(z.symbols) + s2.astype(_U)) >> _U(65 - z.hashed.bit_length())).astype(np.int32) + (1 + 3 * z.symbols)
+        self.word_rows = np.empty((3, len(symbol)), _rows_type(z.word_rows))
+        self.word_rows[0], self.word_rows[1] = self.cls, z.classes + s1 * z.classes + self.cls
+        self.word_rows[2] = z.classes * (1 + z.symbols) + s2 * z.classes + self.cls
 
 
 def _rows_type(rows: int) -> type:
@@ -225,7 +227,8 @@ def part(hashes: np.ndarray, parts: np.ndarray) -> np.ndarray:
 
 def _softmax(x: np.ndarray) -> np.ndarray:
     """In place, of logits whose biases are logs of shares: none is far above 0, and in each row one isn't far below."""
-    np.minimum(x, _F(80), out=x)
+    if x.max(initial=0) > 80:
+        np.minimum(x, _F(80), out=x)
     np.exp(x, out=x)
     x *= (1 / np.maximum(np.einsum("ij->i", x), _F(1e-30)))[:, None]
     return x
@@ -309,13 +312,17 @@ def _sums(error: np.ndarray, order: np.ndarray, starts: np.ndarray, times: np.nd
     return g
 
 
-def step(table: np.ndarray, squares: np.ndarray, r: np.ndarray, error: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """A gradient step of the rows ``r``, in their first columns; the distinct rows and how often each is in ``r``."""
+def step(table: np.ndarray, squares: np.ndarray, r: np.ndarray, error: np.ndarray, rate: float, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A gradient step of the rows ``r``, in their first columns; the distinct rows and how often each is in ``r``.
+
+    With ``order``, ``r`` is sorted already, and ``order`` has the errors' places.
+    """
     if r[0] == r[-1] and (r == r[0]).all():  # the bias of all
         at, times, g = r[:1], np.array([len(r)]), error.sum(axis=0, keepdims=True)
     else:
-        order = np.argsort(r, kind="stable")
-        r = r[order]
+        if order is None:
+            order = np.argsort(r, kind="stable")
+            r = r[order]
         starts = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
         at, times = r[starts], np.diff(np.append(starts, len(r)))
         g = _sums(error, order, starts, times)
@@ -343,13 +350,16 @@ class Level:
         rows, self.tables = [], []
         for c in contexts:
             key = (node.astype(_U) << _U(24)) | c.astype(_U)
-            known, times = np.unique(key[learn], return_counts=True)
-            known = known[times >= LEAST_SEEN]
-            at = np.searchsorted(known, key)
-            at[at == len(known)] = 0
+            order = np.argsort(key)
+            key = key[order]
+            new = np.diff(key, prepend=~key[:1]) != 0
+            known = np.add.reduceat(learn[order], np.flatnonzero(new), dtype=np.int64) >= LEAST_SEEN if len(key) else np.zeros(0, bool)
+            n = np.count_nonzero(known)
             # the row after the last is of all other contexts, and stays 0
-            rows.append(np.where(known[at] == key, at, len(known)) if len(known) else np.zeros(len(key), np.int64))
-            self.tables.append(np.zeros((len(known) + 1, weight.shape[1]), _F))
+            row = np.empty(len(key), np.int64)
+            row[order] = np.where(known, np.cumsum(known) - 1, n)[np.cumsum(new) - 1]
+            rows.append(row)
+            self.tables.append(np.zeros((n + 1, weight.shape[1]), _F))
         self.squares = [np.full(len(t), 0.1, _F) for t in self.tables]
         self.at = np.flatnonzero(np.logical_or.reduce([r < len(t) - 1 for r, t in zip(rows, self.tables, strict=True)]))
         self.node, self.digit, self.wide, self.rows = node[self.at], digit[self.at], wide[self.at], [r[self.at] for r in rows]
@@ -364,12 +374,20 @@ class Level:
 
     def learn(self, order: np.ndarray) -> None:
         """Gradient updates over tokens of ``at``, by their place in it."""
+        update, place = np.divmod(np.arange(len(order)), PART_UPDATE)
+        bits = (PART_UPDATE - 1).bit_length()
+        by_row = []  # of all updates at once: their tokens in the order of rows
+        for rows, table in zip(self.rows, self.tables, strict=True):
+            key = (update * len(table) + rows[order]) << bits | place
+            key.sort()
+            by_row.append(((key >> bits) % len(table), key & (1 << bits) - 1))
         for lo in range(0, len(order), PART_UPDATE):
-            own = order[lo : lo + PART_UPDATE]
+            some = slice(lo, lo + PART_UPDATE)
+            own = order[some]
             error = self.softmax(own)
             error[np.arange(len(own)), self.digit[own]] -= 1
-            for rows, table, squares in zip(self.rows, self.tables, self.squares, strict=True):
-                step(table, squares, rows[own], error, PART_RATE)
+            for (rows, places), table, squares in zip(by_row, self.tables, self.squares, strict=True):
+                step(table, squares, rows[some], error, PART_RATE, places[some])
                 table[-1] = 0
 
     def log_probability(self) -> np.ndarray:
@@ -420,6 +438,7 @@ def part_scores(leaf: np.ndarray, word: np.ndarray, one: np.ndarray, two: np.nda
         for _ in range(PART_EPOCHS):
             level.learn(own)
         out += level.log_probability()
+        del level, own  # before the next level has its tables
     logs, counts = np.empty_like(out), np.empty_like(count[name])
     logs[back], counts[back] = out, count[name]
     return logs, counts
@@ -444,28 +463,34 @@ def _each(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.R
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    # distinct words, rare classes and counts of each slice of texts: far fewer than its tokens
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     pairs: list[np.ndarray] = []
     size = 0
 
     def out() -> pa.RecordBatch:
-        hashes = np.concatenate([h for h, _ in held])
-        distinct, at, counts = np.unique(hashes, return_index=True, return_counts=True)
-        rare = np.concatenate([r for _, r in held])[at]
+        hashes, rare, times = (np.concatenate([h[i] for h in held]) for i in range(3))
+        held.clear()
+        order = np.argsort(hashes, kind="stable")
+        hashes = hashes[order]
+        starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        distinct, rare, counts = hashes[starts], rare[order[starts]], np.add.reduceat(times[order], starts, dtype=np.int64)
         # word pairs of the sample have no rare class
         pair = np.unique(np.concatenate(pairs))
+        pairs.clear()
         distinct, counts = np.concatenate([distinct, pair]), np.concatenate([counts, np.ones(len(pair), np.int64)])
-        rare = np.concatenate([rare, np.full(len(pair), -1)])
-        return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(rare), pa.array(counts.astype(np.int64))], names=["hash", "rare", "n"])
+        rare = np.concatenate([rare, np.full(len(pair), -1, rare.dtype)])
+        return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(rare.astype(np.int64)), pa.array(counts)], names=["hash", "rare", "n"])
 
     for _, _, _, tokens in _each(batches, 0):
-        held.append((tokens.hash, tokens.rare))
+        distinct, at, times = np.unique(tokens.hash, return_index=True, return_counts=True)
+        held.append((distinct, tokens.rare[at].astype(np.int8), times.astype(np.int32)))
         pair = mix(tokens.hash[1:] * _U(0xD6E8FEB86659FD93) + tokens.hash[:-1])[tokens.place[1:] > 0]
         pairs.append(pair[pair % _U(PAIR_SAMPLE) == 0])
         size += len(tokens.hash)
         if size >= COUNTED:
             yield out()
-            held, pairs, size = [], [], 0
+            size = 0
     if held:
         yield out()
 
@@ -485,7 +510,7 @@ def _train(head: Head):
                     col.append(v)
         return _pieces(key[0].as_py(), *cols)
 
-    return run
+    return given_back_each(run)
 
 
 def _pieces(shard: int, which: list[int], chunk: list[int], sums: list[bytes], seen: list[bytes]) -> pa.Table:
@@ -511,7 +536,7 @@ def train(texts: DataFrame, head: Head) -> Model:
     dealt = texts.select(F.pmod(F.xxhash64(digest, F.lit(1)), F.lit(shards)).alias("shard"), digest.alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
     parts = dealt.repartition(2 * shards, "shard").groupBy("shard").applyInArrow(_train(head), _PIECES)
     while True:  # no task holds a piece of more than FAN shards
-        parts = parts.withColumn("some", F.floor(F.col("shard") / FAN).cast("long")).groupBy("which", "chunk", "some").applyInArrow(_add, _PIECES)
+        parts = parts.withColumn("some", F.floor(F.col("shard") / FAN).cast("long")).groupBy("which", "chunk", "some").applyInArrow(given_back_each(_add), _PIECES)
         shards = math.ceil(shards / FAN)
         if shards == 1:
             break
@@ -545,42 +570,45 @@ def _emit(head: Head, model: Model, shards: int):
     log_count = np.log(head.count[np.argsort(head.rank)] + 1.0)
     buckets = head.sizes.class_words
 
+    def packed(batch: pa.RecordBatch, lo: int, hi: int, tokens: Tokens) -> Iterator[pa.RecordBatch]:
+        c = Context(tokens, head)
+        counted = np.where(c.is_frequent, log_count[c.rank] if len(log_count) else 0.0, 0.0)
+        starts, n = tokens.first[:-1], hi - lo
+        base = pa.array(np.full(n, batch.column(0)[lo].as_py(), np.int64))
+        # documents go through the shards' shuffle as they are, under a key below 0 for each batch
+        spread = -1 - batch.column(0)[lo].as_py()
+        learn = batch.column(2).slice(lo, n).to_numpy(zero_copy_only=False).astype(bool)
+        figures = [np.diff(tokens.first), np.add.reduceat((~c.is_frequent).astype(np.int64), starts), np.add.reduceat(counted, starts), np.add.reduceat(model.log_probability(c), starts)]
+        own = [batch.column(1).slice(lo, n), pa.array(~learn), *map(pa.array, figures)]
+        yield _mixed({"key": pa.array(np.full(n, spread)), "base": base, "n": pa.array(np.arange(n))} | dict(zip(_DOCUMENT, own, strict=True)))
+        out = np.flatnonzero(~c.is_frequent)
+        if not len(out):
+            return
+        word, group = tokens.hash[out] >> _U(16), tokens.rare[out]
+        shard = (mix(_leaf(group, word, head.parts, buckets).astype(_U)) % _U(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        out, word, group, shard = out[order], word[order], group[order].astype(np.uint8), shard[order]
+        before = []
+        for k in (1, 2):
+            hashes = np.where(tokens.place[out] < k, _U(0), tokens.hash[out - np.minimum(k, out)])
+            before.append((hashes >> _U(40)).astype(np.uint32))
+        doc = (np.searchsorted(tokens.first, out, side="right") - 1).astype(np.uint32)
+        doc[~learn[doc]] |= HELD
+        bounds = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
+        data = []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            at = np.flatnonzero(np.diff(doc[a:b].astype(np.int64), prepend=-1))
+            times = np.diff(np.append(at, b - a)).astype(np.uint32)
+            heads = np.array([len(at)], np.uint32).tobytes() + doc[a:b][at].tobytes() + times.tobytes()
+            contexts = b"".join(_planes(x[a:b], 1) + (x[a:b] >> np.uint32(16)).astype(np.uint8).tobytes() for x in before)
+            data.append(heads + _planes(word[a:b], 3) + contexts + group[a:b].tobytes())
+        yield _mixed({"key": pa.array(shard[bounds[:-1]]), "base": base.slice(0, 1).take(pa.array(np.zeros(len(data), np.int64))), "n": pa.array(np.diff(bounds)), "data": pa.array(data, pa.binary())})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, lo, hi, tokens in _each(batches, 3):
-            c = Context(tokens, head)
-            counted = np.where(c.is_frequent, log_count[c.rank] if len(log_count) else 0.0, 0.0)
-            starts, n = tokens.first[:-1], hi - lo
-            base = pa.array(np.full(n, batch.column(0)[lo].as_py(), np.int64))
-            # documents go through the shards' shuffle as they are, under a key below 0 for each batch
-            spread = -1 - batch.column(0)[lo].as_py()
-            learn = batch.column(2).slice(lo, n).to_numpy(zero_copy_only=False).astype(bool)
-            figures = [np.diff(tokens.first), np.add.reduceat((~c.is_frequent).astype(np.int64), starts), np.add.reduceat(counted, starts), np.add.reduceat(model.log_probability(c), starts)]
-            own = [batch.column(1).slice(lo, n), pa.array(~learn), *map(pa.array, figures)]
-            yield _mixed({"key": pa.array(np.full(n, spread)), "base": base, "n": pa.array(np.arange(n))} | dict(zip(_DOCUMENT, own, strict=True)))
-            out = np.flatnonzero(~c.is_frequent)
-            if not len(out):
-                continue
-            word, group = tokens.hash[out] >> _U(16), tokens.rare[out]
-            shard = (mix(_leaf(group, word, head.parts, buckets).astype(_U)) % _U(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            out, word, group, shard = out[order], word[order], group[order].astype(np.uint8), shard[order]
-            before = []
-            for k in (1, 2):
-                hashes = np.where(tokens.place[out] < k, _U(0), tokens.hash[out - np.minimum(k, out)])
-                before.append((hashes >> _U(40)).astype(np.uint32))
-            doc = (np.searchsorted(tokens.first, out, side="right") - 1).astype(np.uint32)
-            doc[~learn[doc]] |= HELD
-            bounds = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
-            data = []
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                at = np.flatnonzero(np.diff(doc[a:b].astype(np.int64), prepend=-1))
-                times = np.diff(np.append(at, b - a)).astype(np.uint32)
-                heads = np.array([len(at)], np.uint32).tobytes() + doc[a:b][at].tobytes() + times.tobytes()
-                contexts = b"".join(_planes(x[a:b], 1) + (x[a:b] >> np.uint32(16)).astype(np.uint8).tobytes() for x in before)
-                data.append(heads + _planes(word[a:b], 3) + contexts + group[a:b].tobytes())
-            yield _mixed({"key": pa.array(shard[bounds[:-1]]), "base": base.slice(0, 1).take(pa.array(np.zeros(len(data), np.int64))), "n": pa.array(np.diff(bounds)), "data": pa.array(data, pa.binary())})
-
-    return run
+        for own in _each(batches, 3):
+            yield from packed(*own)
+
+    return given_back(run)
 
 
 def _leaf(group: np.ndarray, word: np.ndarray, parts: np.ndarray, buckets: int) -> np.ndarray:
@@ -615,19 +643,20 @@ def _score_parts(head: Head):
         table = table.sort_by("base")
         got = [_unpacked(n, d.as_buffer()) for n, d in zip(table.column("n").to_pylist(), table.column("data"), strict=True)]
         word, one, two, group = (np.concatenate([g[i] for g in got]) for i in range(2, 6))
-        learn = np.concatenate([np.repeat(g[0] < HELD, g[1]) for g in got])
+        got = [g[:2] for g in got]
+        learn = np.concatenate([np.repeat(docs < HELD, times) for docs, times in got])
         logs, count = _by_parts(_leaf(group, word, head.parts, buckets), word, one, two, learn)
         logs -= log_mass[group, bucket(word << _U(16), buckets)]
-        log_count, data, at = np.log(count + 1.0), [], 0
-        for docs, times, *_ in got:
+        figures, data, at = (logs, np.log(count + 1.0), (count > 0).astype(np.uint32)), [], 0
+        for docs, times in got:
             starts = at + np.cumsum(times, dtype=np.int64) - times
             at += int(times.sum())
-            sums = [np.add.reduceat(v[:at], starts) for v in (logs, log_count, (count > 0).astype(np.uint32))]
+            sums = [np.add.reduceat(v[:at], starts) for v in figures]
             data.append((docs & ~HELD).tobytes() + sums[0].astype(_F).tobytes() + sums[1].tobytes() + sums[2].astype(np.uint32).tobytes())
         n = pa.array([len(g[0]) for g in got], pa.int64())
         return pa.Table.from_batches([_mixed({"key": table.column("key").combine_chunks(), "base": table.column("base").combine_chunks(), "n": n, "data": pa.array(data, pa.binary())})])
 
-    return run
+    return given_back_each(run)
 
 
 def _gather(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -656,7 +685,7 @@ def lm_scores(docs: DataFrame, train_row: Column | None = None, id_col: str = "d
     train_row = crc32_mod("id", 7) != 2 if train_row is None else train_row
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     learned = rows.where(train_row)
-    counted = written(learned.select("text").mapInArrow(_count, "hash long, rare long, n long").groupBy("hash").agg(F.min("rare").alias("rare"), F.sum("n").alias("n")), "lm-counts")
+    counted = written(learned.select("text").mapInArrow(given_back(_count), "hash long, rare long, n long").groupBy("hash").agg(F.min("rare").alias("rare"), F.sum("n").alias("n")), "lm-counts")
     counts = counted.where("rare >= 0")
     total, distinct, pairs = counted.select(
         F.coalesce(F.sum(F.when(F.col("rare") >= 0, F.col("n"))), F.lit(0)), F.count_if(F.col("rare") >= 0), F.count_if(F.col("rare") < 0) * PAIR_SAMPLE
@@ -681,7 +710,7 @@ def lm_scores(docs: DataFrame, train_row: Column | None = None, id_col: str = "d
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", F.coalesce(train_row, F.lit(False)).alias("learn"), "text")
     mixed = numbered.mapInArrow(_emit(head, model, shards), _MIXED)
     scored = mixed.repartition(2 * shards, "key").groupBy("key").applyInArrow(_score_parts(head), _MIXED)
-    out = scored.groupBy("base").applyInArrow(_gather, "id long, held_out boolean, n_tokens long, n_known long, counted double, logs double")
+    out = scored.groupBy("base").applyInArrow(given_back_each(_gather), "id long, held_out boolean, n_tokens long, n_known long, counted double, logs double")
     ln10 = float(np.log(10.0))
     return out.select(
         F.col("id").alias(id_col),

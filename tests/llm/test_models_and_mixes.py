@@ -4,15 +4,19 @@ import math
 import random
 import re
 import sys
+import tracemalloc
+import weakref
 import zlib
 from collections import Counter
 from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from glosswerk.llm import common
 from glosswerk.llm import hilbert_shards as H
 from glosswerk.llm import license_scan as C
 from glosswerk.llm import maxent_lm as L
@@ -458,6 +462,47 @@ def test_part_probabilities_sum_to_one():
     assert np.exp(logs[400:]).sum() == pytest.approx(400 + 8 + 1, rel=1e-4)
 
 
+def test_counts_hold_less_than_their_tokens(monkeypatch):
+    monkeypatch.setattr(L, "BATCH_BYTES", 1 << 18)
+    rng = np.random.default_rng(1)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 20_000, 1_400_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([text[i : i + 5000] for i in range(0, len(text), 5000)])], names=["text"])
+    list(L._count(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    got = list(L._count(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = Counter(w for t in batch.column(0).to_pylist() for w in [*t.split(), "end"])
+    assert sorted(r["n"] for b in got for r in b.to_pylist() if r["rare"] >= 0) == sorted(want.values())
+    assert peak < 30 * 1_400_000
+
+
+def test_one_level_of_parts_at_a_time_and_memory_goes_back(monkeypatch):
+    alive, most = weakref.WeakSet(), []
+
+    class Level(L.Level):
+        def __init__(self, *args):
+            most.append(len(alive))
+            super().__init__(*args)
+            alive.add(self)
+
+    monkeypatch.setattr(L, "Level", Level)
+    rng = np.random.default_rng(1)
+    word, (one, two) = rng.integers(1, 9, 400).astype(np.uint64), rng.integers(1, 6, (2, 400)).astype(np.uint32)
+    L.part_scores(rng.integers(0, 3, 400), word, one, two, rng.random(400) < 0.8)
+    assert most == [0, 0]
+
+    given = []
+    monkeypatch.setattr(common, "_give_back", lambda: given.append(1))
+    none = np.zeros((L.RARE_CLASSES, L.CLASS_WORDS))
+    head = L.Head(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, 0, none, none)
+    L._train(head)((pa.scalar(0),), pa.table({"digest": [1], "text": ["a b"]}))
+    L._score_parts(head)((pa.scalar(-1),), pa.table({"key": [-1]}))
+    rows = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([7]), pa.array([True]), pa.array(["a b"])], names=["row", "id", "learn", "text"])
+    assert len(list(L._emit(head, L.Model(head), 1)(iter([rows])))) == 2
+    assert len(given) == 3
+
+
 # licenses
 
 
